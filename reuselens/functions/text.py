@@ -16,7 +16,8 @@ from reuselens.functions._cols import as_col
 # squeeze whitespace, strip".
 NON_WORD_RUN = r"[^\p{L}\p{N}_]+"
 
-EMPTY_STRINGS = F.array().cast("array<string>")
+def _empty_strings() -> Column:
+    return F.array().cast("array<string>")
 
 
 def clean_text(text) -> Column:
@@ -36,7 +37,7 @@ def drop_invalid_utf8(text) -> Column:
 def tokens(clean) -> Column:
     """Whitespace tokens of a cleaned text; '' gives an empty array."""
     c = as_col(clean)
-    return F.when(c == "", EMPTY_STRINGS).otherwise(F.split(c, " "))
+    return F.when(c == "", _empty_strings()).otherwise(F.split(c, " "))
 
 
 def _join_shifted(w: Column, k: int) -> Column:
@@ -55,10 +56,13 @@ def _join_shifted(w: Column, k: int) -> Column:
 def shingles(clean, k: int = 3) -> Column:
     """The set of k-word shingles (k consecutive tokens joined by ' ').
 
-    Fewer than k tokens gives an empty set.
+    One regex pass per text: at every word start a look-ahead captures the
+    next k words, so overlapping shingles come out in order. Fewer than k
+    tokens gives an empty set.
     """
-    w = tokens(clean)
-    return F.when(F.size(w) >= k, F.array_distinct(_join_shifted(w, k))).otherwise(EMPTY_STRINGS)
+    words = " ".join(["[^ ]+"] * k)
+    rx = F.regexp_extract_all(as_col(clean), F.lit(f"(?:^| )(?=({words}))"), F.lit(1))
+    return F.array_distinct(rx)
 
 
 def hash32(s) -> Column:

@@ -16,6 +16,7 @@ Design for scale:
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +46,58 @@ def shingle_hashes(texts: DataFrame, key: str = "doc_id", clean: str = "clean_te
     return s.select(key, hash_fn("s").alias("x"))
 
 
+def _minhash_udf(params: list[tuple[int, int]], chunk: int = 1 << 16):
+    """Pandas UDF: array of 32-bit shingle hashes -> signature array.
+
+    Vectorised over the whole Arrow batch: the hashes of all documents are
+    concatenated and processed in fixed-size element chunks (memory is
+    bounded by len(params) x chunk, even for one huge text); each chunk is
+    reduced per document with ``np.minimum.reduceat``. The closure holds
+    only numpy arrays, so workers need nothing but numpy and pandas.
+    """
+    from pyspark.sql.functions import pandas_udf
+
+    _np = np
+    a = _np.array([x for x, _ in params], dtype=_np.int64)[:, None]
+    b = _np.array([y for _, y in params], dtype=_np.int64)[:, None]
+    p, h = P, len(params)
+
+    def sig(xs: pd.Series) -> pd.Series:
+        n = len(xs)
+        out = _np.full((n, h), p, dtype=_np.int64)
+        lens = _np.fromiter((0 if v is None else len(v) for v in xs), _np.int64, n)
+        nz = _np.flatnonzero(lens)
+        if len(nz):
+            flat = _np.concatenate([_np.asarray(xs.iat[i], dtype=_np.int64) for i in nz])
+            owner = _np.repeat(nz, lens[nz])
+            for e0 in range(0, len(flat), chunk):
+                seg = flat[e0:e0 + chunk]
+                own = owner[e0:e0 + chunk]
+                vals = (a * seg[None, :] + b) % p
+                starts = _np.flatnonzero(_np.r_[True, own[1:] != own[:-1]])
+                red = _np.minimum.reduceat(vals, starts, axis=1)
+                rows = own[starts]
+                out[rows] = _np.minimum(out[rows], red.T)
+        return pd.Series(list(out))
+
+    return pandas_udf(sig, "array<bigint>")
+
+
 def signatures(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
                k: int = SHINGLE_K, params: list[tuple[int, int]] | None = None,
-               hash_fn=X.hash32) -> DataFrame:
-    """T5: (key, signature array<bigint>) for every row of ``texts``."""
+               hash_fn=X.hash32, method: str = "vectorised") -> DataFrame:
+    """T5: (key, signature array<bigint>) for every row of ``texts``.
+
+    ``vectorised`` (default): shingle hashes are computed JVM-side per
+    document and the 100 minima by an Arrow-batched pandas UDF; no row is
+    multiplied and no shuffle is needed. ``aggregate``: the same result as
+    one grouped aggregate with one ``min`` buffer per hash function (pure
+    JVM, measured about 1.6x slower at sf0.1).
+    """
     params = params or hash_params()
+    if method == "vectorised":
+        xs = F.transform(X.shingles(clean, k), lambda s: hash_fn(s))
+        return texts.select(key, _minhash_udf(params)(xs).alias("signature"))
     x = shingle_hashes(texts, key, clean, k, hash_fn)
     xc = F.col("x")
     aggs = [F.min(F.pmod(F.lit(a) * xc + F.lit(b), F.lit(P))).alias(f"h{i}")

@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 
 from reuselens.functions import labels as L
 from reuselens.functions import text as X
+from reuselens.operators import classify as CL
+from reuselens.operators import clustering as CU
 from reuselens.operators import evaluation as EV
+from reuselens.operators import vectors as VE
 from reuselens.operators import minhash as MH
 from reuselens.operators import tfidf as TF
 from reuselens.operators import tuning as TU
+from reuselens.session import cut_lineage
 from reuselens.sources import corpus as C
 
 DEC = 6
@@ -30,7 +34,9 @@ def _r(c, d=DEC):
 # ------------------------------------------------------------- building ----
 
 def mh_signatures(spark, sf_dir):
-    return MH.signatures(C.corpus_texts(spark, sf_dir))
+    """Signatures of all documents, written once to the checkpoint folder:
+    the best-original search reads them in several branches."""
+    return cut_lineage(MH.signatures(C.corpus_texts(spark, sf_dir)))
 
 
 def mh_best(spark, sf_dir):
@@ -54,13 +60,18 @@ def _labelled(df):
 
 
 def tf_weights(spark, sf_dir, max_df=TF.MAX_DF_SIMILARITY):
-    return TF.tfidf(C.corpus_texts(spark, sf_dir), max_df=max_df)
+    """Long TF-IDF weights of all documents, written once to the checkpoint
+    folder (both sides of the cosine joins read them)."""
+    return cut_lineage(TF.tfidf(C.corpus_texts(spark, sf_dir), max_df=max_df))
+
+
+def _doc_ids(spark, sf_dir):
+    return C.read_table(spark, sf_dir, "documents").select("doc_id")
 
 
 def tf_best(spark, sf_dir):
-    texts = C.corpus_texts(spark, sf_dir)
-    w = TF.tfidf(texts)
-    ids = C.read_table(spark, sf_dir, "documents").select("doc_id")
+    w = tf_weights(spark, sf_dir)
+    ids = _doc_ids(spark, sf_dir)
     first = ids.where(C.is_original()).agg(F.min("doc_id")).first()[0]
     return TF.best_original(w, w.where(C.is_original()), ids, first_original=first)
 
@@ -153,6 +164,190 @@ def q_tuned_levels(spark, sf_dir):
         "doc_id", "best_sim", "truth_level", "tuned_level")
 
 
+# ---- TF-IDF ----
+
+def q_gram_tf(spark, sf_dir):
+    return TF.term_frequencies(C.corpus_texts(spark, sf_dir))
+
+
+def q_gram_df(spark, sf_dir):
+    texts = C.corpus_texts(spark, sf_dir)
+    n = _doc_ids(spark, sf_dir).count()
+    d = TF.document_frequencies(TF.term_frequencies(texts), n)
+    return d.select("gram", "df", _r(F.col("idf")).alias("idf"))
+
+
+def q_tfidf(spark, sf_dir):
+    return tf_weights(spark, sf_dir).select("doc_id", "gram", _r(F.col("w")).alias("w"))
+
+
+def q_tfidf_best(spark, sf_dir):
+    return tf_best(spark, sf_dir).withColumn("best_sim", _r(F.col("best_sim")))
+
+
+def q_tfidf_levels(spark, sf_dir):
+    return tf_eval_frame(spark, sf_dir)
+
+
+def q_tfidf_tuned(spark, sf_dir):
+    return TU.tune_thresholds(_labelled(tf_eval_frame(spark, sf_dir)), "best_sim", "truth_level")
+
+
+def q_all_pairs_cosine(spark, sf_dir):
+    p = TF.all_pairs_cosine(tf_weights(spark, sf_dir))
+    return p.select("doc_id", "other_id", _r(F.col("sim")).alias("sim"))
+
+
+def q_top3_neighbours(spark, sf_dir):
+    p = TF.all_pairs_cosine(tf_weights(spark, sf_dir))
+    t = TF.top_neighbours(p, _doc_ids(spark, sf_dir), k=3)
+    return t.select("doc_id", "rank", "other_id", _r(F.col("sim")).alias("sim"))
+
+
+def q_method_comparison(spark, sf_dir):
+    mh = TU.tuned_levels(_labelled(mh_eval_frame(spark, sf_dir)), "best_sim", "truth_level")
+    tf = TU.tuned_levels(_labelled(tf_eval_frame(spark, sf_dir)), "best_sim", "truth_level")
+    a = EV.result_row(EV.macro_prf(mh, "truth_level", "tuned_level"), "minhash")
+    b = EV.result_row(EV.macro_prf(tf, "truth_level", "tuned_level"), "tfidf_cosine")
+    return a.unionByName(b)
+
+
+# ---- labels, selections, sources ----
+
+def q_answers_only(spark, sf_dir):
+    return C.corpus_labels(spark, sf_dir).where(F.col("plag_label") != -1) \
+        .select("doc_id", "category", "category_id", "plag_label")
+
+
+def q_originals(spark, sf_dir):
+    return C.corpus_labels(spark, sf_dir).where(F.col("category") == "orig").select("doc_id", "task")
+
+
+def q_label_counts(spark, sf_dir):
+    a = C.corpus_labels(spark, sf_dir).where(F.col("plag_label") != -1)
+    return EV.value_counts(a, "category_id")
+
+
+def q_task_count(spark, sf_dir):
+    return EV.distinct_count(C.corpus_labels(spark, sf_dir), "task", "n_tasks")
+
+
+def q_encode_task(spark, sf_dir):
+    df, _ = EV.encode_sorted(C.corpus_labels(spark, sf_dir).select("doc_id", "task"), "task", "task_id")
+    return df.select("doc_id", "task", "task_id")
+
+
+def q_preview(spark, sf_dir):
+    lab = C.corpus_labels(spark, sf_dir)
+    txt = C.corpus_texts(spark, sf_dir)
+    return lab.join(txt, "doc_id").orderBy("doc_id").limit(5) \
+        .select("doc_id", "task", "category", "clean_text")
+
+
+def q_missing_report(spark, sf_dir):
+    docs = C.read_table(spark, sf_dir, "documents").select("doc_id")
+    lab = C.read_table(spark, sf_dir, "labels").select("doc_id")
+    return C.missing_report(docs, lab, "doc_id")
+
+
+def q_tolerant_load(spark, sf_dir):
+    lab = C.read_table(spark, sf_dir, "labels").select("doc_id")
+    docs = C.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    j = lab.join(docs, "doc_id", "left")
+    return j.select("doc_id", F.col("text").isNotNull().alias("has_text"),
+                    F.length(F.coalesce("text", F.lit(""))).alias("n_chars"))
+
+
+# ---- clustering metrics on a fixed assignment (task vs source) ----
+
+def _task_source(spark, sf_dir):
+    return C.read_table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("task"),
+                                                            "source")
+
+
+def q_purity(spark, sf_dir):
+    return EV.purity(_task_source(spark, sf_dir), "task", "source")
+
+
+def q_ari(spark, sf_dir):
+    return EV.adjusted_rand_index(_task_source(spark, sf_dir), "task", "source")
+
+
+def q_cluster_to_task(spark, sf_dir):
+    return EV.cluster_to_majority(_task_source(spark, sf_dir), "task", "source")
+
+
+def q_silhouette(spark, sf_dir):
+    e = C.read_table(spark, sf_dir, "embeddings")
+    return EV.silhouette_cosine(e, "embedding", "label").select(_r(F.col("silhouette")).alias("silhouette"))
+
+
+def q_svd_features(spark, sf_dir):
+    v = CU.tfidf_vectors(C.corpus_texts(spark, sf_dir))
+    return CU.svd_reduce(v)
+
+
+def kmeans_frame(spark, sf_dir):
+    texts = C.corpus_texts(spark, sf_dir)
+    red = cut_lineage(CU.svd_reduce(CU.tfidf_vectors(texts)))
+    lab = C.corpus_labels(spark, sf_dir).select("doc_id", "task")
+    enc, _ = EV.encode_sorted(lab, "task", "task_id")
+    k = lab.agg(F.countDistinct("task")).first()[0]
+    _, clustered = CU.kmeans_best_of(red.join(enc, "doc_id"), "reduced", k)
+    mapping = EV.cluster_to_majority(clustered, "task_id", "cluster")
+    return EV.apply_mapping(clustered, "cluster", mapping, "cluster_task_id")
+
+
+def q_kmeans_clusters(spark, sf_dir):
+    return kmeans_frame(spark, sf_dir).select("doc_id", "task", "task_id", "cluster",
+                                              "cluster_task_id")
+
+
+def q_pca_coords(spark, sf_dir):
+    return CU.pca_2d(mh_signatures(spark, sf_dir), "doc_id", "signature")
+
+
+# ---- vectors and classifier ----
+
+def q_doc_embedding(spark, sf_dir):
+    e = VE.embed_documents(C.corpus_texts(spark, sf_dir))
+    return VE.vector_long(e, "doc_id")
+
+
+def q_l2_normalise(spark, sf_dir):
+    e = C.read_table(spark, sf_dir, "embeddings")
+    n = e.select("vec_id", EV.l2_normalise(F.col("embedding")).alias("embedding"))
+    return VE.vector_long(n, "vec_id")
+
+
+def _split(spark, sf_dir):
+    e = C.read_table(spark, sf_dir, "embeddings")
+    return CL.stratified_split(e, "vec_id", "label")
+
+
+def q_stratified_split(spark, sf_dir):
+    return _split(spark, sf_dir).select("vec_id", "label", "is_test")
+
+
+def q_class_weights(spark, sf_dir):
+    tr = _split(spark, sf_dir).where(~F.col("is_test"))
+    return CL.class_weights(tr, "label").select("label", "n", _r(F.col("weight")).alias("weight"))
+
+
+def lr_frame(spark, sf_dir):
+    sp = cut_lineage(_split(spark, sf_dir))
+    model = CL.fit_logistic(sp.where(~F.col("is_test")), "embedding", "label")
+    return CL.predict(model, sp.where(F.col("is_test")), "vec_id", "embedding", "label")
+
+
+def q_lr_predictions(spark, sf_dir):
+    return lr_frame(spark, sf_dir)
+
+
+def q_lr_report(spark, sf_dir):
+    return EV.classification_report(lr_frame(spark, sf_dir), "label", "prediction")
+
+
 QUERIES = {
     "clean_text": q_clean_text,
     "label_ids": q_label_ids,
@@ -170,4 +365,34 @@ QUERIES = {
     "mismatches": q_mismatches,
     "tune_thresholds": q_tune_thresholds,
     "tuned_levels": q_tuned_levels,
+    "gram_tf": q_gram_tf,
+    "gram_df": q_gram_df,
+    "tfidf": q_tfidf,
+    "tfidf_best": q_tfidf_best,
+    "tfidf_levels": q_tfidf_levels,
+    "tfidf_tuned": q_tfidf_tuned,
+    "all_pairs_cosine": q_all_pairs_cosine,
+    "top3_neighbours": q_top3_neighbours,
+    "method_comparison": q_method_comparison,
+    "answers_only": q_answers_only,
+    "originals": q_originals,
+    "label_counts": q_label_counts,
+    "task_count": q_task_count,
+    "encode_task": q_encode_task,
+    "preview": q_preview,
+    "missing_report": q_missing_report,
+    "tolerant_load": q_tolerant_load,
+    "purity": q_purity,
+    "ari": q_ari,
+    "cluster_to_task": q_cluster_to_task,
+    "silhouette": q_silhouette,
+    "svd_features": q_svd_features,
+    "kmeans_clusters": q_kmeans_clusters,
+    "pca_coords": q_pca_coords,
+    "doc_embedding": q_doc_embedding,
+    "l2_normalise": q_l2_normalise,
+    "stratified_split": q_stratified_split,
+    "class_weights": q_class_weights,
+    "lr_predictions": q_lr_predictions,
+    "lr_report": q_lr_report,
 }

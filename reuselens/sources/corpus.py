@@ -34,6 +34,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition by ``key`` only when the scan is narrower than the
+    session's shuffle parallelism (a small file with one row group is read
+    by one task). At scale the scan already has thousands of splits and this
+    is a no-op, so no full shuffle of the text is added."""
+    target = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df
+
+
 def category_from_labels(doc_id="doc_id", quality="quality", toxic="toxic"):
     d, q, t = F.col(doc_id), F.col(quality), F.col(toxic)
     expr = F.when(F.pmod(d, F.lit(ORIGINAL_EVERY)) == 0, F.lit("orig"))
@@ -64,7 +75,7 @@ def corpus_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def corpus_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, raw_text, clean_text for every document (whole texts)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("raw_text"),
                        X.clean_text("text").alias("clean_text"))
 
@@ -75,7 +86,7 @@ def is_original(doc_id="doc_id"):
 
 def benchmark_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """External originals: item_id, raw_text, clean_text."""
-    b = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
+    b = spread(read_table(spark, sf_dir, "benchmark").select("item_id", "text"), "item_id")
     return b.select("item_id", F.coalesce("text", F.lit("")).alias("raw_text"),
                     X.clean_text("text").alias("clean_text"))
 

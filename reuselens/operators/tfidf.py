@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reuselens.functions import text as X
+from reuselens.session import cut_lineage
 
 # TF-IDF settings of the two configurations.
 MIN_DF = 2
@@ -44,15 +45,36 @@ def document_frequencies(tf: DataFrame, n_docs: int, min_df: int = MIN_DF,
 def tfidf(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
           min_df: int = MIN_DF, max_df: float = MAX_DF_SIMILARITY,
           n_docs: int | None = None) -> DataFrame:
-    """(key, gram, w): tf * idf, L2-normalised per document. Documents
-    whose grams are all pruned have no rows (their vector is zero)."""
+    """(key, gram, gid, w): tf * idf, L2-normalised per document.
+    Documents whose grams are all pruned have no rows (zero vector).
+    ``gid`` is a 64-bit integer id of the gram (see ``gram_ids``)."""
     n_docs = texts.count() if n_docs is None else n_docs
     tf = term_frequencies(texts, key, clean)
-    dfs = document_frequencies(tf, n_docs, min_df, max_df)
-    t = tf.join(dfs.select("gram", "idf"), "gram").select(
-        key, "gram", (F.col("tf") * F.col("idf")).alias("w"))
+    dfs = gram_ids(document_frequencies(tf, n_docs, min_df, max_df))
+    t = tf.join(dfs.select("gram", "gid", "idf"), "gram").select(
+        key, "gram", "gid", (F.col("tf") * F.col("idf")).alias("w"))
     norms = t.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return t.join(norms, key).select(key, "gram", (F.col("w") / F.col("norm")).alias("w"))
+    return t.join(norms, key).select(key, "gram", "gid", (F.col("w") / F.col("norm")).alias("w"))
+
+
+def gram_ids(vocab: DataFrame) -> DataFrame:
+    """Add ``gid``: xxhash64 of the gram (see ``unique_gram_ids`` for the
+    collision check consumers of ``gid`` run on materialised weights)."""
+    return vocab.withColumn("gid", F.xxhash64("gram"))
+
+
+def unique_gram_ids(w: DataFrame) -> DataFrame:
+    """Return ``w`` with collision-free gram ids: if two distinct grams ever
+    share an xxhash64 value, ids are re-assigned exactly (index of the gram
+    in a materialised copy of the vocabulary)."""
+    clash = (w.select("gram", "gid").distinct().groupBy("gid").count()
+              .where(F.col("count") > 1).limit(1).count())
+    if clash == 0:
+        return w
+    vocab = cut_lineage(w.select("gram").distinct())
+    rdd = vocab.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
+    ids = w.sparkSession.createDataFrame(rdd, "gram string, gid long")
+    return w.drop("gid").join(ids, "gram")
 
 
 def _rank_sim(c):
@@ -108,6 +130,9 @@ def top_neighbours(pairs: DataFrame, docs: DataFrame, k: int = 3, key: str = "do
     p = pairs.select("doc_id", "other_id", _rank_sim(F.col("sim")).alias("sim"))
     w = Window.partitionBy("doc_id").orderBy(F.desc("sim"), F.asc("other_id"))
     top = p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    # k rows per document, read twice below: materialise once (reliable
+    # checkpoint in the shared folder) instead of recomputing all pairs
+    top = cut_lineage(top)
     # Fill: a document with < k partners needs its missing neighbours from
     # the 2k + 1 lowest ids (at most k - 1 partners and itself are excluded).
     ids = docs.select(F.col(key).alias("doc_id"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reuselens.functions import labels as L
 from reuselens.functions import text as X
+from reuselens.operators import blockpairs as BP
 from reuselens.operators import classify as CL
 from reuselens.operators import clustering as CU
 from reuselens.operators import evaluation as EV
@@ -62,7 +63,7 @@ def _labelled(df):
 def tf_weights(spark, sf_dir, max_df=TF.MAX_DF_SIMILARITY):
     """Long TF-IDF weights of all documents, written once to the checkpoint
     folder (both sides of the cosine joins read them)."""
-    return cut_lineage(TF.tfidf(C.corpus_texts(spark, sf_dir), max_df=max_df))
+    return TF.unique_gram_ids(cut_lineage(TF.tfidf(C.corpus_texts(spark, sf_dir), max_df=max_df)))
 
 
 def _doc_ids(spark, sf_dir):
@@ -70,10 +71,10 @@ def _doc_ids(spark, sf_dir):
 
 
 def tf_best(spark, sf_dir):
-    w = tf_weights(spark, sf_dir)
-    ids = _doc_ids(spark, sf_dir)
-    first = ids.where(C.is_original()).agg(F.min("doc_id")).first()[0]
-    return TF.best_original(w, w.where(C.is_original()), ids, first_original=first)
+    w = BP.with_zero_rows(tf_weights(spark, sf_dir), _doc_ids(spark, sf_dir))
+    b = BP.best_match(w, w.where(C.is_original()))
+    return b.select("doc_id", F.col("other_id").alias("best_original"),
+                    F.col("sim").alias("best_sim"))
 
 
 def tf_eval_frame(spark, sf_dir):
@@ -194,13 +195,13 @@ def q_tfidf_tuned(spark, sf_dir):
 
 
 def q_all_pairs_cosine(spark, sf_dir):
-    p = TF.all_pairs_cosine(tf_weights(spark, sf_dir))
+    p = BP.all_pairs(tf_weights(spark, sf_dir))
     return p.select("doc_id", "other_id", _r(F.col("sim")).alias("sim"))
 
 
 def q_top3_neighbours(spark, sf_dir):
-    p = TF.all_pairs_cosine(tf_weights(spark, sf_dir))
-    t = TF.top_neighbours(p, _doc_ids(spark, sf_dir), k=3)
+    w = BP.with_zero_rows(tf_weights(spark, sf_dir), _doc_ids(spark, sf_dir))
+    t = BP.top_neighbours(w, k=3)
     return t.select("doc_id", "rank", "other_id", _r(F.col("sim")).alias("sim"))
 
 

@@ -88,7 +88,13 @@ def word_ngrams(clean) -> Column:
     """Unigrams followed by bigrams of the >=2-character tokens.
 
     Bigrams are formed after single-character tokens are dropped, as in the
-    usual TF-IDF analyser with ngram range (1, 2).
+    usual TF-IDF analyser with ngram range (1, 2). Pass the column of
+    ``analyser_tokens`` to ``ngrams_of_tokens`` instead when the tokens are
+    already materialised (the token expression is used several times here).
     """
-    t = analyser_tokens(clean)
+    return ngrams_of_tokens(analyser_tokens(clean))
+
+
+def ngrams_of_tokens(t) -> Column:
+    t = as_col(t)
     return F.when(F.size(t) >= 2, F.concat(t, _join_shifted(t, 2))).otherwise(t)

@@ -118,11 +118,20 @@ def with_zero_rows(w: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFra
         missing.select("doc_id", F.lit(-1).cast("long").alias("gid"), F.lit(0.0).alias("w")))
 
 
-def _n_blocks(w: DataFrame) -> int:
-    spark = w.sparkSession
+def _parallelism(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _n_blocks(w: DataFrame, min_tasks: int | None = None, other_blocks: int = 0) -> int:
+    """Blocks for ``w``: enough that a block holds at most BLOCK_NNZ weights,
+    and enough block pairs to keep every core busy."""
     nnz = w.count()
-    par = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, math.ceil(nnz / BLOCK_NNZ), math.ceil(math.sqrt(2 * par)))
+    par = _parallelism(w) if min_tasks is None else min_tasks
+    if other_blocks:  # rectangular grid: bl x br pairs
+        need = math.ceil(2 * par / other_blocks)
+    else:             # symmetric grid: b (b + 1) / 2 pairs
+        need = math.ceil((math.sqrt(1 + 16 * par) - 1) / 2)
+    return max(1, math.ceil(nnz / BLOCK_NNZ), need)
 
 
 def _block(col, b):
@@ -176,7 +185,7 @@ def best_match(doc_w: DataFrame, orig_w: DataFrame) -> DataFrame:
     """J1 + W1: (doc_id, other_id, sim) = the best original of every
     document with a non-zero vector (originals included, self allowed);
     ties and all-zero rows go to the lowest original id."""
-    bl = _n_blocks(doc_w)
     br = max(1, math.ceil(orig_w.count() / BLOCK_NNZ))
+    bl = _n_blocks(doc_w, other_blocks=br)
     cand = _pairs(doc_w, orig_w, bl, br, _kernel(1, "topk", False), symmetric=False)
     return _final_topk(cand, 1).drop("rank")

@@ -28,7 +28,8 @@ def term_frequencies(texts: DataFrame, key: str = "doc_id", clean: str = "clean_
 
     All grams of a document come from one input row, so the count is
     completed by the map-side partial aggregate."""
-    g = texts.select(key, F.explode(X.word_ngrams(clean)).alias("gram"))
+    t = texts.select(key, X.analyser_tokens(clean).alias("_t"))
+    g = t.select(key, F.explode(X.ngrams_of_tokens("_t")).alias("gram"))
     return g.groupBy(key, "gram").agg(F.count("*").alias("tf"))
 
 
@@ -49,12 +50,16 @@ def tfidf(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
     Documents whose grams are all pruned have no rows (zero vector).
     ``gid`` is a 64-bit integer id of the gram (see ``gram_ids``)."""
     n_docs = texts.count() if n_docs is None else n_docs
-    tf = term_frequencies(texts, key, clean)
-    dfs = gram_ids(document_frequencies(tf, n_docs, min_df, max_df))
+    # tf feeds two passes (document frequencies, then weights): materialise
+    # it once in the checkpoint folder instead of re-tokenising every text
+    tf = cut_lineage(term_frequencies(texts, key, clean))
+    dfs = unique_gram_ids(cut_lineage(gram_ids(document_frequencies(tf, n_docs, min_df, max_df))))
     t = tf.join(dfs.select("gram", "gid", "idf"), "gram").select(
         key, "gram", "gid", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = t.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return t.join(norms, key).select(key, "gram", "gid", (F.col("w") / F.col("norm")).alias("w"))
+    # per-document norm as a window: the rows of a document are bounded by
+    # its length, and no second join on the key is needed
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return t.select(key, "gram", "gid", (F.col("w") / norm).alias("w"))
 
 
 def gram_ids(vocab: DataFrame) -> DataFrame:
@@ -63,18 +68,15 @@ def gram_ids(vocab: DataFrame) -> DataFrame:
     return vocab.withColumn("gid", F.xxhash64("gram"))
 
 
-def unique_gram_ids(w: DataFrame) -> DataFrame:
-    """Return ``w`` with collision-free gram ids: if two distinct grams ever
-    share an xxhash64 value, ids are re-assigned exactly (index of the gram
-    in a materialised copy of the vocabulary)."""
-    clash = (w.select("gram", "gid").distinct().groupBy("gid").count()
-              .where(F.col("count") > 1).limit(1).count())
+def unique_gram_ids(vocab: DataFrame) -> DataFrame:
+    """Return the vocabulary with collision-free gram ids: if two distinct
+    grams ever share an xxhash64 value, ids are re-assigned exactly (index
+    of the gram in the materialised vocabulary)."""
+    clash = vocab.groupBy("gid").count().where(F.col("count") > 1).limit(1).count()
     if clash == 0:
-        return w
-    vocab = cut_lineage(w.select("gram").distinct())
-    rdd = vocab.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    ids = w.sparkSession.createDataFrame(rdd, "gram string, gid long")
-    return w.drop("gid").join(ids, "gram")
+        return vocab
+    rdd = vocab.drop("gid").rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
+    return vocab.sparkSession.createDataFrame(rdd, vocab.drop("gid").schema.add("gid", "long"))
 
 
 def _rank_sim(c):

@@ -103,10 +103,10 @@ def read_text_files(spark: SparkSession, path: str, recursive: bool = True) -> D
     """One row per file: ``file`` (base name), ``raw_text`` (UTF-8, bad
     bytes dropped). A directory is searched recursively, as in the
     reference's tolerant loader."""
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    df = reader.text(path)
+    df = reader.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_name").alias("file"),
                      F.col("_metadata.file_path").alias("path"),
                      X.drop_invalid_utf8("value").alias("raw_text"))
@@ -121,8 +121,9 @@ def load_corpus(spark: SparkSession, metadata_path: str, text_path: str) -> Data
     """
     meta = read_metadata(spark, metadata_path)
     texts = read_text_files(spark, text_path)
-    texts = texts.groupBy("file").agg(F.min_by("raw_text", "path").alias("raw_text"))
-    df = meta.join(texts, meta["File"] == texts["file"], "left")
+    texts = texts.groupBy(F.col("file").alias("_file")).agg(
+        F.min_by("raw_text", "path").alias("raw_text"))
+    df = meta.join(texts, meta["File"] == texts["_file"], "left")
     df = df.select("File", "Task", "Category",
                    F.col("raw_text").isNotNull().alias("has_text"),
                    F.coalesce("raw_text", F.lit("")).alias("raw_text"))

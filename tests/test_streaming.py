@@ -1,0 +1,30 @@
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from reuselens.operators import minhash as MH
+from reuselens.sources import corpus as C
+from reuselens.streaming import scoring as ST
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
+def test_stream_equals_batch(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    shutil.copy(f"{SF}/documents.parquet", os.path.join(src, "part-0.parquet"))
+    docs = spark.read.parquet(src)
+    sigs = MH.signatures(C.corpus_texts(spark, SF))
+    origs = sigs.where(C.is_original())
+    stream = ST.read_documents_stream(spark, src, docs.schema)
+    q = ST.start_scoring(stream, origs, os.path.join(tmpdir_path, "out"),
+                         os.path.join(tmpdir_path, "ckpt"), available_now=True)
+    q.awaitTermination(300)
+    got = spark.read.parquet(os.path.join(tmpdir_path, "out"))
+    batch = MH.best_original(sigs, origs)
+    a = sorted(tuple(r) for r in got.select("doc_id", "best_original", "best_sim").collect())
+    b = sorted(tuple(r) for r in batch.collect())
+    assert a == b and len(a) == 200

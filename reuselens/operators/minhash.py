@@ -2,15 +2,15 @@
 
 Design for scale:
 
-* A signature is one grouped aggregate with one ``min`` buffer per hash
-  function. Rows are not multiplied by the number of hash functions and the
-  aggregate is completed map-side (each document's shingles come from a single
-  input row), so the shuffle carries one row per document.
+* A signature is computed per document from its array of shingle hashes by
+  an Arrow-batched, vectorised pandas UDF (or, equivalently, one grouped
+  aggregate with one ``min`` buffer per hash function). Rows are never
+  multiplied by the number of hash functions and nothing is shuffled.
 * Best-original search is an equi-join of long signatures on
   ``(position, value)``. Exact-copy signatures are collapsed first on both
-  sides (a group of copies becomes one row), and empty documents (all
-  positions equal to the sentinel) are answered without the join, so neither
-  can create a hot key.
+  sides (a group of copies becomes one row), empty documents (all positions
+  equal to the sentinel) are answered without the join, and keys held by
+  many originals are salted (``salted_match_counts``).
 """
 
 from __future__ import annotations
@@ -124,8 +124,36 @@ def _is_empty(sig="signature"):
     return F.col(sig)[0] == F.lit(SENTINEL)
 
 
+# originals sharing one (position, value) beyond which the key is split
+HOT_LIMIT = 2048
+
+
+def salted_match_counts(dl: DataFrame, ol: DataFrame, hot_limit: int = HOT_LIMIT) -> DataFrame:
+    """(_rep, _orig, n_eq): number of equal positions of every document /
+    original pair sharing at least one position.
+
+    A key (i, m) held by more than ``hot_limit`` originals (near copies of
+    one text, or a very common shingle) is split: its originals are spread
+    over ceil(count / hot_limit) salts and the documents with that key are
+    replicated once per salt, so no join task receives a hot group whole.
+    The hot-key table is bounded by 100 x #originals / hot_limit rows.
+    Counts are pre-aggregated per (document, original) before the shuffle.
+    """
+    hot = (ol.groupBy("i", "m").agg(F.count("*").alias("_c"))
+             .where(F.col("_c") > hot_limit)
+             .select("i", "m", F.ceil(F.col("_c") / F.lit(hot_limit)).cast("int").alias("_s")))
+    ol = ol.join(F.broadcast(hot), ["i", "m"], "left").withColumn(
+        "_salt", F.when(F.col("_s").isNull(), F.lit(0))
+                  .otherwise(F.pmod(F.xxhash64("_orig"), F.col("_s")).cast("int"))).drop("_s")
+    dl = dl.join(F.broadcast(hot), ["i", "m"], "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s") - 1, F.lit(0))))).drop("_s")
+    return (dl.join(ol, ["i", "m", "_salt"])
+              .groupBy("_rep", "_orig").agg(F.count("*").alias("n_eq")))
+
+
 def best_original(doc_sigs: DataFrame, orig_sigs: DataFrame, doc_key: str = "doc_id",
-                  orig_key: str = "doc_id", num_hashes: int = NUM_HASHES) -> DataFrame:
+                  orig_key: str = "doc_id", num_hashes: int = NUM_HASHES,
+                  hot_limit: int = HOT_LIMIT) -> DataFrame:
     """J1 + T6 + W1: for every document, the original with the highest
     signature similarity; ties go to the lowest original key (the first
     original in file order). Every document is scored, originals included.
@@ -149,7 +177,7 @@ def best_original(doc_sigs: DataFrame, orig_sigs: DataFrame, doc_key: str = "doc
 
     ol = signature_long(orep.filter(~_is_empty()), "_orig")
     dl = signature_long(drep.filter(~_is_empty()), "_rep")
-    pairs = dl.join(ol, ["i", "m"]).groupBy("_rep", "_orig").agg(F.count("*").alias("n_eq"))
+    pairs = salted_match_counts(dl, ol, hot_limit)
     # argmax with first-wins tie rule as a partial-aggregating min over a struct
     best = pairs.groupBy("_rep").agg(
         F.min(F.struct((-F.col("n_eq")).alias("neg"), F.col("_orig").alias("orig"))).alias("b"))

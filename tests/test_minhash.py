@@ -73,3 +73,18 @@ def test_best_original_without_empty_original(spark):
     got = {r.doc_id: (r.best_original, r.best_sim)
            for r in MH.best_original(sigs, sigs.where(F.col("doc_id") % 20 == 0)).collect()}
     assert got[5] == (0, 0.0)
+
+
+def test_salted_hot_keys_give_same_answer(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for d in range(0, 200):
+        ws = list(base)
+        ws[d % 60] = f"edit{d}"          # near copies: distinct signatures
+        rows.append((d, " ".join(ws)))
+    rows.append((1000, "unrelated words only here and there"))
+    sigs = MH.signatures(_texts(spark, rows))
+    origs = sigs.where(F.col("doc_id") % 20 == 0)
+    a = sorted(tuple(r) for r in MH.best_original(sigs, origs).collect())
+    b = sorted(tuple(r) for r in MH.best_original(sigs, origs, hot_limit=2).collect())
+    assert a == b and len(a) == 201

@@ -1,9 +1,8 @@
-"""TF-IDF weights in long form (T7-T9) and cosine search.
+"""TF-IDF weights in long form.
 
-Weights are kept as rows ``(key, gram, w)``; a dot product of two documents
-is a sum over their shared grams, i.e. an equi-join on ``gram`` followed by a
-grouped sum. Nothing is ever widened into a vocabulary-sized vector or an
-n x n matrix.
+Weights are kept as rows ``(key, gram, gid, w)``; nothing is widened into a
+vocabulary-sized vector. Cosine search over these rows (J1, J2, W1, W2) is in
+``blockpairs``.
 """
 
 from __future__ import annotations
@@ -18,9 +17,6 @@ from reuselens.session import cut_lineage
 MIN_DF = 2
 MAX_DF_CLUSTERING = 0.8
 MAX_DF_SIMILARITY = 0.85
-# Similarities are compared after rounding to this many decimals, so that
-# equal documents tie exactly whatever the summation order.
-RANK_DECIMALS = 9
 
 
 def term_frequencies(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text") -> DataFrame:
@@ -77,75 +73,3 @@ def unique_gram_ids(vocab: DataFrame) -> DataFrame:
         return vocab
     rdd = vocab.drop("gid").rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
     return vocab.sparkSession.createDataFrame(rdd, vocab.drop("gid").schema.add("gid", "long"))
-
-
-def _rank_sim(c):
-    return F.round(c, RANK_DECIMALS)
-
-
-def best_original(doc_w: DataFrame, orig_w: DataFrame, docs: DataFrame,
-                  doc_key: str = "doc_id", orig_key: str = "doc_id",
-                  first_original=None) -> DataFrame:
-    """J1 + W1 for cosine: every document in ``docs`` against every original.
-
-    ``doc_w`` / ``orig_w`` are long weights. A document sharing no gram with
-    any original gets the first original with similarity 0 (the reference's
-    first-wins rule over all-zero scores). Returns (doc_key, best_original,
-    best_sim). AQE turns the gram join into a broadcast join when the
-    originals' side is measured small at runtime.
-    """
-    o = orig_w.select(F.col(orig_key).alias("_orig"), "gram", F.col("w").alias("wo"))
-    d = doc_w.select(F.col(doc_key).alias("_doc"), "gram", F.col("w").alias("wd"))
-    pairs = d.join(o, "gram").groupBy("_doc", "_orig").agg(
-        _rank_sim(F.sum(F.col("wd") * F.col("wo"))).alias("sim"))
-    best = pairs.groupBy("_doc").agg(
-        F.min(F.struct((-F.col("sim")).alias("neg"), F.col("_orig").alias("o"))).alias("b"))
-    best = best.select("_doc", (-F.col("b.neg")).alias("sim"), F.col("b.o").alias("_best"))
-    all_docs = docs.select(F.col(doc_key).alias("_doc"))
-    return all_docs.join(best, "_doc", "left").select(
-        F.col("_doc").alias(doc_key),
-        F.coalesce(F.col("_best"), F.lit(first_original)).cast("bigint").alias("best_original"),
-        F.coalesce(F.col("sim"), F.lit(0.0)).alias("best_sim"))
-
-
-def all_pairs_cosine(w: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id, other_id, sim) for every ordered pair of distinct
-    documents sharing at least one gram (all other pairs have similarity 0).
-    Work grows with the sum over grams of df^2: this is the reference's full
-    n x n matrix, kept sparse."""
-    a = w.select(F.col(key).alias("doc_id"), "gram", F.col("w").alias("wa"))
-    b = w.select(F.col(key).alias("other_id"), "gram", F.col("w").alias("wb"))
-    return (a.join(b, "gram").where(F.col("doc_id") != F.col("other_id"))
-             .groupBy("doc_id", "other_id")
-             .agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")))
-
-
-def top_neighbours(pairs: DataFrame, docs: DataFrame, k: int = 3, key: str = "doc_id") -> DataFrame:
-    """W2 + P9: the k most similar other documents of each document,
-    similarity descending, other id ascending; documents with fewer than k
-    sharing partners are filled with similarity-0 documents, lowest id first,
-    as a full similarity row would be.
-
-    The ``row_number() <= k`` filter lets Spark insert a partial group limit
-    before the shuffle, so only k rows per document and partition move.
-    """
-    p = pairs.select("doc_id", "other_id", _rank_sim(F.col("sim")).alias("sim"))
-    w = Window.partitionBy("doc_id").orderBy(F.desc("sim"), F.asc("other_id"))
-    top = p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    # k rows per document, read twice below: materialise once (reliable
-    # checkpoint in the shared folder) instead of recomputing all pairs
-    top = cut_lineage(top)
-    # Fill: a document with < k partners needs its missing neighbours from
-    # the 2k + 1 lowest ids (at most k - 1 partners and itself are excluded).
-    ids = docs.select(F.col(key).alias("doc_id"))
-    first = ids.select(F.col("doc_id").alias("other_id")).orderBy("other_id").limit(2 * k + 1)
-    have = top.groupBy("doc_id").agg(F.count("*").alias("c"))
-    need = ids.join(have, "doc_id", "left").where(F.coalesce("c", F.lit(0)) < k).select("doc_id")
-    # bounded: at most 2k + 1 candidates per document that needs them
-    fill = need.join(F.broadcast(first), how="inner", on=F.lit(True)) \
-        .where(F.col("doc_id") != F.col("other_id")) \
-        .join(top.select("doc_id", "other_id"), ["doc_id", "other_id"], "left_anti") \
-        .select("doc_id", "other_id", F.lit(0.0).alias("sim"))
-    both = top.select("doc_id", "other_id", "sim").unionByName(fill)
-    w2 = Window.partitionBy("doc_id").orderBy(F.desc("sim"), F.asc("other_id"))
-    return both.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)

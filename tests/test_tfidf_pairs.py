@@ -94,3 +94,12 @@ def test_result_independent_of_block_count(spark):
     finally:
         BP.BLOCK_NNZ = old
     assert a == b
+
+
+def test_gram_id_collision_fallback(spark):
+    vocab = spark.createDataFrame([("aa", 1.0, 7), ("bb", 2.0, 7), ("cc", 3.0, 8)],
+                                  "gram string, idf double, gid long")
+    fixed = {r.gram: r.gid for r in TF.unique_gram_ids(vocab).collect()}
+    assert len(set(fixed.values())) == 3
+    ok = spark.createDataFrame([("aa", 1.0, 1), ("bb", 2.0, 2)], "gram string, idf double, gid long")
+    assert {r.gram: r.gid for r in TF.unique_gram_ids(ok).collect()} == {"aa": 1, "bb": 2}

@@ -88,11 +88,14 @@ def word_ngrams(clean) -> Column:
     """Unigrams followed by bigrams of the >=2-character tokens.
 
     Bigrams are formed after single-character tokens are dropped, as in the
-    usual TF-IDF analyser with ngram range (1, 2). Pass the column of
-    ``analyser_tokens`` to ``ngrams_of_tokens`` instead when the tokens are
-    already materialised (the token expression is used several times here).
+    usual TF-IDF analyser with ngram range (1, 2). Native regex passes only:
+    single-character tokens (with one adjacent space) are removed, the rest
+    is split, and bigrams are captured by a look-ahead at every token start.
     """
-    return ngrams_of_tokens(analyser_tokens(clean))
+    long_only = F.trim(F.regexp_replace(as_col(clean), r"(?<![^ ])[^ ](?![^ ]) ?", ""))
+    uni = F.when(long_only == "", _empty_strings()).otherwise(F.split(long_only, " "))
+    bi = F.regexp_extract_all(long_only, F.lit("(?:^| )(?=([^ ]+ [^ ]+))"), F.lit(1))
+    return F.concat(uni, bi)
 
 
 def ngrams_of_tokens(t) -> Column:

@@ -160,7 +160,8 @@ def q_tune_thresholds(spark, sf_dir):
 
 
 def q_tuned_levels(spark, sf_dir):
-    ev = _labelled(mh_eval_frame(spark, sf_dir))
+    # read twice (tuning, then levels): materialise once
+    ev = cut_lineage(_labelled(mh_eval_frame(spark, sf_dir)))
     return TU.tuned_levels(ev, "best_sim", "truth_level").select(
         "doc_id", "best_sim", "truth_level", "tuned_level")
 
@@ -206,8 +207,10 @@ def q_top3_neighbours(spark, sf_dir):
 
 
 def q_method_comparison(spark, sf_dir):
-    mh = TU.tuned_levels(_labelled(mh_eval_frame(spark, sf_dir)), "best_sim", "truth_level")
-    tf = TU.tuned_levels(_labelled(tf_eval_frame(spark, sf_dir)), "best_sim", "truth_level")
+    mh_ev = cut_lineage(_labelled(mh_eval_frame(spark, sf_dir)))
+    tf_ev = cut_lineage(_labelled(tf_eval_frame(spark, sf_dir)))
+    mh = TU.tuned_levels(mh_ev, "best_sim", "truth_level")
+    tf = TU.tuned_levels(tf_ev, "best_sim", "truth_level")
     a = EV.result_row(EV.macro_prf(mh, "truth_level", "tuned_level"), "minhash")
     b = EV.result_row(EV.macro_prf(tf, "truth_level", "tuned_level"), "tfidf_cosine")
     return a.unionByName(b)

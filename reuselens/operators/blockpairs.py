@@ -119,7 +119,7 @@ def with_zero_rows(w: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFra
 
 
 def _parallelism(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
 def _n_blocks(w: DataFrame, min_tasks: int | None = None, other_blocks: int = 0) -> int:

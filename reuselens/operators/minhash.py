@@ -136,16 +136,18 @@ def salted_match_counts(dl: DataFrame, ol: DataFrame, hot_limit: int = HOT_LIMIT
     one text, or a very common shingle) is split: its originals are spread
     over ceil(count / hot_limit) salts and the documents with that key are
     replicated once per salt, so no join task receives a hot group whole.
-    The hot-key table is bounded by 100 x #originals / hot_limit rows.
-    Counts are pre-aggregated per (document, original) before the shuffle.
+    The hot-key table has at most 100 x #originals / hot_limit rows; that
+    bound grows with the data, so it is joined normally and AQE broadcasts
+    it only when it measures it small. Counts are pre-aggregated per
+    (document, original) before the shuffle.
     """
     hot = (ol.groupBy("i", "m").agg(F.count("*").alias("_c"))
              .where(F.col("_c") > hot_limit)
              .select("i", "m", F.ceil(F.col("_c") / F.lit(hot_limit)).cast("int").alias("_s")))
-    ol = ol.join(F.broadcast(hot), ["i", "m"], "left").withColumn(
+    ol = ol.join(hot, ["i", "m"], "left").withColumn(
         "_salt", F.when(F.col("_s").isNull(), F.lit(0))
                   .otherwise(F.pmod(F.xxhash64("_orig"), F.col("_s")).cast("int"))).drop("_s")
-    dl = dl.join(F.broadcast(hot), ["i", "m"], "left").withColumn(
+    dl = dl.join(hot, ["i", "m"], "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s") - 1, F.lit(0))))).drop("_s")
     return (dl.join(ol, ["i", "m", "_salt"])
               .groupBy("_rep", "_orig").agg(F.count("*").alias("n_eq")))

@@ -36,10 +36,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition by ``key`` only when the scan is narrower than the
-    session's shuffle parallelism (a small file with one row group is read
-    by one task). At scale the scan already has thousands of splits and this
-    is a no-op, so no full shuffle of the text is added."""
-    target = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cluster's cores (a small file with one row group is read by one task).
+    At scale the scan already has thousands of splits and this is a no-op,
+    so no full shuffle of the text is added."""
+    target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target, key)
     return df

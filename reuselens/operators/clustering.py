@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +56,101 @@ def svd_reduce(vectors: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS)
     return spark.createDataFrame(u, f"{key} bigint, reduced array<double>")
 
 
+def _csr_builder():
+    """Return the per-partition CSR builder (nested, so it is shipped to the
+    workers by value and needs only numpy there)."""
+
+    def build(rows):
+        """Partition of (doc_id, col, w) rows -> one numpy CSR block (rows of a
+        document may arrive in any order; documents are whole per partition)."""
+        import numpy as _np
+
+        data = list(rows)
+        if not data:
+            return
+        a = _np.array(data, dtype=object)
+        doc = a[:, 0].astype(_np.int64)
+        col = a[:, 1].astype(_np.int64)
+        val = a[:, 2].astype(_np.float64)
+        o = _np.lexsort((col, doc))
+        doc, col, val = doc[o], col[o], val[o]
+        ids, start = _np.unique(doc, return_index=True)
+        owner = _np.repeat(_np.arange(len(ids)), _np.diff(_np.r_[start, len(doc)]))
+        co = _np.argsort(col, kind="stable")
+        ucol, cstart = _np.unique(col[co], return_index=True)
+        yield ids, start, owner, col, val, co, ucol, cstart
+
+    return build
+
+
+def _pass(blocks, z_bc, v: int, l: int):
+    """One distributed pass: (X^T X Z, (X Z)^T (X Z)) summed over blocks."""
+    import numpy as _np
+
+    def one(b):
+        ids, start, owner, col, val, co, ucol, cstart = b
+        z = z_bc.value
+        y = _np.add.reduceat(val[:, None] * z[col], start, axis=0)       # docs x l
+        contrib = (val[:, None] * y[owner])[co]                          # nnz x l by column
+        a = _np.zeros((v, l))
+        a[ucol] = _np.add.reduceat(contrib, cstart, axis=0)
+        return a, y.T @ y
+
+    def add(p, q):
+        return p[0] + q[0], p[1] + q[1]
+
+    return blocks.map(one).treeAggregate((_np.zeros((v, l)), _np.zeros((l, l))), add, add)
+
+
+def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
+                          oversample: int = 10, n_iter: int = 5, seed: int = SEED) -> DataFrame:
+    """M1 by randomised subspace iteration (the usual default algorithm for
+    truncated SVD; 5 power iterations, 10 extra directions).
+
+    ``w`` is the long TF-IDF table (key, gid, w). Spark partitions the
+    documents; every task keeps its documents as a numpy CSR block (cached)
+    and each pass is one tree aggregation of X^T (X Z) and the l x l Gram
+    matrix. The driver holds vocabulary x (k + oversample) numbers, the same
+    bound as the JVM SVD's V. Returns (key, reduced) = rows of X V_k.
+    """
+    spark = w.sparkSession
+    sc = spark.sparkContext
+    vocab = w.select("gid").distinct()
+    vocab = spark.createDataFrame(vocab.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])),
+                                  "gid long, _c long")
+    v = vocab.count()
+    ent = w.join(vocab, "gid").select(F.col(key).alias("_k"), "_c", "w")
+    part = max(1, sc.defaultParallelism)
+    blocks = ent.repartition(part, "_k").rdd.map(tuple).mapPartitions(_csr_builder()).cache()
+    n = blocks.map(lambda b: len(b[0])).sum()
+    l = int(min(k + oversample, v, n))
+    z = np.random.RandomState(seed).normal(size=(v, l))
+    for _ in range(n_iter):
+        bz = sc.broadcast(z)
+        a, _g = _pass(blocks, bz, v, l)
+        bz.unpersist()
+        z, _r = np.linalg.qr(a)
+    bz = sc.broadcast(z)
+    a, g = _pass(blocks, bz, v, l)            # a = X^T Y, g = Y^T Y with Y = X Z
+    bz.unpersist()
+    lam, e = np.linalg.eigh(g)
+    keep = lam > lam.max() * 1e-12
+    bt = a @ (e[:, keep] / np.sqrt(lam[keep]))  # X^T Q with Q = Y E L^-1/2 orthonormal
+    p_, _s, _ = np.linalg.svd(bt, full_matrices=False)
+    vk = p_[:, :k]
+    bv = sc.broadcast(vk)
+
+    def project(b):
+        import numpy as _np
+
+        ids, start, owner, col, val = b[:5]
+        red = _np.add.reduceat(val[:, None] * bv.value[col], start, axis=0)
+        return [(int(i), [float(t) for t in r]) for i, r in zip(ids, red)]
+
+    out = blocks.flatMap(project)
+    return spark.createDataFrame(out, f"{key} long, reduced array<double>")
+
+
 def kmeans_best_of(df: DataFrame, features: str, k: int, n_init: int = N_INIT,
                    seed: int = SEED, max_iter: int = 300, tol: float = 1e-4):
     """M2: KMeans fitted with n_init seeds; the lowest training cost wins

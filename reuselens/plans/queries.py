@@ -286,14 +286,22 @@ def q_silhouette(spark, sf_dir):
     return EV.silhouette_cosine(e, "embedding", "label").select(_r(F.col("silhouette")).alias("silhouette"))
 
 
+def svd_frame(spark, sf_dir):
+    """TF-IDF (max_df 0.8) reduced to 50 dimensions for every document with
+    a non-zero vector (zero vectors reduce to zero), materialised."""
+    w = tf_weights(spark, sf_dir, max_df=TF.MAX_DF_CLUSTERING)
+    red = CU.randomized_svd_reduce(w)
+    zero = F.array_repeat(F.lit(0.0), CU.SVD_COMPONENTS)
+    all_ids = _doc_ids(spark, sf_dir).join(red, "doc_id", "left")
+    return cut_lineage(all_ids.select("doc_id", F.coalesce("reduced", zero).alias("reduced")))
+
+
 def q_svd_features(spark, sf_dir):
-    v = CU.tfidf_vectors(C.corpus_texts(spark, sf_dir))
-    return CU.svd_reduce(v)
+    return svd_frame(spark, sf_dir)
 
 
 def kmeans_frame(spark, sf_dir):
-    texts = C.corpus_texts(spark, sf_dir)
-    red = cut_lineage(CU.svd_reduce(CU.tfidf_vectors(texts)))
+    red = svd_frame(spark, sf_dir)
     lab = C.corpus_labels(spark, sf_dir).select("doc_id", "task")
     enc, _ = EV.encode_sorted(lab, "task", "task_id")
     k = lab.agg(F.countDistinct("task")).first()[0]

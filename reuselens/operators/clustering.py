@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reuselens.functions import text as X
+from reuselens.session import cut_lineage
 from reuselens.operators.tfidf import MAX_DF_CLUSTERING, MIN_DF
 
 SVD_COMPONENTS = 50
@@ -147,8 +148,11 @@ def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPON
         red = _np.add.reduceat(val[:, None] * bv.value[col], start, axis=0)
         return [(int(i), [float(t) for t in r]) for i, r in zip(ids, red)]
 
-    out = blocks.flatMap(project)
-    return spark.createDataFrame(out, f"{key} long, reduced array<double>")
+    out = spark.createDataFrame(blocks.flatMap(project), f"{key} long, reduced array<double>")
+    out = cut_lineage(out)   # written once; then the cached blocks are released
+    bv.unpersist()
+    blocks.unpersist()
+    return out
 
 
 def kmeans_best_of(df: DataFrame, features: str, k: int, n_init: int = N_INIT,
@@ -167,6 +171,7 @@ def kmeans_best_of(df: DataFrame, features: str, k: int, n_init: int = N_INIT,
         if best is None or cost < best[0]:
             best = (cost, m)
     model = best[1]
+    x.unpersist()
     out = model.transform(x).drop("_f")
     return model, out.withColumn("cluster", F.col("cluster").cast("int"))
 

@@ -293,7 +293,7 @@ def svd_frame(spark, sf_dir):
     red = CU.randomized_svd_reduce(w)
     zero = F.array_repeat(F.lit(0.0), CU.SVD_COMPONENTS)
     all_ids = _doc_ids(spark, sf_dir).join(red, "doc_id", "left")
-    return cut_lineage(all_ids.select("doc_id", F.coalesce("reduced", zero).alias("reduced")))
+    return all_ids.select("doc_id", F.coalesce("reduced", zero).alias("reduced"))
 
 
 def q_svd_features(spark, sf_dir):

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reuselens.session import default_parallelism
+
 RANK_DECIMALS = 9
 # target non-zero weights per block; bounds the memory of one task
 BLOCK_NNZ = 1_000_000
@@ -119,7 +121,7 @@ def with_zero_rows(w: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFra
 
 
 def _parallelism(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
+    return default_parallelism(df.sparkSession)
 
 
 def _n_blocks(w: DataFrame, min_tasks: int | None = None, other_blocks: int = 0) -> int:

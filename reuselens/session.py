@@ -82,7 +82,12 @@ def cut_lineage(df, spark: SparkSession | None = None):
 
 
 def default_parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (falls back to the shuffle partition setting
+    where the SparkContext is not reachable, e.g. a Connect session)."""
     try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return int(spark.sparkContext.defaultParallelism)
     except Exception:  # pragma: no cover
-        return os.cpu_count() or 8
+        try:
+            return int(spark.conf.get("spark.sql.shuffle.partitions"))
+        except Exception:
+            return os.cpu_count() or 8

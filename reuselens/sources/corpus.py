@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from reuselens.functions import labels as L
 from reuselens.functions import text as X
+from reuselens.session import default_parallelism
 
 # Fixed convention for the driver tables: every 20th document is an
 # original (5 of 100, as in the reference corpus), ``lang`` is the task and
@@ -39,10 +40,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cluster's cores (a small file with one row group is read by one task).
     At scale the scan already has thousands of splits and this is a no-op,
     so no full shuffle of the text is added."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, key)
-    return df
+    target = default_parallelism(df.sparkSession)
+    try:
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # no RDD view (e.g. a Connect session): leave as read
+        narrow = False
+    return df.repartition(target, key) if narrow else df
 
 
 def category_from_labels(doc_id="doc_id", quality="quality", toxic="toxic"):

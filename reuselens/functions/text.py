@@ -40,17 +40,6 @@ def tokens(clean) -> Column:
     return F.when(c == "", _empty_strings()).otherwise(F.split(c, " "))
 
 
-def _join_shifted(w: Column, k: int) -> Column:
-    """Element i of the result is w[i] .. w[i+k-1] joined by ' '.
-
-    Built from k shifted slices combined with zip_with, so the token array is
-    never evaluated inside a per-element lambda (that would be quadratic).
-    """
-    n = F.size(w) - k + 1
-    out = F.slice(w, 1, n)
-    for j in range(1, k):
-        out = F.zip_with(out, F.slice(w, j + 1, n), lambda a, b: F.concat(a, F.lit(" "), b))
-    return out
 
 
 def shingles(clean, k: int = 3) -> Column:
@@ -79,9 +68,6 @@ def fast_hash32(s) -> Column:
     return F.xxhash64(as_col(s)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def analyser_tokens(clean) -> Column:
-    """T7 part 1: tokens of two or more word characters."""
-    return F.filter(F.split(as_col(clean), " "), lambda t: F.length(t) >= 2)
 
 
 def word_ngrams(clean) -> Column:
@@ -96,8 +82,3 @@ def word_ngrams(clean) -> Column:
     uni = F.when(long_only == "", _empty_strings()).otherwise(F.split(long_only, " "))
     bi = F.regexp_extract_all(long_only, F.lit("(?:^| )(?=([^ ]+ [^ ]+))"), F.lit(1))
     return F.concat(uni, bi)
-
-
-def ngrams_of_tokens(t) -> Column:
-    t = as_col(t)
-    return F.when(F.size(t) >= 2, F.concat(t, _join_shifted(t, 2))).otherwise(t)

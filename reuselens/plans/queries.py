@@ -241,11 +241,15 @@ def q_encode_task(spark, sf_dir):
     return df.select("doc_id", "task", "task_id")
 
 
-def q_preview(spark, sf_dir):
-    lab = C.corpus_labels(spark, sf_dir)
-    txt = C.corpus_texts(spark, sf_dir)
-    return lab.join(txt, "doc_id").orderBy("doc_id").limit(5) \
-        .select("doc_id", "task", "category", "clean_text")
+def q_preview(spark, sf_dir, n=5):
+    """The first n documents by key. The n keys are chosen from the
+    small label columns first; only their texts are then cleaned (n rows,
+    a bounded broadcast), not the whole corpus."""
+    head = C.corpus_labels(spark, sf_dir).orderBy("doc_id").limit(n) \
+        .select("doc_id", "task", "category")
+    docs = C.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(F.broadcast(head), "doc_id").select(
+        "doc_id", "task", "category", X.clean_text("text").alias("clean_text"))
 
 
 def q_missing_report(spark, sf_dir):

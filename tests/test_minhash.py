@@ -88,3 +88,8 @@ def test_salted_hot_keys_give_same_answer(spark):
     a = sorted(tuple(r) for r in MH.best_original(sigs, origs).collect())
     b = sorted(tuple(r) for r in MH.best_original(sigs, origs, hot_limit=2).collect())
     assert a == b and len(a) == 201
+
+
+def test_signature_similarity_column(spark):
+    df = spark.createDataFrame([([1, 2, 3, 4], [1, 9, 3, 9])], "a array<bigint>, b array<bigint>")
+    assert df.select(MH.signature_similarity("a", "b")).first()[0] == 0.5

@@ -84,23 +84,28 @@ def _csr_builder():
     return build
 
 
-def _pass(blocks, z_bc, v: int, l: int):
-    """One distributed pass: (X^T X Z, (X Z)^T (X Z)) summed over blocks."""
+def _pass(blocks, z_bc, v: int, l: int, dtype):
+    """One distributed pass: (X^T X Z, (X Z)^T (X Z)) summed over blocks.
+    ``dtype`` float32 halves memory and transfer in the power iterations;
+    the Gram matrix is always accumulated in float64."""
     import numpy as _np
 
     def one(b):
         ids, start, owner, col, val, co, ucol, cstart = b
         z = z_bc.value
-        y = _np.add.reduceat(val[:, None] * z[col], start, axis=0)       # docs x l
-        contrib = (val[:, None] * y[owner])[co]                          # nnz x l by column
-        a = _np.zeros((v, l))
+        w = val.astype(dtype)[:, None]
+        y = _np.add.reduceat(w * z[col], start, axis=0)                  # docs x l
+        contrib = (w * y[owner])[co]                                     # nnz x l by column
+        a = _np.zeros((v, l), dtype=dtype)
         a[ucol] = _np.add.reduceat(contrib, cstart, axis=0)
-        return a, y.T @ y
+        y64 = y.astype(_np.float64)
+        return a, y64.T @ y64
 
     def add(p, q):
         return p[0] + q[0], p[1] + q[1]
 
-    return blocks.map(one).treeAggregate((_np.zeros((v, l)), _np.zeros((l, l))), add, add)
+    zero = (_np.zeros((v, l), dtype=dtype), _np.zeros((l, l)))
+    return blocks.map(one).treeAggregate(zero, add, add)
 
 
 def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
@@ -127,12 +132,12 @@ def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPON
     l = int(min(k + oversample, v, n))
     z = np.random.RandomState(seed).normal(size=(v, l))
     for _ in range(n_iter):
-        bz = sc.broadcast(z)
-        a, _g = _pass(blocks, bz, v, l)
+        bz = sc.broadcast(z.astype(np.float32))
+        a, _g = _pass(blocks, bz, v, l, np.float32)
         bz.unpersist()
-        z, _r = np.linalg.qr(a)
+        z, _r = np.linalg.qr(a.astype(np.float64))
     bz = sc.broadcast(z)
-    a, g = _pass(blocks, bz, v, l)            # a = X^T Y, g = Y^T Y with Y = X Z
+    a, g = _pass(blocks, bz, v, l, np.float64)   # a = X^T Y, g = Y^T Y with Y = X Z
     bz.unpersist()
     lam, e = np.linalg.eigh(g)
     keep = lam > lam.max() * 1e-12

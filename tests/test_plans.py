@@ -24,3 +24,14 @@ def test_label_queries_never_read_text(spark):
 def test_text_queries_read_only_needed_columns(spark):
     plan = _plan(E.queries()["clean_text"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_spread_is_a_no_op_on_wide_input(spark):
+    from reuselens.session import default_parallelism
+    from reuselens.sources.corpus import spread
+
+    n = default_parallelism(spark)
+    wide = spark.range(0, 1000, 1, numPartitions=n * 2).withColumnRenamed("id", "doc_id")
+    assert spread(wide, "doc_id") is wide
+    narrow = spark.range(0, 1000, 1, numPartitions=1).withColumnRenamed("id", "doc_id")
+    assert spread(narrow, "doc_id").rdd.getNumPartitions() == n

@@ -7,6 +7,7 @@ is handed to it; ``get_spark`` is for scripts, tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,8 +54,9 @@ def get_spark(master: str | None = None, app: str = "reuselens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is. Only
-    when it is unset (local tests) a scratch folder is created and set.
+    On a cluster this setting names shared storage and is used as is. A
+    scratch folder is made only for a local master, where one process reads
+    and writes everything; any other master without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="reuselens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -57,9 +57,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def utf8_pieces(column, limit: int = PIECE):
-    """Cut a string column into pieces: ``(first row, bytes, offsets)`` where
-    text i of the piece is ``bytes[offsets[i]:offsets[i + 1]]``."""
+def utf8_pieces(column, limit: int = PIECE, rows: int = 1 << 30):
+    """Cut a string column into pieces of at most ``limit`` bytes (or one text)
+    and ``rows`` texts: ``(first row, bytes, offsets)`` where text i of the
+    piece is ``bytes[offsets[i]:offsets[i + 1]]``."""
     chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
     row = 0
     for arr in chunks:
@@ -75,7 +76,7 @@ def utf8_pieces(column, limit: int = PIECE):
         at = 0
         while at < len(arr):
             end = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
-            end = min(end, len(arr))
+            end = min(end, len(arr), at + rows)
             yield row + at, data[off[at]:off[end]], off[at:end + 1] - off[at]
             at = end
         row += len(arr)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reuselens.llm import exact_dedup, mixing, url_filter
-from reuselens.llm.common import table
+from reuselens.llm import exact_dedup, html_extract, language_id, mixing, pu_quality, url_filter
+from reuselens.llm.common import held_out, table
 
 # The rules of the URL query (host, path, verdict).
 URL_RULES = [
@@ -33,19 +33,51 @@ def op4_mixing(spark, sf_dir):
         .drop("draw_key")
 
 
+def op5_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(3, 1)
+    model = language_id.fit(docs.where(~out))
+    return language_id.predict(docs, model, {"held_out": out})
+
+
 def op7_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+#: A text is predicted good from this score on.
+QUALITY_AT = 0.3
+
+
+def quality_model(docs, labels):
+    """The classifier, learned from the labels that are not held out."""
+    out = held_out(5, 0)
+    positives = labels.where((F.col("quality") == 1) & ~out)
+    return pu_quality.fit(docs, positives, labels, ~out)
+
+
+def op8_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return pu_quality.score(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out(5, 0)}) \
+        .withColumn("predicted", (F.col("score") >= QUALITY_AT).cast("int"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_html(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op4_mixing": op4_mixing,
+    "op5_language": op5_language,
     "op7_url_filter": op7_url_filter,
+    "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_html": op10_html,
 }
 
 

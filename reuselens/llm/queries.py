@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reuselens.llm import exact_dedup, html_extract, language_id, mixing, pu_quality, url_filter
+from reuselens.llm import exact_dedup, html_extract, language_id, mixing, pu_quality, suffix_tree, url_filter
 from reuselens.llm.common import held_out, table
 
 # The rules of the URL query (host, path, verdict).
@@ -28,6 +28,10 @@ def quality_weights(spark, sf_dir):
     return table(spark, sf_dir, "labels").select("doc_id", w.alias("weight"))
 
 
+def op1_suffix_tree(spark, sf_dir):
+    return suffix_tree.score_texts(table(spark, sf_dir, "documents"), ~held_out(7, 2))
+
+
 def op4_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), quality_weights(spark, sf_dir)) \
         .drop("draw_key")
@@ -72,6 +76,7 @@ def op10_html(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op7_url_filter": op7_url_filter,

@@ -44,12 +44,14 @@ def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def count_keys(docs: DataFrame, make, n_buckets: int, least: int = 1) -> DataFrame:
+def count_keys(docs: DataFrame, make, n_buckets: int, least: int = 1, local_least: int = 1) -> DataFrame:
     """``key, n`` of the keys that ``make(batch)`` yields as arrays of unsigned
     64-bit numbers for the Arrow batches of ``docs``; keys below ``least`` in
-    all are left out."""
+    all are left out, and counts below ``local_least`` among ``FLUSH`` keys
+    aren't sent."""
     def send(keys):
         keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+        keys, counts = keys[counts >= local_least], counts[counts >= local_least]
         bucket = (K.mix(keys) >> np.uint64(20)) % np.uint64(n_buckets)
         order = np.argsort(bucket, kind="stable")
         at = np.searchsorted(bucket[order], np.arange(n_buckets + 1, dtype=np.uint64))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reuselens.llm import exact_dedup, html_extract, language_id, mixing, pu_quality, suffix_tree, url_filter
+from reuselens.llm import exact_dedup, html_extract, jaccard_join, language_id, mixing, pu_quality, suffix_tree, url_filter
 from reuselens.llm.common import held_out, table
 
 # The rules of the URL query (host, path, verdict).
@@ -44,6 +44,10 @@ def op5_language(spark, sf_dir):
     return language_id.predict(docs, model, {"held_out": out})
 
 
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))[0]
+
+
 def op7_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
@@ -79,6 +83,7 @@ QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,

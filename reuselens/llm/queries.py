@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reuselens.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, mixing, pu_quality, suffix_tree, url_filter
+from reuselens.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, mixing, pu_quality, suffix_dedup, suffix_tree, url_filter
 from reuselens.llm.common import held_out, table
 
 # The rules of the URL query (host, path, verdict).
@@ -32,6 +32,10 @@ def op1_suffix_tree(spark, sf_dir):
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"), ~held_out(7, 2))
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept", "starts", "ends")
+
+
 def op3_decontaminate(spark, sf_dir):
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -85,6 +89,7 @@ def op10_html(spark, sf_dir):
 
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,

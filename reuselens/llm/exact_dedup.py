@@ -26,7 +26,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reuselens.llm.common import materialise
 
@@ -253,3 +255,29 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
             .select("doc_id", "keep_id", "group_size", (best & (F.col("nth") == 1)).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))
+
+
+def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one of each group.
+
+    Rows meet the index on id and digest together, so a digest that many rows
+    share is spread over all tasks.
+    """
+    place, at = docs.columns.index(text), docs.columns.index(key)
+    best = digest_groups(digests(docs, key, text)).select(
+        F.col("keep_id").alias("_keep_id"), F.col("digest").alias("_keep_digest"), F.col("best_chars").alias("_best"))
+    types = T.StructType(list(docs.schema.fields)).add("_digest", "binary").add("_chars", "long")
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(place).fill_null("")
+            made = [hashlib.sha256(t.as_buffer().to_pybytes().translate(None, SPACES)).digest() for t in column]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(made, pa.binary()), pc.cast(pc.utf8_length(column), pa.int64())],
+                names=[*batch.schema.names, "_digest", "_chars"])
+
+    rows = docs.mapInArrow(run, types)
+    same = F.col("_digest") == F.col("_keep_digest")
+    kept = rows.join(best, rows[at].eqNullSafe(F.col("_keep_id")) & same & (F.col("_chars") == F.col("_best")), "left_semi")
+    nth = F.row_number().over(W.partitionBy(kept[at], "_digest").orderBy("_chars"))
+    return kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth", "_digest", "_chars")

@@ -274,3 +274,10 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     real = lambda c: F.nullif(c, last)
     return out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
                       real(F.coalesce("component", "class")).alias("component_id")), links
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose id names their component."""
+    found = jaccard_join(docs, key, text)[0]
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
+    return docs.join(stay, docs[key].eqNullSafe(F.col("_stay")), "left_semi")

@@ -256,3 +256,16 @@ def score(docs: DataFrame, model: dict, keep: dict[str, Column] | None = None) -
                 names=[*batch.schema.names[:-1], "score"])
 
     return given.mapInArrow(run, f"{kinds}, score double")
+
+
+def accepted(docs: DataFrame, model: dict, at: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``at``."""
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            keep = [probability(*describe(data, off), model) >= at
+                    for _, data, off in K.utf8_pieces(batch.column(place), rows=ROWS)]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +27,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [c if isinstance(c, pa.Array) else pa.array(c, type=schema.field(i).type, from_pandas=False)
-         for i, (n, c) in enumerate((f.name, columns[f.name]) for f in schema)], schema=schema)
-
-
-def partitions_for(df_rows: int, rows_per_task: int, spark: SparkSession) -> int:
-    """Tasks for so many rows: in proportion to the rows, at least the
-    session's number of shuffle partitions."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df_rows // rows_per_task))
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out

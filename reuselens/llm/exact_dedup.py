@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reuselens.llm.common import materialise
+from reuselens.llm.common import fresh, materialise
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 SLOTS = 4
@@ -264,9 +264,10 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     share is spread over all tasks.
     """
     place, at = docs.columns.index(text), docs.columns.index(key)
-    best = digest_groups(digests(docs, key, text)).select(
-        F.col("keep_id").alias("_keep_id"), F.col("digest").alias("_keep_digest"), F.col("best_chars").alias("_best"))
-    types = T.StructType(list(docs.schema.fields)).add("_digest", "binary").add("_chars", "long")
+    mark, size, keep_id, keep_mark, best, number = fresh(docs, "digest", "chars", "keep_id", "keep_digest", "best", "nth")
+    groups = digest_groups(digests(docs, key, text)).select(
+        F.col("keep_id").alias(keep_id), F.col("digest").alias(keep_mark), F.col("best_chars").alias(best))
+    types = T.StructType(list(docs.schema.fields)).add(mark, "binary").add(size, "long")
 
     def run(batches):
         for batch in batches:
@@ -274,10 +275,10 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             made = [hashlib.sha256(t.as_buffer().to_pybytes().translate(None, SPACES)).digest() for t in column]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(made, pa.binary()), pc.cast(pc.utf8_length(column), pa.int64())],
-                names=[*batch.schema.names, "_digest", "_chars"])
+                names=[*batch.schema.names, mark, size])
 
     rows = docs.mapInArrow(run, types)
-    same = F.col("_digest") == F.col("_keep_digest")
-    kept = rows.join(best, rows[at].eqNullSafe(F.col("_keep_id")) & same & (F.col("_chars") == F.col("_best")), "left_semi")
-    nth = F.row_number().over(W.partitionBy(kept[at], "_digest").orderBy("_chars"))
-    return kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth", "_digest", "_chars")
+    kept = rows.join(groups, F.col(docs.columns[at]).eqNullSafe(F.col(keep_id)) & (F.col(mark) == F.col(keep_mark))
+                     & (F.col(size) == F.col(best)), "left_semi")
+    nth = F.row_number().over(W.partitionBy(docs.columns[at], mark).orderBy(size))
+    return kept.withColumn(number, nth).where(F.col(number) == 1).drop(number, mark, size)

@@ -68,7 +68,7 @@ def vectors(data: np.ndarray, offsets: np.ndarray, dimensions: int = DIMENSIONS)
     code = np.zeros(len(data) + n + 1, np.uint32)
     code[at] = LETTER[data]
     text = np.repeat(np.arange(n), np.diff(offsets) + 1)
-    keep = (code[:-1] != 0) | (code[1:] != 0)
+    keep = np.append((code[:-1] != 0) | (code[1:] != 0), True)
     keep = np.flatnonzero(keep)                # runs of borders are one border
     text, code = text[np.minimum(keep, len(text) - 1)] if n else keep, code[keep]
     if len(code) < 3:

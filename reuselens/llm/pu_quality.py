@@ -244,7 +244,8 @@ def fit(docs: DataFrame, positives: DataFrame, labelled: DataFrame, allowed: Col
 def score(docs: DataFrame, model: dict, keep: dict[str, Column] | None = None) -> DataFrame:
     """The columns of ``keep`` (else ``doc_id``) and ``score`` of each row."""
     keep = keep or {"doc_id": F.col("doc_id")}
-    given = docs.select(*[c.alias(n) for n, c in keep.items()], F.col("text").cast("string").alias("_text"))
+    body = "text" + "_" * (1 + max((len(n) for n in keep), default=0))
+    given = docs.select(*[c.alias(n) for n, c in keep.items()], F.col("text").cast("string").alias(body))
     kinds = ", ".join(f"`{n}` {t}" for n, t in given.dtypes[:-1])
     def run(batches):
         for batch in batches:

@@ -30,8 +30,10 @@ def clean_text(text) -> Column:
 
 
 def drop_invalid_utf8(text) -> Column:
-    """Decode leniently and drop bytes that are not valid UTF-8."""
-    return F.regexp_replace(F.make_valid_utf8(as_col(text)), "�", "")
+    """Decode leniently and drop bytes that are not valid UTF-8. A valid
+    text is taken as it is, a U+FFFD of its own included."""
+    c = as_col(text)
+    return F.when(F.is_valid_utf8(c), c).otherwise(F.regexp_replace(F.make_valid_utf8(c), "\ufffd", ""))
 
 
 def tokens(clean) -> Column:
@@ -40,8 +42,6 @@ def tokens(clean) -> Column:
     return F.when(c == "", _empty_strings()).otherwise(F.split(c, " "))
 
 
-
-
 def shingles(clean, k: int = 3) -> Column:
     """The set of k-word shingles (k consecutive tokens joined by ' ').
 
@@ -63,13 +63,6 @@ def hash32(s) -> Column:
     return F.conv(F.substring(F.md5(as_col(s)), 1, 8), 16, 10).cast("bigint")
 
 
-def fast_hash32(s) -> Column:
-    """Faster 32-bit hash (xxhash64, low 32 bits); no DuckDB equivalent."""
-    return F.xxhash64(as_col(s)).bitwiseAND(F.lit(0xFFFFFFFF))
-
-
-
-
 def word_ngrams(clean) -> Column:
     """Unigrams followed by bigrams of the >=2-character tokens.
 

@@ -6,7 +6,6 @@ is handed to it; ``get_spark`` is for scripts, tests and the bench.
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 import uuid
@@ -85,13 +84,14 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return spark.read.parquet(path)
 
 
+def drop_tables(spark: SparkSession) -> None:
+    """Remove the tables that ``cut_lineage`` has written in this session.
+    For callers that have taken all results that read them."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def default_parallelism(spark: SparkSession) -> int:
-    """Cores of the cluster (falls back to the shuffle partition setting
-    where the SparkContext is not reachable, e.g. a Connect session)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover
-        try:
-            return int(spark.conf.get("spark.sql.shuffle.partitions"))
-        except Exception:
-            return os.cpu_count() or 8
+    """Cores of the cluster."""
+    return int(spark.sparkContext.defaultParallelism)

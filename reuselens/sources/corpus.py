@@ -10,13 +10,14 @@ Two frames are kept apart on purpose:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reuselens.functions import labels as L
 from reuselens.functions import text as X
-from reuselens.session import default_parallelism
 
 # Fixed convention for the driver tables: every 20th document is an
 # original (5 of 100, as in the reference corpus), ``lang`` is the task and
@@ -35,17 +36,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by ``key`` only when the scan is narrower than the
-    cluster's cores (a small file with one row group is read by one task).
-    At scale the scan already has thousands of splits and this is a no-op,
-    so no full shuffle of the text is added."""
-    target = default_parallelism(df.sparkSession)
-    try:
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # no RDD view (e.g. a Connect session): leave as read
-        narrow = False
-    return df.repartition(target, key) if narrow else df
+#: Session setting: tasks to deal the texts to after the scan. For a file of
+#: one row group, which a single task reads. Unset, texts are never shuffled.
+TEXT_TASKS = "spark.reuselens.textTasks"
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows as read, or dealt by ``key`` where the session asks for it."""
+    tasks = df.sparkSession.conf.get(TEXT_TASKS, None)
+    return df.repartition(int(tasks), key) if tasks else df
 
 
 def category_from_labels(doc_id="doc_id", quality="quality", toxic="toxic"):
@@ -78,7 +77,7 @@ def corpus_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def corpus_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, raw_text, clean_text for every document (whole texts)."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = dealt(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("raw_text"),
                        X.clean_text("text").alias("clean_text"))
 
@@ -89,7 +88,7 @@ def is_original(doc_id="doc_id"):
 
 def benchmark_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """External originals: item_id, raw_text, clean_text."""
-    b = spread(read_table(spark, sf_dir, "benchmark").select("item_id", "text"), "item_id")
+    b = dealt(read_table(spark, sf_dir, "benchmark").select("item_id", "text"), "item_id")
     return b.select("item_id", F.coalesce("text", F.lit("")).alias("raw_text"),
                     X.clean_text("text").alias("clean_text"))
 
@@ -115,17 +114,39 @@ def read_text_files(spark: SparkSession, path: str, recursive: bool = True) -> D
                      X.drop_invalid_utf8("value").alias("raw_text"))
 
 
+#: Folders under the text folder in order of precedence; files
+#: elsewhere come after them, by path.
+FOLDERS = ["", "data", "texts", "files"]
+
+
+def choose_paths(spark: SparkSession, text_path: str) -> DataFrame:
+    """``file, path``: one path for each file name, from the listing alone (no
+    file is read)."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(text_path).select("path")
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text_path)
+    root = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toString()
+    inside = F.regexp_replace(F.expr("replace(path, '///', '/')"), F.lit("^" + re.escape(root.replace("///", "/")) + "/?"), F.lit(""))
+    folder = F.regexp_extract(inside, "^(.*?)/?[^/]*$", 1)
+    rank = F.lit(len(FOLDERS))
+    for i, name in reversed(list(enumerate(FOLDERS))):
+        rank = F.when(folder == name, F.lit(i)).otherwise(rank)
+    return (listing.select(F.element_at(F.split("path", "/"), -1).alias("file"), rank.alias("rank"), "path")
+            .groupBy("file").agg(F.min(F.struct("rank", "path")).alias("best"))
+            .select("file", F.col("best.path").alias("path")))
+
+
 def load_corpus(spark: SparkSession, metadata_path: str, text_path: str) -> DataFrame:
     """S3 + P1-P4: tolerant load of listed files.
 
     A listed file that is not found gets ``raw_text = ''`` (the reference's
     tolerant loader) and ``has_text = false``; use ``missing_report`` for the
-    list. If a name occurs in several folders, the first path wins.
+    list. If a name occurs in several folders, the text folder itself and the
+    usual subfolders come first (``FOLDERS``), then the first path.
     """
     meta = read_metadata(spark, metadata_path)
-    texts = read_text_files(spark, text_path)
-    texts = texts.groupBy(F.col("file").alias("_file")).agg(
-        F.min_by("raw_text", "path").alias("raw_text"))
+    paths = choose_paths(spark, text_path).join(meta.select(F.col("File").alias("file")).distinct(), "file", "left_semi")
+    texts = read_text_files(spark, text_path).join(paths.select("path"), "path", "left_semi") \
+        .select(F.col("file").alias("_file"), "raw_text")
     df = meta.join(texts, meta["File"] == texts["_file"], "left")
     df = df.select("File", "Task", "Category",
                    F.col("raw_text").isNotNull().alias("has_text"),

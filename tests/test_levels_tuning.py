@@ -1,5 +1,3 @@
-import numpy as np
-
 from reuselens.functions import labels as L
 from reuselens.operators import tuning as TU
 
@@ -26,23 +24,29 @@ def test_grid_size():
     assert g[0] == (0.75, 0.55, 0.25)
 
 
-def _brute(sims, truth, grid):
-    best, arg = -1, None
-    for (c, l, h) in grid:
-        pred = [L.CUT if s > c else L.LIGHT if s > l else L.HEAVY if s > h else L.NON for s in sims]
-        acc = np.mean([p == t for p, t in zip(pred, truth)])
-        if acc > best:
-            best, arg = acc, (c, l, h)
-    return best, arg
-
-
-def test_tune_matches_brute_force(spark):
-    rng = np.random.RandomState(1)
-    sims = list(np.round(rng.uniform(0, 1, 300), 2)) + [0.25, 0.27, 0.55, 0.75, 0.95]
-    levels = [L.NON, L.HEAVY, L.LIGHT, L.CUT]
-    truth = [levels[min(3, int(s * 4 + rng.normal(0, 0.5)))] if s > 0.2 else L.NON for s in sims]
-    df = spark.createDataFrame([(float(s), t) for s, t in zip(sims, truth)], "best_sim double, truth_level string")
-    got = TU.tune_thresholds(df).first()
-    acc, arg = _brute(sims, truth, TU.threshold_grid())
-    assert (got.t_cut, got.t_light, got.t_heavy) == arg
-    assert abs(got.accuracy - acc) < 1e-12
+# similarity, true level
+ROWS = [(0.9, L.CUT), (0.8, L.CUT), (0.7, L.LIGHT), (0.5, L.HEAVY), (0.45, L.LIGHT), (0.3, L.NON), (0.1, L.NON), (0.65, None)]
+
+
+def test_tune_picks_the_best_point_of_a_small_grid(spark):
+    """Of the eight rows the points get 3, 5, 6 and 6 right; the first of the
+    two best wins."""
+    df = spark.createDataFrame(ROWS, "best_sim double, truth_level string")
+    grid = [(0.95, 0.85, 0.35), (0.85, 0.6, 0.35), (0.75, 0.6, 0.46), (0.75, 0.6, 0.47)]
+    acc = {(r.t_cut, r.t_light, r.t_heavy): (r.hits, r.total) for r in TU.grid_accuracy(df, grid=grid).collect()}
+    assert [acc[g] for g in grid] == [(3, 8), (5, 8), (6, 8), (6, 8)]
+    got = TU.tune_thresholds(df, grid=grid).first()
+    assert (got.t_cut, got.t_light, got.t_heavy, got.accuracy) == (0.75, 0.6, 0.46, 0.75)
+
+
+def test_thresholds_are_strict_in_the_grid(spark):
+    df = spark.createDataFrame([(0.75, L.LIGHT), (0.55, L.HEAVY), (0.25, L.NON)], "best_sim double, truth_level string")
+    assert TU.grid_accuracy(df, grid=[(0.75, 0.55, 0.25)]).first().hits == 3
+
+
+def test_bounded_histogram_gives_the_whole_grid(spark):
+    df = spark.createDataFrame(ROWS, "best_sim double, truth_level string")
+    assert TU.grid_accuracy(df).count() == 3535
+    best = TU.tune_thresholds(df).first()
+    # 0.45 is light although 0.5 is heavy, and one truth is unknown: 6 of 8 at most, first when 0.3 is below t_heavy
+    assert best.accuracy == 0.75 and (best.t_cut, best.t_light, best.t_heavy) == (0.75, 0.55, 0.31)

@@ -26,12 +26,26 @@ def test_text_queries_read_only_needed_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
-def test_spread_is_a_no_op_on_wide_input(spark):
-    from reuselens.session import default_parallelism
-    from reuselens.sources.corpus import spread
-
-    n = default_parallelism(spark)
-    wide = spark.range(0, 1000, 1, numPartitions=n * 2).withColumnRenamed("id", "doc_id")
-    assert spread(wide, "doc_id") is wide
-    narrow = spark.range(0, 1000, 1, numPartitions=1).withColumnRenamed("id", "doc_id")
-    assert spread(narrow, "doc_id").rdd.getNumPartitions() == n
+def test_texts_are_dealt_only_where_asked(spark):
+    from reuselens.sources import corpus as C
+
+    df = spark.range(0, 1000, 1, numPartitions=3).withColumnRenamed("id", "doc_id")
+    assert C.dealt(df, "doc_id") is df
+    spark.conf.set(C.TEXT_TASKS, "5")
+    try:
+        assert C.dealt(df, "doc_id").rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset(C.TEXT_TASKS)
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    """Off a local master, a missing setting is an error and no scratch folder."""
+    from types import SimpleNamespace
+
+    from reuselens import session
+
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None,
+                         getConf=lambda: SimpleNamespace(get=lambda *a: None))
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(fake)

@@ -29,6 +29,38 @@ def test_tolerant_load_and_missing_report(spark, tmpdir_path):
     assert [r.File for r in miss.collect()] == ["b.txt"]
 
 
+def test_folder_precedence(spark, tmpdir_path):
+    """The text folder itself, then data, texts, files, then other folders by path."""
+    d = tmpdir_path
+    meta = os.path.join(d, "m.csv")
+    with open(meta, "w") as f:
+        f.write("File,Task,Category\n" + "".join(f"{n}.txt,a,non\n" for n in "abcde"))
+    root = os.path.join(d, "in")
+    for folder, names in (("", "a"), ("data", "ab"), ("texts", "abc"), ("files", "abcd"), ("aa", "abcde"), ("zz/data", "e")):
+        os.makedirs(os.path.join(root, folder), exist_ok=True)
+        for n in names:
+            with open(os.path.join(root, folder, f"{n}.txt"), "w") as f:
+                f.write(folder or "root")
+    got = {r.File: r.raw_text for r in C.load_corpus(spark, meta, root).collect()}
+    assert got == {"a.txt": "root", "b.txt": "data", "c.txt": "texts", "d.txt": "files", "e.txt": "aa"}
+    plan = C.choose_paths(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+def test_sinks_of_cluster_and_level_frames(spark, tmpdir_path):
+    """The derived columns survive both formats."""
+    df = spark.createDataFrame([("a.txt", "a", "non", 3, 0, "non-plagiarised"), ("b.txt", "b", None, 1, None, "cut / near copy")],
+                               "File string, Task string, Category string, kmeans_cluster int, "
+                               "kmeans_cluster_mapped_to_task int, predicted_plagiarism_level string")
+    for cols in (df.columns[:5], df.columns[:3] + df.columns[5:]):
+        for fmt in ("parquet", "csv"):
+            p = os.path.join(tmpdir_path, f"{fmt}{len(cols)}")
+            C.write_table(df.select(*cols), p, fmt)
+            back = C.read_preprocessed(spark, p, fmt, schema=df.select(*cols).schema if fmt == "csv" else None)
+            assert back.columns == cols and back.count() == len(df.collect())
+            assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.select(*cols).collect()), key=repr)
+
+
 def test_write_read_round_trip(spark, tmpdir_path):
     df = spark.createDataFrame([(1, "line one\nline two, \"quoted\""), (2, "")], "id int, t string")
     for fmt in ("parquet", "csv"):

@@ -1,163 +1,178 @@
-"""Reduced TF-IDF features, KMeans and PCA (M1-M3) with Spark ML."""
+"""Reduced TF-IDF features, KMeans and PCA (M1-M3).
+
+The truncated SVD is a randomised subspace iteration over blocks. The long
+weights ``(doc_id, gram, w)`` are dealt once to cells of a grid (document
+blocks x gram blocks); a tall matrix is a table with one row per block. A
+product takes each cell with the block of the other matrix that it needs, in
+one task, and adds the cells' parts up per block. Blocks have about ``BLOCK``
+documents or grams whatever the size of either side, and a cell is cut by the
+number of its weights too, so the memory of a task is bounded; only matrices of
+(k + oversample) x (k + oversample) numbers reach the driver. All numbers are
+64-bit floats.
+"""
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reuselens.functions import text as X
 from reuselens.session import cut_lineage
-from reuselens.operators.tfidf import MAX_DF_CLUSTERING, MIN_DF
 
 SVD_COMPONENTS = 50
 SEED = 42
 N_INIT = 10
-# vocabulary bound for CountVectorizer; far above the pruned vocabulary of
-# the test data, so nothing is cut (a cut would change the features)
-VOCAB_LIMIT = 1 << 22
-
-
-def tfidf_vectors(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
-                  min_df: int = MIN_DF, max_df: float = MAX_DF_CLUSTERING) -> DataFrame:
-    """(key, features SparseVector): counts, times (idf + 1), L2-normalised.
-
-    Spark's IDF is ln((n+1)/(df+1)); the smooth idf of the reference's
-    vectoriser adds 1, which is applied with an element-wise product.
-    """
-    from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer
-    from pyspark.ml.linalg import DenseVector
-
-    g = texts.select(key, X.word_ngrams(clean).alias("_grams"))
-    cv = CountVectorizer(inputCol="_grams", outputCol="_tf", minDF=float(min_df),
-                         maxDF=float(max_df), vocabSize=VOCAB_LIMIT).fit(g)
-    tf = cv.transform(g)
-    idf = IDF(inputCol="_tf", outputCol="_idf0").fit(tf)
-    scale = DenseVector(idf.idf.toArray() + 1.0)
-    x = ElementwiseProduct(scalingVec=scale, inputCol="_tf", outputCol="_w").transform(tf)
-    x = Normalizer(inputCol="_w", outputCol="features", p=2.0).transform(x)
-    return x.select(key, "features")
-
-
-def svd_reduce(vectors: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS) -> DataFrame:
-    """M1: uncentred truncated SVD; returns (key, reduced array<double>) =
-    rows of X V (= U * sigma). Uses the distributed IndexedRowMatrix SVD;
-    V (vocabulary x k) lives on the driver, so the vocabulary bounds it."""
-    from pyspark.mllib.linalg import Vectors as MV
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-
-    rdd = vectors.select(key, "features").rdd.map(
-        lambda r: IndexedRow(int(r[0]), MV.fromML(r[1])))
-    n_part = max(vectors.sparkSession.sparkContext.defaultParallelism, 1)
-    mat = IndexedRowMatrix(rdd.repartition(n_part).cache())
-    svd = mat.computeSVD(k, computeU=True)
-    s = svd.s.toArray()
-    u = svd.U.rows.map(lambda r: (int(r.index), [float(a * b) for a, b in zip(r.vector.toArray(), s)]))
-    spark = vectors.sparkSession
-    return spark.createDataFrame(u, f"{key} bigint, reduced array<double>")
-
-
-def _csr_builder():
-    """Return the per-partition CSR builder (nested, so it is shipped to the
-    workers by value and needs only numpy there)."""
-
-    def build(rows):
-        """Partition of (doc_id, col, w) rows -> one numpy CSR block (rows of a
-        document may arrive in any order; documents are whole per partition)."""
-        import numpy as _np
-
-        data = list(rows)
-        if not data:
-            return
-        a = _np.array(data, dtype=object)
-        doc = a[:, 0].astype(_np.int64)
-        col = a[:, 1].astype(_np.int64)
-        val = a[:, 2].astype(_np.float64)
-        o = _np.lexsort((col, doc))
-        doc, col, val = doc[o], col[o], val[o]
-        ids, start = _np.unique(doc, return_index=True)
-        owner = _np.repeat(_np.arange(len(ids)), _np.diff(_np.r_[start, len(doc)]))
-        co = _np.argsort(col, kind="stable")
-        ucol, cstart = _np.unique(col[co], return_index=True)
-        yield ids, start, owner, col, val, co, ucol, cstart
-
-    return build
-
-
-def _pass(blocks, z_bc, v: int, l: int, dtype):
-    """One distributed pass: (X^T X Z, (X Z)^T (X Z)) summed over blocks.
-    ``dtype`` float32 halves memory and transfer in the power iterations;
-    the Gram matrix is always accumulated in float64."""
-    import numpy as _np
-
-    def one(b):
-        ids, start, owner, col, val, co, ucol, cstart = b
-        z = z_bc.value
-        w = val.astype(dtype)[:, None]
-        y = _np.add.reduceat(w * z[col], start, axis=0)                  # docs x l
-        contrib = (w * y[owner])[co]                                     # nnz x l by column
-        a = _np.zeros((v, l), dtype=dtype)
-        a[ucol] = _np.add.reduceat(contrib, cstart, axis=0)
-        y64 = y.astype(_np.float64)
-        return a, y64.T @ y64
-
-    def add(p, q):
-        return p[0] + q[0], p[1] + q[1]
-
-    zero = (_np.zeros((v, l), dtype=dtype), _np.zeros((l, l)))
-    return blocks.map(one).treeAggregate(zero, add, add)
+BLOCK = 20_000              # documents or grams of a block
+CELL_WEIGHTS = 1_000_000    # weights of a cell, on average
+
+CELL = "db int, gb int, docs binary, grams binary, row binary, col binary, w binary"
+MATRIX = "block int, ids binary, m binary"
+
+
+def _start(ids: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Normal numbers from a hash of each id, so that no order matters."""
+    x = ids.astype(np.uint64)[:, None] + np.arange(2 * width, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) \
+        + np.uint64(seed * 0xD1B54A32D192ED03 % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    u = ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
+    return np.sqrt(-2 * np.log1p(-u[:, :width])) * np.cos(2 * np.pi * u[:, width:])
+
+
+def _ints(blob) -> np.ndarray:
+    return np.frombuffer(blob, np.int64)
+
+
+def _floats(blob, width: int) -> np.ndarray:
+    return np.frombuffer(blob, np.float64).reshape(-1, width)
+
+
+def weight_cells(w: DataFrame) -> tuple[DataFrame, int, int]:
+    """The grid of cells, written once: ``(cells, documents, grams)``. A gram is
+    known by a 64-bit hash with which its block is drawn."""
+    w = w.select("doc_id", F.xxhash64("gram").alias("gid"), "w")
+    n_docs, n_grams, n_w = w.agg(F.countDistinct("doc_id"), F.countDistinct("gid"), F.count("*")).first()
+    nd, ng = max(1, -(-n_docs // BLOCK)), max(1, -(-n_grams // BLOCK))
+    ng = max(ng, -(-n_w // (CELL_WEIGHTS * nd)))
+    cell = w.withColumn("db", F.pmod(F.xxhash64("doc_id"), F.lit(nd)).cast("int")) \
+        .withColumn("gb", F.pmod(F.xxhash64(F.lit("block"), "gid"), F.lit(ng)).cast("int"))
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        docs, row = np.unique(pdf["doc_id"].to_numpy(np.int64), return_inverse=True)
+        grams, col = np.unique(pdf["gid"].to_numpy(np.int64), return_inverse=True)
+        by = np.lexsort((col, row))
+        return pd.DataFrame({"db": pdf["db"].iloc[:1], "gb": pdf["gb"].iloc[:1], "docs": [docs.tobytes()],
+                             "grams": [grams.tobytes()], "row": [row[by].astype(np.int64).tobytes()],
+                             "col": [col[by].astype(np.int64).tobytes()],
+                             "w": [pdf["w"].to_numpy(np.float64)[by].tobytes()]})
+
+    return cut_lineage(cell.groupBy("db", "gb").applyInPandas(build, CELL)), n_docs, n_grams
+
+
+def _add_blocks(width: int):
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Parts of one block (equal ids add up)."""
+        ids = np.concatenate([_ints(x) for x in pdf["ids"]])
+        rows = np.concatenate([_floats(x, width) for x in pdf["m"]])
+        ids, at = np.unique(ids, return_inverse=True)
+        out = np.zeros((len(ids), width))
+        np.add.at(out, at, rows)
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "ids": [ids.tobytes()], "m": [out.tobytes()]})
+
+    return add
+
+
+def _times(cells: DataFrame, other: DataFrame, width: int, rows: str) -> DataFrame:
+    """``rows='docs'``: X times a matrix by gram; ``rows='grams'``: X transposed
+    times a matrix by document."""
+    out, given, here, there = ("docs", "grams", "db", "gb") if rows == "docs" else ("grams", "docs", "gb", "db")
+    index, take = ("row", "col") if rows == "docs" else ("col", "row")
+
+    def parts(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                own, need = _ints(getattr(r, out)), _ints(getattr(r, given))
+                m = _floats(r.m, width)[np.searchsorted(_ints(r.ids), need)]
+                to, at, w = _ints(getattr(r, index)), _ints(getattr(r, take)), np.frombuffer(r.w, np.float64)
+                by = np.argsort(to, kind="stable")
+                begin = np.flatnonzero(np.diff(to[by], prepend=-1))
+                sums = np.zeros((len(own), width))
+                for i in range(0, width, 8):          # a few columns at a time: weights x 8 numbers
+                    sums[:, i:i + 8] = np.add.reduceat(w[by, None] * m[at[by], i:i + 8], begin, axis=0)
+                yield pd.DataFrame({"block": [getattr(r, here)], "ids": [own.tobytes()], "m": [sums.tobytes()]})
+
+    joined = cells.join(other.withColumnRenamed("block", there), there)
+    return joined.mapInPandas(parts, MATRIX).groupBy("block").applyInPandas(_add_blocks(width), MATRIX)
+
+
+def _gram_matrix(m: DataFrame, width: int) -> np.ndarray:
+    """Transposed times itself: one small matrix a block, added up in Spark."""
+    def square(batches):
+        for pdf in batches:
+            for x in pdf["m"]:
+                a = _floats(x, width)
+                yield pd.DataFrame({"i": np.arange(width), "v": list(a.T @ a)})
+
+    rows = m.mapInPandas(square, "i long, v array<double>").select("i", F.posexplode("v").alias("j", "v")) \
+        .groupBy("i", "j").agg(F.sum("v").alias("v")).collect()    # width x width numbers
+    out = np.zeros((width, width))
+    for r in rows:
+        out[r["i"], r["j"]] = r["v"]
+    return out
+
+
+def _turn(m: DataFrame, by: np.ndarray) -> DataFrame:
+    """Each row times a small matrix."""
+    width = by.shape[0]
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf.assign(m=[np.ascontiguousarray(_floats(x, width) @ by).tobytes() for x in pdf["m"]])
+
+    return m.mapInPandas(run, MATRIX)
+
+
+def _orthonormal(m: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """The same span with orthonormal columns, and how many there are."""
+    lam, e = np.linalg.eigh(_gram_matrix(m, width))
+    keep = lam > lam.max() * 1e-13
+    return _turn(m, e[:, keep] / np.sqrt(lam[keep])), int(keep.sum())
 
 
 def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
                           oversample: int = 10, n_iter: int = 5, seed: int = SEED) -> DataFrame:
-    """M1 by randomised subspace iteration (the usual default algorithm for
-    truncated SVD; 5 power iterations, 10 extra directions).
-
-    ``w`` is the long TF-IDF table (key, gid, w). Spark partitions the
-    documents; every task keeps its documents as a numpy CSR block (cached)
-    and each pass is one tree aggregation of X^T (X Z) and the l x l Gram
-    matrix. The driver holds vocabulary x (k + oversample) numbers, the same
-    bound as the JVM SVD's V. Returns (key, reduced) = rows of X V_k.
-    """
-    spark = w.sparkSession
-    sc = spark.sparkContext
-    vocab = w.select("gid").distinct()
-    vocab = spark.createDataFrame(vocab.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])),
-                                  "gid long, _c long")
-    v = vocab.count()
-    ent = w.join(vocab, "gid").select(F.col(key).alias("_k"), "_c", "w")
-    part = max(1, sc.defaultParallelism)
-    blocks = ent.repartition(part, "_k").rdd.map(tuple).mapPartitions(_csr_builder()).cache()
-    n = blocks.map(lambda b: len(b[0])).sum()
-    l = int(min(k + oversample, v, n))
-    z = np.random.RandomState(seed).normal(size=(v, l))
-    for _ in range(n_iter):
-        bz = sc.broadcast(z.astype(np.float32))
-        a, _g = _pass(blocks, bz, v, l, np.float32)
-        bz.unpersist()
-        z, _r = np.linalg.qr(a.astype(np.float64))
-    bz = sc.broadcast(z)
-    a, g = _pass(blocks, bz, v, l, np.float64)   # a = X^T Y, g = Y^T Y with Y = X Z
-    bz.unpersist()
-    lam, e = np.linalg.eigh(g)
-    keep = lam > lam.max() * 1e-12
-    bt = a @ (e[:, keep] / np.sqrt(lam[keep]))  # X^T Q with Q = Y E L^-1/2 orthonormal
-    p_, _s, _ = np.linalg.svd(bt, full_matrices=False)
-    vk = p_[:, :k]
-    bv = sc.broadcast(vk)
-
-    def project(b):
-        import numpy as _np
-
-        ids, start, owner, col, val = b[:5]
-        red = _np.add.reduceat(val[:, None] * bv.value[col], start, axis=0)
-        return [(int(i), [float(t) for t in r]) for i, r in zip(ids, red)]
-
-    out = spark.createDataFrame(blocks.flatMap(project), f"{key} long, reduced array<double>")
-    out = cut_lineage(out)   # written once; then the cached blocks are released
-    bv.unpersist()
-    blocks.unpersist()
-    return out
+    """M1: ``(key, reduced)``, the rows of X V_k of the truncated SVD.
+
+    ``reduced`` has as many numbers as the matrix has rank, k at most."""
+    w = w.withColumnRenamed(key, "doc_id")
+    cells, n_docs, n_grams = weight_cells(w)
+    width = max(1, min(k + oversample, n_docs, n_grams))
+
+    def begin(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = np.unique(np.concatenate([_ints(x) for x in pdf["grams"]]))
+        return pd.DataFrame({"block": pdf["gb"].iloc[:1], "ids": [ids.tobytes()], "m": [_start(ids, width, seed).tobytes()]})
+
+    z = cells.select("gb", "grams").groupBy("gb").applyInPandas(begin, MATRIX)
+    for _ in range(n_iter + 1):
+        y = cut_lineage(_times(cells, z, width, "docs"))
+        y, rank = _orthonormal(y, width)
+        y = cut_lineage(y)
+        z = cut_lineage(_times(cells, y, rank, "grams"))     # transposed X times Q
+        width = rank
+        if _ < n_iter:
+            z, width = _orthonormal(z, width)
+    lam, e = np.linalg.eigh(_gram_matrix(z, width))          # of (Q'X)(Q'X)'
+    top = np.argsort(lam)[::-1][:k]
+    top = top[lam[top] > lam.max() * 1e-12]
+    u = e[:, top] * np.sqrt(lam[top])                        # X V = Q U S
+
+    def out(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                yield pd.DataFrame({key: _ints(r.ids), "reduced": list(_floats(r.m, width) @ u)})
+
+    return cut_lineage(y.mapInPandas(out, f"{key} long, reduced array<double>"))
 
 
 def kmeans_best_of(df: DataFrame, features: str, k: int, n_init: int = N_INIT,
@@ -176,8 +191,8 @@ def kmeans_best_of(df: DataFrame, features: str, k: int, n_init: int = N_INIT,
         if best is None or cost < best[0]:
             best = (cost, m)
     model = best[1]
+    out = cut_lineage(model.transform(x).drop("_f"))
     x.unpersist()
-    out = model.transform(x).drop("_f")
     return model, out.withColumn("cluster", F.col("cluster").cast("int"))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reuselens.session import cut_lineage
+
 
 def _eq(t, p):
     """np.mean(a == b) semantics: a NULL on either side is a miss."""
@@ -31,6 +33,12 @@ def accuracy(df: DataFrame, truth: str, pred: str) -> DataFrame:
     return df.agg(F.avg(_eq(truth, pred).cast("double")).alias("accuracy"))
 
 
+def truth_counts(df: DataFrame, truth: str) -> DataFrame:
+    """One row: n_scored (rows with a truth, which all metrics are over) and
+    n_unlabelled (rows without one, which none counts)."""
+    return df.agg(F.count(truth).alias("n_scored"), (F.count("*") - F.count(truth)).alias("n_unlabelled"))
+
+
 def mismatches(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """Rows whose prediction differs from the truth (NULL-safe)."""
     return df.filter(~F.col(truth).eqNullSafe(F.col(pred)))
@@ -58,9 +66,9 @@ def confusion_matrix(df: DataFrame, truth: str, pred: str, labels: list | None =
         lab = df.sparkSession.createDataFrame([(x,) for x in labels], ["label"])
     else:
         lab = label_union(df, truth, pred)
-    # label x label is bounded by the number of classes, not by the data
+    # one cell for each pair of labels: the result itself, whatever its size
     cells = lab.select(F.col("label").alias("truth")).join(
-        F.broadcast(lab.select(F.col("label").alias("pred"))), how="inner", on=F.lit(True))
+        lab.select(F.col("label").alias("pred")), how="inner", on=F.lit(True))
     return cells.join(counts, ["truth", "pred"], "left") \
                 .select("truth", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
@@ -186,45 +194,54 @@ def silhouette_cosine(df: DataFrame, features: str, cluster: str) -> DataFrame:
 
     The mean cosine distance from a unit vector x to a cluster C is
     1 - x.S_C / |C| with S_C the sum of the cluster's unit vectors, so only
-    per-cluster sums are needed (k x d numbers, gathered into one small row
-    and broadcast), never the n x n distance matrix. Singletons score 0.
+    per-cluster sums are needed, never the n x n distance matrix. The sums are
+    a table of one row per cluster, met by a plain join (Spark broadcasts it
+    where it measures it small); a row's distances are reduced to the own one
+    and the least other one by a partial aggregate. Singletons score 0.
     """
-    x = df.select(F.col(cluster).alias("_c"), l2_normalise(F.col(features)).alias("_x"))
+    x = df.select(F.monotonically_increasing_id().alias("_id"), F.col(cluster).alias("_c"),
+                  l2_normalise(F.col(features)).alias("_x"))
     long = x.select("_c", F.posexplode("_x").alias("j", "v"))
     sums = long.groupBy("_c", "j").agg(F.sum("v").alias("s"))
-    per = sums.groupBy("_c").agg(
-        F.array_sort(F.collect_list(F.struct("j", "s"))).alias("_sv"))
-    per = per.join(x.groupBy("_c").agg(F.count("*").alias("n")), "_c")
-    centres = per.agg(F.collect_list(F.struct(
-        F.col("_c").alias("c"), F.col("n").alias("n"),
-        F.transform("_sv", lambda e: e["s"]).alias("s"))).alias("_cs"))
-    # one row, k entries of d numbers: bounded by the number of clusters
-    j = x.join(F.broadcast(centres), how="inner", on=F.lit(True))
-    dots = F.transform("_cs", lambda e: F.struct(e["c"].alias("c"), e["n"].alias("n"),
-                                                 _dot(F.col("_x"), e["s"]).alias("d")))
-    j = j.select("_c", dots.alias("_ds"))
-    own = F.filter("_ds", lambda e: e["c"] == F.col("_c"))[0]
-    others = F.transform(F.filter("_ds", lambda e: e["c"] != F.col("_c")),
-                         lambda e: 1.0 - e["d"] / e["n"])
-    a = (own["n"] - own["d"]) / (own["n"] - 1)
-    b = F.array_min(others)
-    s = (F.when(own["n"] <= 1, F.lit(0.0))
-         .when(F.greatest(a, b) == 0, F.lit(0.0))
+    sums = sums.groupBy("_c").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "s"))),
+                                              lambda e: e["s"]).alias("_s"))
+    centres = sums.join(x.groupBy("_c").agg(F.count("*").alias("n")), "_c") \
+        .select(F.col("_c").alias("_k"), "_s", "n")
+    each = x.join(centres, how="inner", on=F.lit(True)).select(
+        "_id", (F.col("_c") == F.col("_k")).alias("own"), "n", _dot(F.col("_x"), F.col("_s")).alias("d"))
+    per = each.groupBy("_id").agg(
+        F.max(F.when(F.col("own"), F.col("n"))).alias("n"),
+        F.max(F.when(F.col("own"), (F.col("n") - F.col("d")) / F.when(F.col("n") > 1, F.col("n") - 1))).alias("a"),
+        F.min(F.when(~F.col("own"), 1.0 - F.col("d") / F.col("n"))).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    s = (F.when(F.col("n") <= 1, F.lit(0.0)).when(F.greatest(a, b) == 0, F.lit(0.0))
          .otherwise((b - a) / F.greatest(a, b)))
-    return j.select(s.alias("s")).agg(F.avg("s").alias("silhouette"))
+    return per.select(s.alias("s")).agg(F.avg("s").alias("silhouette"))
 
 
 def encode_sorted(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame]:
     """id = position of the value among the sorted distinct values.
 
-    Returns (df with ``out``, mapping (value, id)). The window runs over the
-    distinct values only."""
+    Returns (df with ``out``, mapping (value, id)). The distinct values are
+    dealt by range; a value's id is the number of values in the ranges before
+    its own plus its rank there, so no task orders all of them."""
     vals = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    mapping = vals.withColumn("id", (F.dense_rank().over(Window.orderBy("value")) - 1).cast("int"))
+    vals = cut_lineage(vals.repartitionByRange("value").select("value", F.spark_partition_id().alias("part")))
+    sizes = vals.groupBy("part").agg(F.count("*").alias("n"))      # one row a task
+    before = sizes.select("part", F.coalesce(F.sum("n").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("value"))
+    mapping = vals.withColumn("r", rank).join(before, "part") \
+        .select("value", (F.col("before") + F.col("r") - 1).cast("int").alias("id"))
     out_df = df.join(mapping.select(F.col("value").alias(col), F.col("id").alias(out)), col, "left")
     return out_df, mapping
 
 
+def decode(df: DataFrame, mapping: DataFrame, col: str, out: str) -> DataFrame:
+    """P12 inverse: the value of an id."""
+    return df.join(mapping.select(F.col("id").alias(col), F.col("value").alias(out)), col, "left")
+
+
 def result_row(metrics: DataFrame, model: str) -> DataFrame:
     """One-row result table (model, accuracy, precision, recall, f1)."""
     return metrics.select(F.lit(model).alias("model"), "accuracy", "precision", "recall", "f1")

@@ -7,10 +7,10 @@ Design for scale:
   aggregate with one ``min`` buffer per hash function). Rows are never
   multiplied by the number of hash functions and nothing is shuffled.
 * Best-original search is an equi-join of long signatures on
-  ``(position, value)``. Exact-copy signatures are collapsed first on both
-  sides (a group of copies becomes one row), empty documents (all positions
-  equal to the sentinel) are answered without the join, and keys held by
-  many originals are salted (``salted_match_counts``).
+  ``(position, value)``. Equal signatures are collapsed first on both sides
+  under a 128-bit hash (a group of copies becomes one row), empty documents
+  (all positions equal to the sentinel) are answered without the join, and
+  keys held by many rows of either side are salted (``salted``).
 """
 
 from __future__ import annotations
@@ -112,92 +112,109 @@ def signature_long(sigs: DataFrame, key: str = "doc_id") -> DataFrame:
     return sigs.select(key, F.posexplode("signature").alias("i", "m"))
 
 
-def signature_similarity(sig1, sig2) -> "F.Column":
-    """Share of equal positions of two signature columns."""
-    s1, s2 = F.col(sig1) if isinstance(sig1, str) else sig1, \
-        F.col(sig2) if isinstance(sig2, str) else sig2
-    eq = F.zip_with(s1, s2, lambda a, b: F.when(a == b, 1).otherwise(0))
-    return F.aggregate(eq, F.lit(0), lambda acc, v: acc + v) / F.size(s1)
-
-
 def _is_empty(sig="signature"):
     return F.col(sig)[0] == F.lit(SENTINEL)
 
 
-# originals sharing one (position, value) beyond which the key is split
+# rows of one (position, value) that a join task takes from either side
 HOT_LIMIT = 2048
 
 
+def salted(dl: DataFrame, ol: DataFrame, hot_limit: int = HOT_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """Both sides (``_rep, i, m`` and ``_orig, i, m``) with a column ``_salt``.
+
+    A key (i, m) is cut into as many parts as either side has multiples of
+    ``hot_limit`` rows of it: each row goes to one part of its own side and is
+    repeated for the parts of the other, so that no key group has more than
+    about ``hot_limit`` rows on either side, and every pair meets once. The
+    table of cut keys grows with the data and is joined like any other.
+    """
+    parts = lambda c: F.ceil(F.coalesce(c, F.lit(0)) / F.lit(hot_limit)).cast("int")
+    d = dl.groupBy("i", "m").agg(F.count("*").alias("_d"))
+    o = ol.groupBy("i", "m").agg(F.count("*").alias("_o"))
+    hot = d.join(o, ["i", "m"]).where((F.col("_d") > hot_limit) | (F.col("_o") > hot_limit)) \
+        .select("i", "m", parts(F.col("_d")).alias("_pd"), parts(F.col("_o")).alias("_po"))
+
+    def deal(rows, key, own, other):
+        rows = rows.join(hot, ["i", "m"], "left")
+        mine = F.pmod(F.xxhash64(key), F.coalesce(own, F.lit(1)))
+        theirs = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+        return rows.withColumn("_own", mine.cast("int")).withColumn("_other", theirs)
+
+    dl = deal(dl, "_rep", F.col("_pd"), F.col("_po"))
+    ol = deal(ol, "_orig", F.col("_po"), F.col("_pd"))
+    pair = lambda a, b: F.struct(F.col(a).alias("d"), F.col(b).alias("o")).alias("_salt")
+    return dl.select("_rep", "i", "m", pair("_own", "_other")), ol.select("_orig", "i", "m", pair("_other", "_own"))
+
+
 def salted_match_counts(dl: DataFrame, ol: DataFrame, hot_limit: int = HOT_LIMIT) -> DataFrame:
     """(_rep, _orig, n_eq): number of equal positions of every document /
-    original pair sharing at least one position.
-
-    A key (i, m) held by more than ``hot_limit`` originals (near copies of
-    one text, or a very common shingle) is split: its originals are spread
-    over ceil(count / hot_limit) salts and the documents with that key are
-    replicated once per salt, so no join task receives a hot group whole.
-    The hot-key table has at most 100 x #originals / hot_limit rows; that
-    bound grows with the data, so it is joined normally and AQE broadcasts
-    it only when it measures it small. Counts are pre-aggregated per
-    (document, original) before the shuffle.
-    """
-    hot = (ol.groupBy("i", "m").agg(F.count("*").alias("_c"))
-             .where(F.col("_c") > hot_limit)
-             .select("i", "m", F.ceil(F.col("_c") / F.lit(hot_limit)).cast("int").alias("_s")))
-    ol = ol.join(hot, ["i", "m"], "left").withColumn(
-        "_salt", F.when(F.col("_s").isNull(), F.lit(0))
-                  .otherwise(F.pmod(F.xxhash64("_orig"), F.col("_s")).cast("int"))).drop("_s")
-    dl = dl.join(hot, ["i", "m"], "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s") - 1, F.lit(0))))).drop("_s")
-    return (dl.join(ol, ["i", "m", "_salt"])
-              .groupBy("_rep", "_orig").agg(F.count("*").alias("n_eq")))
+    original pair sharing at least one position; counts are pre-aggregated per
+    pair before the shuffle."""
+    dl, ol = salted(dl, ol, hot_limit)
+    return dl.join(ol, ["i", "m", "_salt"]).groupBy("_rep", "_orig").agg(F.count("*").alias("n_eq"))
+
+
+def _smallest_two(df: DataFrame, key: str):
+    """The two smallest keys of a frame (None where there are fewer)."""
+    first = df.agg(F.min(key)).first()[0]
+    if first is None:
+        return None, None
+    return first, df.where(F.col(key) > first).agg(F.min(key)).first()[0]
 
 
 def best_original(doc_sigs: DataFrame, orig_sigs: DataFrame, doc_key: str = "doc_id",
                   orig_key: str = "doc_id", num_hashes: int = NUM_HASHES,
-                  hot_limit: int = HOT_LIMIT) -> DataFrame:
+                  hot_limit: int = HOT_LIMIT, exclude_self: bool = False) -> DataFrame:
     """J1 + T6 + W1: for every document, the original with the highest
     signature similarity; ties go to the lowest original key (the first
-    original in file order). Every document is scored, originals included.
+    original in file order). Every document is scored, originals included;
+    with ``exclude_self`` an original isn't scored against its own key.
+
+    Returns (doc_key, best_original, best_sim); NULLs where no original is left.
 
-    Returns (doc_key, best_original, best_sim).
+    Equal signatures are one class, known by a 128-bit hash: the signature's
+    values are read only for one member of a class. Empty documents (all
+    positions equal to the sentinel) are answered without any join.
     """
-    o = orig_sigs.select(F.col(orig_key).alias("_orig"), "signature")
-    d = doc_sigs.select(F.col(doc_key).alias("_doc"), "signature")
-
-    # Scalars for documents without any shared position: the first original,
-    # and for empty documents the first empty original (similarity 1.0).
-    sc = o.agg(F.min("_orig").alias("first"),
-               F.min(F.when(_is_empty(), F.col("_orig"))).alias("first_empty")).first()
-    first, first_empty = sc["first"], sc["first_empty"]
-
-    # Collapse exact copies: equal signatures score equally, so only the
-    # lowest original key of a group can win, and a document group needs to
-    # be scored once.
-    orep = o.groupBy("signature").agg(F.min("_orig").alias("_orig"))
-    drep = d.groupBy("signature").agg(F.min("_doc").alias("_rep"))
-
-    ol = signature_long(orep.filter(~_is_empty()), "_orig")
-    dl = signature_long(drep.filter(~_is_empty()), "_rep")
-    pairs = salted_match_counts(dl, ol, hot_limit)
+    marks = [F.xxhash64("signature").alias("_h1"), F.xxhash64(F.lit("second"), "signature").alias("_h2")]
+    o = orig_sigs.select(F.col(orig_key).cast("bigint").alias("_orig"), "signature", *marks)
+    d = doc_sigs.select(F.col(doc_key).alias("_doc"), "signature", *marks)
+    full_o, full_d = o.where(~_is_empty()), d.where(~_is_empty())
+    first, second = _smallest_two(o, "_orig")
+    empty, empty2 = _smallest_two(o.where(_is_empty()), "_orig")
+    null = F.lit(None).cast("bigint")
+
+    def other_than_self(a, b):
+        """Of two keys (ascending), the first that isn't the document's own."""
+        a, b = (x if not isinstance(x, (int, type(None))) else (null if x is None else F.lit(x).cast("bigint")) for x in (a, b))
+        return F.when(a == F.col("_doc"), b).otherwise(a) if exclude_self else a
+
+    orep = full_o.groupBy("_h1", "_h2").agg(F.min("_orig").alias("_orig"))
+    if exclude_self:
+        more = full_o.join(orep.withColumnRenamed("_orig", "_least"), ["_h1", "_h2"]).where(F.col("_orig") > F.col("_least"))
+        orep = orep.join(more.groupBy("_h1", "_h2").agg(F.min("_orig").alias("_orig2")), ["_h1", "_h2"], "left")
+    else:
+        orep = orep.withColumn("_orig2", null)
+    drep = full_d.groupBy("_h1", "_h2").agg(F.min("_doc").alias("_rep"))
+    ol = signature_long(full_o.select("_orig", "signature").join(orep.select("_orig"), "_orig", "left_semi"), "_orig")
+    dl = signature_long(full_d.select(F.col("_doc").alias("_rep"), "signature").join(drep.select("_rep"), "_rep", "left_semi"), "_rep")
+    # a class of documents and the class of originals with the same signature
+    same = drep.join(orep, ["_h1", "_h2"], "left").withColumnRenamed("_orig", "_same").withColumnRenamed("_orig2", "_same2")
+    pairs = salted_match_counts(dl, ol, hot_limit).join(same.select("_rep", "_same"), "_rep") \
+        .where(F.col("_same").isNull() | (F.col("_orig") != F.col("_same")))
     # argmax with first-wins tie rule as a partial-aggregating min over a struct
     best = pairs.groupBy("_rep").agg(
         F.min(F.struct((-F.col("n_eq")).alias("neg"), F.col("_orig").alias("orig"))).alias("b"))
-    best = best.select("_rep", (-F.col("b.neg")).alias("n_eq"), F.col("b.orig").alias("_best"))
-
-    empty_best = first_empty if first_empty is not None else first
-    empty_sim = 1.0 if first_empty is not None else 0.0
-    rep = drep.join(best, "_rep", "left").select(
-        "signature",
-        F.when(_is_empty(), F.lit(empty_best))
-         .otherwise(F.coalesce(F.col("_best"), F.lit(first))).alias("best_original"),
-        F.when(_is_empty(), F.lit(empty_sim))
-         .otherwise(F.coalesce(F.col("n_eq"), F.lit(0)) / F.lit(float(num_hashes)))
-         .alias("best_sim"))
-    if first is None:  # no originals at all
-        rep = rep.withColumn("best_original", F.lit(None).cast("bigint")) \
-                 .withColumn("best_sim", F.lit(None).cast("double"))
-    out = d.join(rep, "signature").select(
-        F.col("_doc").alias(doc_key), F.col("best_original").cast("bigint").alias("best_original"),
-        F.col("best_sim").cast("double").alias("best_sim"))
-    return out
+    classes = same.join(best, "_rep", "left").select(
+        "_h1", "_h2", "_same", "_same2", (-F.col("b.neg")).alias("n_eq"), F.col("b.orig").alias("_best"))
+    own, rest = other_than_self(F.col("_same"), F.col("_same2")), other_than_self(first, second)
+    found = full_d.select("_doc", "_h1", "_h2").join(classes, ["_h1", "_h2"]).select(
+        F.col("_doc").alias(doc_key), F.coalesce(own, F.col("_best"), rest).alias("best_original"),
+        F.when(own.isNotNull(), F.lit(1.0)).when(F.col("_best").isNotNull(), F.col("n_eq") / F.lit(float(num_hashes)))
+        .when(rest.isNotNull(), F.lit(0.0)).alias("best_sim"))
+    own = other_than_self(empty, empty2)
+    blank = d.where(_is_empty()).select(
+        F.col("_doc").alias(doc_key), F.coalesce(own, rest).alias("best_original"),
+        F.when(own.isNotNull(), F.lit(1.0)).when(rest.isNotNull(), F.lit(0.0)).alias("best_sim"))
+    return found.unionByName(blank)

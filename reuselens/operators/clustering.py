@@ -154,13 +154,12 @@ def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPON
         return pd.DataFrame({"block": pdf["gb"].iloc[:1], "ids": [ids.tobytes()], "m": [_start(ids, width, seed).tobytes()]})
 
     z = cells.select("gb", "grams").groupBy("gb").applyInPandas(begin, MATRIX)
-    for _ in range(n_iter + 1):
+    for step in range(n_iter + 1):
         y = cut_lineage(_times(cells, z, width, "docs"))
         y, rank = _orthonormal(y, width)
-        y = cut_lineage(y)
         z = cut_lineage(_times(cells, y, rank, "grams"))     # transposed X times Q
         width = rank
-        if _ < n_iter:
+        if step < n_iter:
             z, width = _orthonormal(z, width)
     lam, e = np.linalg.eigh(_gram_matrix(z, width))          # of (Q'X)(Q'X)'
     top = np.argsort(lam)[::-1][:k]

@@ -56,7 +56,11 @@ def _cos_matrix(exp):
     return m
 
 
-def test_top_neighbours_brute_force(spark):
+@pytest.mark.parametrize("docs, products", [(CO.BLOCK_DOCS, CO.PRODUCTS), (3, 2)])
+def test_top_neighbours_brute_force(spark, monkeypatch, docs, products):
+    """Also with many blocks and a few products at a time."""
+    monkeypatch.setattr(CO, "BLOCK_DOCS", docs)
+    monkeypatch.setattr(CO, "PRODUCTS", products)
     t, w = _weights(spark)
     got = {(r.doc_id, r.rank): (r.other_id, round(r.sim, 9)) for r in CO.top_neighbours(w, t.select("doc_id"), k=3).collect()}
     m = np.round(_cos_matrix(py_tfidf(DOCS)), 9)
@@ -102,6 +106,14 @@ def test_similar_pairs_of_many_short_documents(spark):
     assert CO.similar_pairs(TF.tfidf(rows.limit(3000).union(rows.limit(3000).selectExpr("doc_id + 50000", "clean_text"))), 0.99).count() >= 3000
 
 
+def test_neighbours_of_short_documents(spark):
+    """20,000 documents of three words: a task holds the sums of one pair of blocks."""
+    rows = spark.range(20000).selectExpr("id AS doc_id", "concat('a', id % 4000, ' b', id % 37, ' c', id % 2000) AS clean_text")
+    top = CO.top_neighbours(TF.tfidf(rows), rows.select("doc_id"), 1)
+    assert top.count() == 20000
+    assert top.where("doc_id % 4000 != other_id % 4000").count() == 0
+
+
 def test_gram_counts_stay_in_place(spark):
     """No exchange by document and gram, however the input is split."""
     plans = set()

@@ -6,14 +6,19 @@ order: those known to be frequent last, then by hash.
 
 Candidates. Two linked sets share a shingle among the first
 ``n - ceil(n * percent / 100) + 1`` of each in that order, so only these are
-dealt out. Texts with equal sets are one class from here on. Each shingle's
-classes are first paired with one of them (a star), the pairs verified and
-components formed; then only classes of different components that share such
-a shingle are paired. A group of near copies thus costs one pair a member and
-not all pairs, and no link between different components is missed.
-
-Pruning. A class has a parity bitmap (one bit flip per shingle, at least as
-many bits as shingles, folded to compare). The bitmaps of two sets differ in
+dealt out; and the first that they share has enough shingles behind it in both
+sets, which the positions tell. Texts with equal sets are one class from here
+on. First each class is paired with one class that holds such shingles too
+(each shingle offers one, by a hash; the one offered most is taken), the pairs
+are verified and components formed. Then each is paired with the ``TAKEN``
+classes offered most, of other components, twice; now a shingle offers
+``OFFERS`` of the classes that have a link, by another hash each time. Last, all pairs of classes that are still in
+different components are taken. A group of near copies is thus one component,
+or nearly, before all pairs are taken, and costs a few pairs a member; no link
+between components is missed.
+
+Pruning. A class has a parity bitmap (one bit flip per shingle, at least four
+times as many bits as shingles, folded to compare). The bitmaps of two sets differ in
 at most as many bits as the sets differ in shingles, which a link bounds, so
 a pair whose bitmaps differ in more is none.
 
@@ -37,20 +42,23 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reuselens.llm import kernels as K
-from reuselens.llm.common import materialise
+from reuselens.llm.common import fresh, materialise
 from reuselens.llm.components import components
 from reuselens.llm.packed import BUCKET_KEYS, count_keys
 
 SHINGLE = 5
 PERCENT = 75
-FRAGMENTS = 8
+FRAGMENTS = 4
 BITS = 53
-FREQUENT = 24
-LOCAL = 3
-SHARE = 1e-4
+FREQUENT = 8
+LOCAL = 2
+SHARE = 4e-5
+OFFERS = 32
+TAKEN = 8
 ROWS = 1000                    # texts of a piece: their number fits above a shingle's bits
 BROADCAST_IDS = 1_000_000      # ids (8 bytes each) that may be sent to all tasks
 MASK = np.uint64((1 << BITS) - 1)
@@ -63,11 +71,11 @@ class Frequent:
 
     def __init__(self, keys: np.ndarray):
         self.keys = np.sort(keys.astype(np.uint64))
-        self.may = np.zeros(1 << 20, bool)
-        self.may[(self.keys & np.uint64((1 << 20) - 1)).astype(int)] = True
+        self.may = np.zeros(1 << 23, bool)
+        self.may[(self.keys & np.uint64((1 << 23) - 1)).astype(int)] = True
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        out = self.may[(h & np.uint64((1 << 20) - 1)).astype(np.int64)]
+        out = self.may[(h & np.uint64((1 << 23) - 1)).astype(np.int64)]
         at = np.flatnonzero(out)
         if len(at):
             place = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
@@ -97,8 +105,8 @@ def prefix_sizes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def bitmap_sizes(n: np.ndarray) -> np.ndarray:
-    """Bits of a bitmap: the power of two from 64 on that isn't below n."""
-    return 64 << np.ceil(np.log2(np.maximum(n, 64) / 64)).astype(int)
+    """Bits of a bitmap: the power of two from 64 on that isn't below 4 n."""
+    return 64 << np.ceil(np.log2(np.maximum(4 * n, 64) / 64)).astype(int)
 
 
 def bitmaps(shingles: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -212,15 +220,59 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, per
     """The pairs ``a, b`` that link, with their overlap."""
     left = materialise(_pruned(pairs, classes, percent))
     ids = materialise(left.select(F.col("a").alias("cid")).unionByName(left.select(F.col("b").alias("cid"))).distinct())
-    seg = materialise(segments(texts, ids, ids.count(), k).dropDuplicates(["cid", "fragment"]))
+    seg = materialise(segments(texts, ids, ids.count(), k))
     a = seg.select(F.col("cid").alias("a"), "fragment", F.col("segment").alias("x"))
     b = seg.select(F.col("cid").alias("b"), "fragment", F.col("segment").alias("y"))
     part = left.join(a, "a").join(b, ["b", "fragment"]).select(
-        "a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("part"))
+        "a", "b", "fragment", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("part"))
+    # repeated rows of an id repeat its segments
+    part = part.groupBy("a", "b", "fragment", "n_a", "n_b").agg(F.max("part").alias("part"))
     both = part.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("overlap"))
     return both.where(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent)
 
 
+def _near(n_a, at_a, n_b, at_b, percent: int):
+    """Whether sets of these sizes whose first common shingle is at these
+    positions can link."""
+    most = F.least(n_a - at_a, n_b - at_b)
+    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) \
+        & (most * (100 + percent) >= (n_a + n_b) * percent)
+
+
+def _open(shared: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """``token, s1, n, at, part, linked`` of the shingles that classes of
+    several components share."""
+    if parts is None:
+        rows = shared.withColumn("part", F.col("s1")).withColumn("linked", F.lit(True))
+    else:
+        rows = shared.join(parts, "s1")
+    several = rows.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
+    return materialise(rows.join(several.select("token"), "token"))
+
+
+def _star_pairs(rows: DataFrame, seed: int, offers: int, taken: int, percent: int) -> DataFrame:
+    """``x, y``: for each class, ``taken`` classes of other components that it
+    may link with and that most of its shingles offer; a shingle offers the
+    first of its linked classes by a hash."""
+    nth = F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64(F.lit(seed), "s1"), "s1"))
+    hubs = rows.where("linked").withColumn("nth", nth).where(F.col("nth") <= offers) \
+        .select("token", *[F.col(c).alias(f"hub_{c}") for c in ("s1", "n", "at", "part")])
+    pairs = rows.join(hubs, "token").where((F.col("part") != F.col("hub_part")) & _near(
+        F.col("n"), F.col("at"), F.col("hub_n"), F.col("hub_at"), percent))
+    offered = pairs.groupBy(F.col("s1").alias("x"), F.col("hub_s1").alias("y")).agg(F.count("*").alias("times"))
+    rank = F.row_number().over(W.partitionBy("x").orderBy(F.desc("times"), F.xxhash64(F.lit(seed), "y"), "y"))
+    return offered.withColumn("rank", rank).where(F.col("rank") <= taken).select("x", "y")
+
+
+def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """``x, y``: all pairs of classes of different components that may link."""
+    side = {c: rows.select("token", F.col("s1").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "part")])
+            for c in "xy"}
+    may = (F.col("x") < F.col("y")) & (F.col("part_x") != F.col("part_y")) \
+        & _near(F.col("n_x"), F.col("at_x"), F.col("n_y"), F.col("at_y"), percent)
+    return side["x"].join(side["y"], "token").where(may).select("x", "y").distinct()
+
+
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE,
                  percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """``(documents, links)``: ``doc_id, n_shingles, component_id`` of each row
@@ -239,35 +291,28 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
                                 (F.col("doc_id") == F.col("cid")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")))
                           .select("cid", "s1", "n", "bitmap").dropDuplicates(["cid", "s1"]))
     # classes by shingle of their prefix; a row for each class, whatever its copies
-    dealt = full.select(F.explode("prefix").alias("token"), "s1", "n").repartition("token") \
+    dealt = full.select("s1", "n", F.posexplode("prefix").alias("at", "token")).repartition("token") \
         .dropDuplicates(["token", "s1"])
-    stars = dealt.groupBy("token").agg(F.count("*").alias("m"), F.min("s1").alias("hub"))
-    shared = materialise(dealt.join(stars.where("m > 1"), "token"))
-
+    crowd = dealt.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
+    shared = materialise(dealt.join(crowd, "token").select("token", "s1", "n", "at"))
     ids = classes.select("s1", "cid")
+
     def named_pairs(p):
         """Pairs of class sums as pairs of class ids."""
         p = p.join(ids.select(F.col("s1").alias("x"), F.col("cid").alias("cx")), "x") \
             .join(ids.select(F.col("s1").alias("y"), F.col("cid").alias("cy")), "y")
-        return p.select(F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b")).where("a < b").distinct()
-
-    star = shared.where(F.col("s1") != F.col("hub")).select(F.col("s1").alias("x"), F.col("hub").alias("y")).distinct()
-    links = materialise(verified(materialise(named_pairs(star)), classes, texts, k, percent))
-    parts = materialise(components(links))
-    # what is left: shingles whose classes are still in several components
-    of = ids.join(parts, F.col("cid") == F.col("node"), "left") \
-        .select(F.col("s1"), F.coalesce("component", "cid").alias("part"))
-    open_ = shared.select("token", "s1", "n").join(of, "s1")
-    several = open_.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("token")
-    open_ = materialise(open_.join(several, "token"))
-    x = open_.select("token", F.col("s1").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
-    y = open_.select("token", F.col("s1").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"))
-    near = (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
-    rest = x.join(y, "token").where((F.col("x") < F.col("y")) & (F.col("px") != F.col("py")) & near) \
-        .select("x", "y").distinct()
-    more = materialise(verified(materialise(named_pairs(rest)), classes, texts, k, percent))
-    links = links.unionByName(more).select("a", "b", "overlap").distinct()
-    parts = materialise(components(links)) if more.count() else parts
+        return materialise(p.select(F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b"))
+                           .where("a < b").distinct())
+
+    links, parts, part_of = None, None, None
+    for star in ((0, 1, 1), (1, OFFERS, TAKEN), (2, OFFERS, TAKEN), None):
+        open_ = _open(shared, part_of)
+        pairs = _star_pairs(open_, *star, percent) if star else _cross_pairs(open_, percent)
+        more = verified(named_pairs(pairs), classes, texts, k, percent).select("a", "b", "overlap")
+        links = materialise(more if links is None else links.unionByName(more))
+        parts = materialise(components(links))
+        part_of = ids.join(parts, F.col("cid") == F.col("node"), "left").groupBy("s1").agg(
+            F.min(F.coalesce("component", "cid")).alias("part"), F.max(F.col("component").isNotNull()).alias("linked"))
     out = rows.select("doc_id", "s1", "s2", "n").join(named, ["s1", "s2"], "left")
     out = out.withColumn("class", F.when(F.col("n") > 0, F.col("cid")).otherwise(F.col("doc_id")))
     out = out.join(parts, F.col("class") == F.col("node"), "left")
@@ -279,5 +324,6 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose id names their component."""
     found = jaccard_join(docs, key, text)[0]
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs[key].eqNullSafe(F.col("_stay")), "left_semi")
+    (name,) = fresh(docs, "stay")
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stay, F.col(key).eqNullSafe(F.col(name)), "left_semi")

@@ -10,8 +10,25 @@ from tests.oracle_compare import compare, duck
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture()
+def shared_steps(monkeypatch):
+    """Steps that several queries begin with are computed once for the test."""
+    from reuselens.plans import queries as Q
+
+    for name in ("mh_signatures", "tf_weights", "svd_frame", "kmeans_frame", "doc_split", "doc_classifier_frame"):
+        step, known = getattr(Q, name), {}
+
+        def once(spark, sf_dir, *a, _step=step, _known=known, **b):
+            key = (sf_dir, a, tuple(b.items()))
+            if key not in _known:
+                _known[key] = _step(spark, sf_dir, *a, **b)
+            return _known[key]
+
+        monkeypatch.setattr(Q, name, once)
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
-def test_all_queries_against_duckdb(spark):
+def test_all_queries_against_duckdb(spark, shared_steps):
     con = duck(SF)
     qs, sq = E.queries(), E.oracle_sql()
     assert set(sq) <= set(qs)

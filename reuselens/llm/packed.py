@@ -49,9 +49,14 @@ def count_keys(docs: DataFrame, make, n_buckets: int, least: int = 1, local_leas
     64-bit numbers for the Arrow batches of ``docs``; keys below ``least`` in
     all are left out, and counts below ``local_least`` among ``FLUSH`` keys
     aren't sent."""
-    def send(keys):
-        keys, counts = np.unique(np.concatenate(keys), return_counts=True)
-        keys, counts = keys[counts >= local_least], counts[counts >= local_least]
+    def send(held):
+        keys = np.concatenate(held)
+        held.clear()                           # one copy at a time
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.append(first, len(keys)))
+        enough = counts >= local_least
+        keys, counts = keys[first[enough]], counts[enough]
         bucket = (K.mix(keys) >> np.uint64(20)) % np.uint64(n_buckets)
         order = np.argsort(bucket, kind="stable")
         at = np.searchsorted(bucket[order], np.arange(n_buckets + 1, dtype=np.uint64))
@@ -60,7 +65,7 @@ def count_keys(docs: DataFrame, make, n_buckets: int, least: int = 1, local_leas
             yield int(b), pack([keys[own], counts[own]])
 
     def gather(batches):
-        held, n = [], 0
+        held, n = [], 0                        # keys not sent yet
 
         def flush():
             rows = list(send(held))

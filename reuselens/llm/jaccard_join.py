@@ -31,16 +31,23 @@ task and in ``max(FREQUENT, SHARE * texts)`` texts of such batches in all. Any
 choice gives the same result; this one is bounded by the mean size of a set
 over ``SHARE`` and is sent to all tasks.
 
+Names. A class is named by a 64-bit hash of its set's 128-bit sum, by another
+one should two classes have the same; ids only name components in the output.
+A class is read by one of its rows: the smallest id, then the smallest hash of
+id and text.
+
 Shingles are 53-bit hashes. Defined results: null and empty texts have size 0,
 are their own component and link with nothing; a text of fewer than k words is
-one shingle; repeated rows give repeated rows of one class; a null id is the
-largest of all; other columns are ignored.
+one shingle; repeated rows give repeated rows of one class; rows of one id with
+different texts are different documents; a null id is the largest of all, and a
+component without any other has a null name; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -60,7 +67,7 @@ SHARE = 4e-5
 OFFERS = 32
 TAKEN = 8
 ROWS = 1000                    # texts of a piece: their number fits above a shingle's bits
-BROADCAST_IDS = 1_000_000      # ids (8 bytes each) that may be sent to all tasks
+BROADCAST_IDS = 1_000_000      # rows (24 bytes each) that may be sent to all tasks
 MASK = np.uint64((1 << BITS) - 1)
 LATE = np.uint64(1 << BITS)    # marks a frequent shingle
 SHIFT = np.uint64(BITS + 1)
@@ -139,13 +146,13 @@ def frequent_shingles(texts: DataFrame, n_texts: int, n_bytes: int, k: int = SHI
     return counted.where(F.col("n") >= max(FREQUENT, int(SHARE * n_texts))).toArrow()["key"].to_numpy()
 
 
-SETS = "doc_id long, s1 long, s2 long, n long, bitmap binary, prefix array<long>"
+SETS = "doc_id long, h long, s1 long, s2 long, n long, bitmap binary, prefix array<long>"
 
 
 def class_rows(texts: DataFrame, frequent, k: int, percent: int) -> DataFrame:
-    """A row per text: id, the set's 128-bit sum, its size, and for one text of
+    """A row per text: id, hash, the set's 128-bit sum, its size, and for one text of
     each set in a batch (the smallest id) its bitmap and prefix."""
-    schema = pa.schema([("doc_id", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("n", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("n", pa.int64()),
                         ("bitmap", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -168,7 +175,7 @@ def class_rows(texts: DataFrame, frequent, k: int, percent: int) -> DataFrame:
                 take = np.arange(lists[-1]) - np.repeat(lists[:-1], size) + np.repeat(bounds[:-1], size)
                 maps = [m if one and c else None for m, one, c in zip(bitmaps(sh, bounds), first, n, strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    ids, pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(n.astype(np.int64)),
+                    ids, batch.column(2)[at:at + len(n)], pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(n.astype(np.int64)),
                     pa.array(maps, pa.binary()),
                     pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(low[take].view(np.int64)))], schema=schema)
 
@@ -193,13 +200,14 @@ def _pruned(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def segments(texts: DataFrame, ids: DataFrame, n_ids: int, k: int, fragments: int = FRAGMENTS) -> DataFrame:
-    """``cid, fragment, segment`` of the texts with these ids (column ``cid``)."""
-    ids = ids.select(F.col("cid").alias("doc_id"))
-    own = texts.join(F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    """``cid, fragment, segment`` of the rows ``ids`` (``cid, h, least``: class,
+    hash and id of its row)."""
+    own = texts.join(F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids, "h")
     schema = pa.schema([("cid", pa.int64()), ("fragment", pa.int32()), ("segment", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
+            batch = batch.filter(pc.equal(batch.column(2), batch.column(3)))
             for at, data, off in K.utf8_pieces(batch.column(1), rows=ROWS):
                 sh, bounds = ordered_sets(data, off, None, k)
                 n = len(off) - 1
@@ -213,20 +221,22 @@ def segments(texts: DataFrame, ids: DataFrame, n_ids: int, k: int, fragments: in
                     pa.ListArray.from_arrays(np.append(cut[full], cut[-1]).astype(np.int32),
                                              pa.array((sh & MASK).view(np.int64)))], schema=schema)
 
-    return own.select("doc_id", "text").mapInArrow(run, "cid long, fragment int, segment array<long>")
+    return own.select("cid", "text", "doc_id", "least").mapInArrow(run, "cid long, fragment int, segment array<long>")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` that link, with their overlap."""
     left = materialise(_pruned(pairs, classes, percent))
-    ids = materialise(left.select(F.col("a").alias("cid")).unionByName(left.select(F.col("b").alias("cid"))).distinct())
-    seg = materialise(segments(texts, ids, ids.count(), k))
+    ids = left.select(F.col("a").alias("cid")).unionByName(left.select(F.col("b").alias("cid"))).distinct()
+    ids = materialise(classes.select("cid", "h", "least", "times").join(ids, "cid"))
+    n_ids, times = ids.agg(F.count("*"), F.max("times")).collect()[0]
+    seg = segments(texts, ids.drop("times"), n_ids, k)
+    # rows that repeat a class's row repeat its segments
+    seg = materialise(seg if (times or 1) == 1 else seg.dropDuplicates(["cid", "fragment"]))
     a = seg.select(F.col("cid").alias("a"), "fragment", F.col("segment").alias("x"))
     b = seg.select(F.col("cid").alias("b"), "fragment", F.col("segment").alias("y"))
     part = left.join(a, "a").join(b, ["b", "fragment"]).select(
         "a", "b", "fragment", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("part"))
-    # repeated rows of an id repeat its segments
-    part = part.groupBy("a", "b", "fragment", "n_a", "n_b").agg(F.max("part").alias("part"))
     both = part.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("overlap"))
     return both.where(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent)
 
@@ -240,12 +250,12 @@ def _near(n_a, at_a, n_b, at_b, percent: int):
 
 
 def _open(shared: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """``token, s1, n, at, part, linked`` of the shingles that classes of
+    """``token, cid, n, at, part, linked`` of the shingles that classes of
     several components share."""
     if parts is None:
-        rows = shared.withColumn("part", F.col("s1")).withColumn("linked", F.lit(True))
+        rows = shared.withColumn("part", F.col("cid")).withColumn("linked", F.lit(True))
     else:
-        rows = shared.join(parts, "s1")
+        rows = shared.join(parts, "cid")
     several = rows.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
     return materialise(rows.join(several.select("token"), "token"))
 
@@ -254,76 +264,111 @@ def _star_pairs(rows: DataFrame, seed: int, offers: int, taken: int, percent: in
     """``x, y``: for each class, ``taken`` classes of other components that it
     may link with and that most of its shingles offer; a shingle offers the
     first of its linked classes by a hash."""
-    nth = F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64(F.lit(seed), "s1"), "s1"))
+    nth = F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64(F.lit(seed), "cid"), "cid"))
     hubs = rows.where("linked").withColumn("nth", nth).where(F.col("nth") <= offers) \
-        .select("token", *[F.col(c).alias(f"hub_{c}") for c in ("s1", "n", "at", "part")])
+        .select("token", *[F.col(c).alias(f"hub_{c}") for c in ("cid", "n", "at", "part")])
     pairs = rows.join(hubs, "token").where((F.col("part") != F.col("hub_part")) & _near(
         F.col("n"), F.col("at"), F.col("hub_n"), F.col("hub_at"), percent))
-    offered = pairs.groupBy(F.col("s1").alias("x"), F.col("hub_s1").alias("y")).agg(F.count("*").alias("times"))
+    offered = pairs.groupBy(F.col("cid").alias("x"), F.col("hub_cid").alias("y")).agg(F.count("*").alias("times"))
     rank = F.row_number().over(W.partitionBy("x").orderBy(F.desc("times"), F.xxhash64(F.lit(seed), "y"), "y"))
     return offered.withColumn("rank", rank).where(F.col("rank") <= taken).select("x", "y")
 
 
 def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """``x, y``: all pairs of classes of different components that may link."""
-    side = {c: rows.select("token", F.col("s1").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "part")])
+    side = {c: rows.select("token", F.col("cid").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "part")])
             for c in "xy"}
     may = (F.col("x") < F.col("y")) & (F.col("part_x") != F.col("part_y")) \
         & _near(F.col("n_x"), F.col("at_x"), F.col("n_y"), F.col("at_y"), percent)
     return side["x"].join(side["y"], "token").where(may).select("x", "y").distinct()
 
 
-def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE,
-                 percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """``(documents, links)``: ``doc_id, n_shingles, component_id`` of each row
-    of ``docs``, and the verified links ``a, b, overlap`` between classes
-    (a class is named by its smallest id); links within a component that is
-    connected already may be missing."""
+def _named(rows: DataFrame):
+    """``(classes, name)`` of rows with shingles: the 128-bit sums with the id
+    (``least``) and hash of the class's row, its ``times`` and the name
+    (``cid``); and the name as a column of the sums."""
+    first = rows.repartition("s1", "s2").groupBy("s1", "s2", "doc_id", "h").agg(F.count("*").alias("times")) \
+        .groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "h", "times")).alias("x")) \
+        .select("s1", "s2", F.col("x.doc_id").alias("least"), F.col("x.h").alias("h"), F.col("x.times").alias("times"))
+    first = materialise(first)
+    seed = 0
+    while True:
+        name = F.xxhash64(F.lit(seed), "s1", "s2")
+        if first.groupBy(name.alias("cid")).agg(F.count("*").alias("m")).where("m > 1").isEmpty():
+            return first.withColumn("cid", name), name
+        seed += 1
+
+
+def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int):
+    """``(rows, classes, parts, links)``: the rows ``doc_id, h, n, cid`` (null
+    without shingles), the classes, ``cid, part`` of all classes (the part is
+    named by one of its classes), and the links between classes."""
     last = F.lit((1 << 63) - 1)
     texts = docs.select(F.coalesce(F.col(key).cast("long"), last).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    texts = texts.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
     n_texts, n_bytes = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).collect()[0]
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(texts, n_texts, n_bytes, k))
     rows = materialise(class_rows(texts, frequent, k, percent))
     full = rows.where(F.col("n") > 0)
-    named = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("cid"))
-    classes = materialise(full.where(F.col("bitmap").isNotNull())
-                          .join(named.select(F.col("cid"), F.col("s1").alias("c1"), F.col("s2").alias("c2")),
-                                (F.col("doc_id") == F.col("cid")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")))
-                          .select("cid", "s1", "n", "bitmap").dropDuplicates(["cid", "s1"]))
+    named, name = _named(full)
+    full = full.withColumn("cid", name)
+    classes = materialise(full.where(F.col("bitmap").isNotNull()).select("doc_id", "cid", "n", "bitmap")
+                          .join(named.select("cid", "least", "h", "times"), "cid").where("doc_id = least")
+                          .drop("doc_id").dropDuplicates(["cid"]))
     # classes by shingle of their prefix; a row for each class, whatever its copies
-    dealt = full.select("s1", "n", F.posexplode("prefix").alias("at", "token")).repartition("token") \
-        .dropDuplicates(["token", "s1"])
+    dealt = full.select("cid", "n", F.posexplode("prefix").alias("at", "token")).repartition("token") \
+        .dropDuplicates(["token", "cid"])
     crowd = dealt.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    shared = materialise(dealt.join(crowd, "token").select("token", "s1", "n", "at"))
-    ids = classes.select("s1", "cid")
-
-    def named_pairs(p):
-        """Pairs of class sums as pairs of class ids."""
-        p = p.join(ids.select(F.col("s1").alias("x"), F.col("cid").alias("cx")), "x") \
-            .join(ids.select(F.col("s1").alias("y"), F.col("cid").alias("cy")), "y")
-        return materialise(p.select(F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b"))
-                           .where("a < b").distinct())
-
-    links, parts, part_of = None, None, None
+    shared = materialise(dealt.join(crowd, "token").select("token", "cid", "n", "at"))
+    links, part_of = None, None
     for star in ((0, 1, 1), (1, OFFERS, TAKEN), (2, OFFERS, TAKEN), None):
         open_ = _open(shared, part_of)
         pairs = _star_pairs(open_, *star, percent) if star else _cross_pairs(open_, percent)
-        more = verified(named_pairs(pairs), classes, texts, k, percent).select("a", "b", "overlap")
+        pairs = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        more = verified(pairs, classes, texts, k, percent).select("a", "b", "overlap")
         links = materialise(more if links is None else links.unionByName(more))
         parts = materialise(components(links))
-        part_of = ids.join(parts, F.col("cid") == F.col("node"), "left").groupBy("s1").agg(
-            F.min(F.coalesce("component", "cid")).alias("part"), F.max(F.col("component").isNotNull()).alias("linked"))
-    out = rows.select("doc_id", "s1", "s2", "n").join(named, ["s1", "s2"], "left")
-    out = out.withColumn("class", F.when(F.col("n") > 0, F.col("cid")).otherwise(F.col("doc_id")))
-    out = out.join(parts, F.col("class") == F.col("node"), "left")
-    real = lambda c: F.nullif(c, last)
-    return out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-                      real(F.coalesce("component", "class")).alias("component_id")), links
+        part_of = named.select("cid").join(parts, F.col("cid") == F.col("node"), "left").select(
+            "cid", F.coalesce("component", "cid").alias("part"), F.col("component").isNotNull().alias("linked"))
+    rows = rows.select("doc_id", "h", "n", F.when(F.col("n") > 0, name).alias("cid"))
+    return rows, named, part_of.select("cid", "part"), links
+
+
+def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE,
+                 percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """``(documents, links)``: ``doc_id, n_shingles, component_id`` of each row
+    of ``docs``, and the verified links ``a, b, overlap`` between classes
+    (given by their smallest ids); links within a component that is
+    connected already may be missing."""
+    rows, named, parts, links = _joined(docs, key, text, k, percent)
+    real = lambda c: F.nullif(c, F.lit((1 << 63) - 1))
+    ids = named.select("cid", "least")
+    least = parts.join(ids, "cid").groupBy("part").agg(F.min("least").alias("component"))
+    out = rows.join(parts.join(least, "part").select("cid", "component"), "cid", "left").select(
+        real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        real(F.coalesce("component", "doc_id")).alias("component_id"))
+    shown = links.join(ids.select(F.col("cid").alias("a"), F.col("least").alias("x")), "a") \
+        .join(ids.select(F.col("cid").alias("b"), F.col("least").alias("y")), "b") \
+        .select(real(F.least("x", "y")).alias("a"), real(F.greatest("x", "y")).alias("b"), "overlap")
+    return out, shown
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose id names their component."""
-    found = jaccard_join(docs, key, text)[0]
-    (name,) = fresh(docs, "stay")
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(stay, F.col(key).eqNullSafe(F.col(name)), "left_semi")
+    """One row, all columns, of each component of ``docs``: the smallest id,
+    then the smallest hash of id and text."""
+    rows, named, parts, _ = _joined(docs, key, text, SHINGLE, PERCENT)
+    name, mark, many = fresh(docs, "stay", "mark", "many")
+    last = F.lit((1 << 63) - 1)
+    first = parts.join(named.select("cid", "least", "h", "times"), "cid").groupBy("part") \
+        .agg(F.min(F.struct("least", "h", "times")).alias("x"))
+    stay = first.select(F.col("x.least").alias(name), F.col("x.h").alias(mark), (F.col("x.times") > 1).alias(many)) \
+        .unionByName(rows.where("n = 0").select(F.col("doc_id").alias(name), F.col("h").alias(mark),
+                                                F.lit(False).alias(many)).distinct())
+    stay = materialise(stay)
+    own = F.coalesce(F.col(key).cast("long"), last)
+    same = (own == F.col(name)) & (F.xxhash64(own, F.col(text).cast("string")) == F.col(mark))
+    out = docs.join(stay.where(~F.col(many)), same, "left_semi")
+    again = stay.where(many)
+    if again.isEmpty():
+        return out
+    return out.unionByName(docs.join(again, same).dropDuplicates([name, mark]).select(*docs.columns))

@@ -77,3 +77,21 @@ def test_components(spark):
         part = {k: min(x, y) if v in (x, y) else v for k, v in part.items()}
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == part
+
+
+def test_rows_of_one_id_are_documents_of_their_own(frame):
+    rng = random.Random(3)
+    prose = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    base, other, clean, late = prose(80), prose(80), prose(80), prose(80)
+    near = lambda w: " ".join([*w[:-2], *prose(2)])
+    rows = [(5, " ".join(base)), (None, near(base)), (None, " ".join(clean)), (None, ""), (None, None),
+            (None, " ".join(other)), (None, near(other)), (None, " ".join(late)), (None, " ".join(late)),
+            (9, near(base)), (9, " ".join(prose(70)))]
+    docs = frame([t for _, t in rows], [i for i, _ in rows])
+    found = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in J.jaccard_join(docs)[0].collect()), key=repr)
+    assert found == sorted([(5, 76, 5), (None, 76, 5), (None, 76, None), (None, 0, None), (None, 0, None), (None, 76, None),
+                            (None, 76, None), (None, 76, None), (None, 76, None), (9, 76, 5), (9, 66, 9)], key=repr)
+    texts = [r["text"] for r in J.one_of_each(docs).collect()]
+    assert len(texts) == 7 and len({rows[5][1], rows[6][1]} & set(texts)) == 1
+    assert sorted(t for t in texts if t and t not in (rows[5][1], rows[6][1])) \
+        == sorted([rows[0][1], rows[2][1], rows[7][1], rows[10][1]])

@@ -1,7 +1,8 @@
 """Connected components of a table of links, by alternating stars.
 
 Each round points every node to the smallest node around it (large star, then
-small star) and writes the links; rounds go on until no link changes.  The
+small star) and writes the links; rounds go on until no link changes, and
+links that still change after ``MAX_ROUNDS`` are an error.  The
 links never leave Spark, and the small star bounds what a node gathers: a
 node's links become one link to its smallest neighbour for each neighbour.
 """
@@ -45,5 +46,7 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"links still changed after {MAX_ROUNDS} rounds")
     return rows.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component") \
         .unionByName(rows.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from reuselens.llm import components as C
 from reuselens.llm import jaccard_join as J
 from reuselens.llm.components import components
 from tests.llm.conftest import shingle_set
@@ -95,3 +96,10 @@ def test_rows_of_one_id_are_documents_of_their_own(frame):
     assert len(texts) == 7 and len({rows[5][1], rows[6][1]} & set(texts)) == 1
     assert sorted(t for t in texts if t and t not in (rows[5][1], rows[6][1])) \
         == sorted([rows[0][1], rows[2][1], rows[7][1], rows[10][1]])
+
+
+def test_unsettled_components_are_an_error(spark, monkeypatch):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    monkeypatch.setattr(C, "MAX_ROUNDS", 2)
+    with pytest.raises(RuntimeError):
+        components(links)

@@ -29,7 +29,7 @@ removal read that same exchange.
 
 Defined results: null text is empty; texts below ``LENGTH`` bytes lose
 nothing; rows with equal ids but different texts are documents in order of a
-hash of the text; repeated rows (equal id and text) are one document read
+64-bit hash of the text (``mark``, part of a document's name); repeated rows (equal id and text) are one document read
 repeatedly and get the same result; a null id is the largest; hashes of grams,
 regions and strings have 64 bits.
 """
@@ -52,7 +52,7 @@ HOT = 16384
 HELD = 1 << 20                   # anchors that a task sorts at once
 INDEX_BYTES = 700_000            # text of an index, but for one whole anchor more
 LAST = (1 << 63) - 1
-START = (1 << 44) - 1            # low bits of a place: the start; above: hash of the text
+PLACES = 44                      # bits of a place in its document
 
 
 def _sliding(f, x: np.ndarray, width: int) -> np.ndarray:
@@ -105,32 +105,35 @@ def spans_of(order: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     return by[first], s[first], upto[last] - o[last] * wide
 
 
-ROWS = pa.schema([("key", pa.int64()), ("region", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()),
-                  ("reach", pa.int64())])
-ROWS_SQL = "key long, region long, doc long, place long, reach long"
+ROWS = pa.schema([("key", pa.int64()), ("region", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()),
+                  ("place", pa.int64()), ("reach", pa.int64())])
+ROWS_SQL = "key long, region long, doc long, mark long, place long, reach long"
 
 
 def _anchor_rows(length: int, gram: int):
     """Rows of a task: anchors (``reach`` negative: offsets of their region)
     and spans found within the task (``reach``: the span's end)."""
     def flush(held):
-        doc, place, key, region, left, right = (np.concatenate(x) for x in zip(*held, strict=True))
-        by = np.lexsort((place, doc))
+        doc, mark, place, key, region, left, right = (np.concatenate(x) for x in zip(*held, strict=True))
+        by = np.lexsort((place, mark, doc))
         by = by[np.argsort((key ^ region)[by], kind="stable")]
         same = np.zeros(len(by), bool)
         same[1:] = (region[by][1:] == region[by][:-1]) & (key[by][1:] == key[by][:-1])
-        again, first = by[same], by[~same]
+        begin = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
+        other = (doc[by] != doc[begin]) | (mark[by] != mark[begin]) | (place[by] != place[begin])   # no repeated row
+        again, first = by[same & other], by[~same]
         wide = left[again] + right[again] >= length
         again = again[wide]
-        docs, number = np.unique(np.stack([doc[again], place[again] >> 44]), axis=1, return_inverse=True)
-        start = (place[again] & START) - left[again]
+        docs, number = np.unique(np.stack([doc[again], mark[again]]), axis=1, return_inverse=True)
+        start = place[again] - left[again]
         row, s, e = spans_of(number.reshape(-1), start, start + left[again] + right[again])
         row = again[row]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
             np.concatenate([key[first].view(np.int64), K.mix(doc[row].view(np.uint64)).view(np.int64)]),
             np.concatenate([region[first].view(np.int64), np.zeros(len(row), np.int64)]),
             np.concatenate([doc[first], doc[row]]),
-            np.concatenate([place[first], (place[row] & ~np.int64(START)) | s]),
+            np.concatenate([mark[first], mark[row]]),
+            np.concatenate([place[first], s]),
             np.concatenate([-(left[first] * 1024 + right[first]) - 1, e]))], schema=ROWS)
 
     def run(batches):
@@ -139,8 +142,7 @@ def _anchor_rows(length: int, gram: int):
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for row, data, off in K.utf8_pieces(batch.column(2)):
                 at, of, key, a, b, region = anchors(data, off, length, gram)
-                place = (marks[row + of] << 44) | (at - off[of])
-                held.append((ids[row + of], place, key, region, at - a, b - at))
+                held.append((ids[row + of], marks[row + of], at - off[of], key, region, at - a, b - at))
                 n += len(at)
                 if n >= HELD:
                     yield from flush(held)
@@ -154,33 +156,41 @@ def _anchor_rows(length: int, gram: int):
 def _compare_regions(length: int):
     """Over rows sorted by key, region, document and place: spans for all but
     the first of equal regions, and the first ones of keys with several."""
-    schema = pa.schema([("hot", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()),
-                        ("reach", pa.int64())])
+    schema = pa.schema([("hot", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()),
+                        ("place", pa.int64()), ("reach", pa.int64())])
 
-    def out(kind, key, doc, place, reach):
+    def out(kind, key, doc, mark, place, reach):
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), kind, np.int32)), *[pa.array(x) for x in (key, doc, place, reach)]], schema=schema)
+            [pa.array(np.full(len(key), kind, np.int32)), *[pa.array(x) for x in (key, doc, mark, place, reach)]], schema=schema)
 
     def run(batches):
-        last = None                # (key, region) of the row before
+        last = None                # key, region, document and place of the first row like the one before
         held = None                # a first row whose key may not have a second region
         shared = False             # whether the held row's key has been seen with another region
         for batch in batches:
-            key, region, doc, place, reach = (batch.column(i).to_numpy() for i in range(5))
+            key, region, doc, mark, place, reach = (batch.column(i).to_numpy() for i in range(6))
             done = reach >= 0
             if done.any():
-                yield out(0, key[done], doc[done], place[done], reach[done])
-                key, region, doc, place, reach = (x[~done] for x in (key, region, doc, place, reach))
+                yield out(0, key[done], doc[done], mark[done], place[done], reach[done])
+                key, region, doc, mark, place, reach = (x[~done] for x in (key, region, doc, mark, place, reach))
             if not len(key):
                 continue
             same = np.zeros(len(key), bool)
             same[1:] = (key[1:] == key[:-1]) & (region[1:] == region[:-1])
-            same[0] = last == (key[0], region[0])
-            last = (key[-1], region[-1])
+            same[0] = last is not None and last[:2] == (key[0], region[0])
+            begin = np.maximum.accumulate(np.where(same, -1, np.arange(len(key))))
+            own = [doc, mark, place]
+            least = [x[np.maximum(begin, 0)] for x in own]
+            if last is not None:
+                least = [np.where(begin >= 0, x, y) for x, y in zip(least, last[2:], strict=True)]
+            last = (key[-1], region[-1], *(x[-1] for x in least))
+            other = np.zeros(len(key), bool)                    # no repeated row
+            for x, y in zip(own, least, strict=True):
+                other |= x != y
             left, right = (-reach - 1) // 1024, (-reach - 1) % 1024
-            wide = same & (left + right >= length)
-            yield out(0, key[wide], doc[wide], place[wide] - left[wide], (place[wide] & START) + right[wide])
-            rows = [x[~same] for x in (key, doc, place, reach)]
+            wide = same & other & (left + right >= length)
+            yield out(0, key[wide], doc[wide], mark[wide], place[wide] - left[wide], place[wide] + right[wide])
+            rows = [x[~same] for x in (key, doc, mark, place, reach)]
             if held is not None:
                 rows = [np.concatenate([h, x]) for h, x in zip(held, rows, strict=True)]
             if not len(rows[0]):
@@ -316,8 +326,8 @@ def repeated_strings(text: np.ndarray, place: np.ndarray, length: int) -> np.nda
     return at[place[at] > least]
 
 
-FOUND = pa.schema([("doc", pa.int64()), ("place", pa.int64()), ("reach", pa.int64())])
-FOUND_SQL = "doc long, place long, reach long"
+FOUND = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("place", pa.int64()), ("reach", pa.int64())])
+FOUND_SQL = "doc long, mark long, place long, reach long"
 
 
 def shared_halves(raw, begin, size, left, length, gram) -> np.ndarray:
@@ -336,52 +346,54 @@ def shared_halves(raw, begin, size, left, length, gram) -> np.ndarray:
 
 
 def _index_regions(length: int, gram: int):
-    """Over rows ``key, doc, place, left, region`` sorted by key: the spans that
+    """Over rows ``key, doc, mark, place, left, region`` sorted by key: the spans that
     the regions of whole keys share with earlier ones."""
-    def index(docs, places, lefts, regions):
-        docs, places, lefts = np.concatenate(docs), np.concatenate(places), np.concatenate(lefts)
+    def index(docs, marks, places, lefts, regions):
+        docs, marks, places, lefts = (np.concatenate(x) for x in (docs, marks, places, lefts))
         size = np.array([len(r) for r in regions])
         raw = np.frombuffer(b"".join(regions), np.uint8)
         keep = shared_halves(raw, np.cumsum(size) - size, size, lefts, length, gram)
         if not keep.any():
             return
-        raw, docs, places, size = raw[np.repeat(keep, size)], docs[keep], places[keep], size[keep]
+        raw, size, docs, marks, places = raw[np.repeat(keep, size)], size[keep], docs[keep], marks[keep], places[keep]
         begin = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
         text = np.zeros(size.sum() + len(size), np.uint16)
         inside = np.arange(len(raw)) + np.repeat(np.arange(len(size)), size)
         text[inside] = raw.astype(np.uint16) + 1
-        names, number = np.unique(np.stack([docs, places >> 44]), axis=1, return_inverse=True)
+        names, number = np.unique(np.stack([docs, marks]), axis=1, return_inverse=True)
         number = number.reshape(-1)
-        origin = number.astype(np.int64) * (1 << 44) + (places & START)
+        origin = number.astype(np.int64) * (1 << PLACES) + places
         place = np.repeat(origin - begin, size + 1) + np.arange(len(text))
         hit = np.unique(place[repeated_strings(text, place, length)])
         if not len(hit):
             return
-        row, s, e = spans_of(hit >> 44, hit & START, (hit & START) + length)
-        doc = names[:, hit[row] >> 44]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[0]), pa.array((doc[1] << 44) | s), pa.array(e)], schema=FOUND)
+        at = hit & ((1 << PLACES) - 1)
+        row, s, e = spans_of(hit >> PLACES, at, at + length)
+        doc = names[:, hit[row] >> PLACES]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[0], doc[1], s, e)], schema=FOUND)
 
     def run(batches):
-        docs, places, lefts, regions, n, last = [], [], [], [], 0, None
+        docs, marks, places, lefts, regions, n, last = [], [], [], [], [], 0, None
         for batch in batches:
             key = batch.column(0).to_numpy()
             cut = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-            doc, place, left = (batch.column(i).to_numpy() for i in (1, 2, 3))
-            region = batch.column(4).to_pylist()
+            doc, mark, place, left = (batch.column(i).to_numpy() for i in (1, 2, 3, 4))
+            region = batch.column(5).to_pylist()
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 if a == b:
                     continue
                 if n >= INDEX_BYTES and key[a] != last:
-                    yield from index(docs, places, lefts, regions)
-                    docs, places, lefts, regions, n = [], [], [], [], 0
+                    yield from index(docs, marks, places, lefts, regions)
+                    docs, marks, places, lefts, regions, n = [], [], [], [], [], 0
                 last = key[a]
                 docs.append(doc[a:b])
+                marks.append(mark[a:b])
                 places.append(place[a:b])
                 lefts.append(left[a:b])
                 regions += region[a:b]
                 n += sum(map(len, region[a:b]))
         if regions:
-            yield from index(docs, places, lefts, regions)
+            yield from index(docs, marks, places, lefts, regions)
 
     return run
 
@@ -389,24 +401,24 @@ def _index_regions(length: int, gram: int):
 def _cut_regions(length: int):
     """Of the anchors listed with a text: their regions (``place``: the start),
     or with a hot anchor each string of its region, under the string's hash."""
-    schema = pa.schema([("hot", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()),
-                        ("left", pa.int64()), ("region", pa.binary())])
+    schema = pa.schema([("hot", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()),
+                        ("place", pa.int64()), ("left", pa.int64()), ("region", pa.binary())])
 
     def run(batches):
         for batch in batches:
             out = [[] for _ in schema]
             for doc, mark, text, found in zip(*(batch.column(i) for i in range(4)), strict=True):
-                doc, mark, raw = doc.as_py(), mark.as_py() << 44, text.as_buffer().to_pybytes()
+                doc, mark, raw = doc.as_py(), mark.as_py(), text.as_buffer().to_pybytes()
                 for x in found.as_py():
-                    at, span = x["place"] & START, -x["reach"] - 1
+                    at, span = x["place"], -x["reach"] - 1
                     a, region = at - span // 1024, raw[at - span // 1024:at + span % 1024]
                     if not x["hot"]:
-                        rows = [(0, x["key"], doc, mark | a, at - a, region)]
+                        rows = [(0, x["key"], doc, mark, a, at - a, region)]
                     else:
                         p, inv = K.prefix_hash(np.frombuffer(region, np.uint8))
                         n = max(0, len(region) - length + 1)
                         h = K.mix((p[length:] - p[:n]) * inv[:n]).view(np.int64) if n else ()
-                        rows = [(1, int(k), doc, mark | a + i, 0, None) for i, k in enumerate(h)]
+                        rows = [(1, int(k), doc, mark, a + i, 0, None) for i, k in enumerate(h)]
                     for row in rows:
                         for o, v in zip(out, row, strict=True):
                             o.append(v)
@@ -421,28 +433,29 @@ def _all_but_first(length: int):
     def run(batches):
         last = None                # key, document and place of the first
         for batch in batches:
-            key, doc, place = (batch.column(i).to_numpy() for i in range(3))
+            key, *own = (batch.column(i).to_numpy() for i in range(4))
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             if last is not None and len(key) and last[0] == key[0]:
                 new[0] = False
             first = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-            known = first >= 0
-            d, p = doc[np.maximum(first, 0)], place[np.maximum(first, 0)]
+            least = [x[np.maximum(first, 0)] for x in own]
             if last is not None:
-                d, p = np.where(known, d, last[1]), np.where(known, p, last[2])
-            again = (doc != d) | (place != p)
+                least = [np.where(first >= 0, x, y) for x, y in zip(least, last[1:], strict=True)]
+            again = np.zeros(len(key), bool)
+            for x, y in zip(own, least, strict=True):
+                again |= x != y
             if len(key):
-                last = (key[-1], d[-1], p[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(doc[again]), pa.array(place[again]),
-                                              pa.array((place[again] & START) + length)], schema=FOUND)
+                last = (key[-1], *(x[-1] for x in least))
+            doc, mark, place = (x[again] for x in own)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, mark, place, place + length)], schema=FOUND)
 
     return run
 
 
 def _mark_repeats(length: int, gram: int):
     """Over rows sorted by kind (regions first), key, document and place."""
-    columns = ["key", "doc", "place", "left", "region"]
+    columns = ["key", "doc", "mark", "place", "left", "region"]
 
     def run(batches):
         batches, rest = iter(batches), []
@@ -478,7 +491,7 @@ def _remove(batches):
         for doc, text, found in zip(*(batch.column(i) for i in range(3)), strict=True):
             raw = text.as_buffer().to_pybytes()
             found = found.as_py() or []
-            s = np.array([x["place"] & START for x in found], np.int64)
+            s = np.array([x["place"] for x in found], np.int64)
             e = np.array([x["reach"] for x in found], np.int64)
             _, s, e = spans_of(np.zeros(len(s), int), s, e)
             at = [0, *e.tolist()]
@@ -495,23 +508,22 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     of each row of ``docs``: sizes, the remaining bytes, and the removed runs."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"),
-                       F.xxhash64(whole).bitwiseAND(F.lit(0xFFFF)).alias("mark"), whole.alias("text"))
+                       F.xxhash64(whole).alias("mark"), whole.alias("text"))
     dealt = rows.mapInArrow(_anchor_rows(length, gram), ROWS_SQL).repartition("key") \
-        .sortWithinPartitions("key", "region", "doc", "place")
+        .sortWithinPartitions("key", "region", "doc", "mark", "place")
     found = materialise(dealt.mapInArrow(_compare_regions(length),
-                                         "hot int, key long, doc long, place long, reach long"))
+                                         "hot int, key long, doc long, mark long, place long, reach long"))
     open_ = found.where("hot = 1")
     many = open_.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot).select(F.col("key").alias("k"))
     open_ = open_.join(many, F.col("key") == F.col("k"), "left") \
-        .select(F.col("k").isNotNull().cast("int").alias("hot"), "key", "doc", "place", "reach")
-    mark = F.shiftright("place", 44).alias("mark")
-    asked = open_.groupBy("doc", mark).agg(F.collect_list(F.struct("hot", "key", "place", "reach")).alias("found"))
+        .select(F.col("k").isNotNull().cast("int").alias("hot"), "key", "doc", "mark", "place", "reach")
+    asked = open_.groupBy("doc", "mark").agg(F.collect_list(F.struct("hot", "key", "place", "reach")).alias("found"))
     regions = rows.join(asked.hint("shuffle_hash"), ["doc", "mark"]).select("doc", "mark", "text", "found") \
-        .mapInArrow(_cut_regions(length), "hot int, key long, doc long, place long, left long, region binary")
-    indexed = regions.repartition("hot", "key").sortWithinPartitions("hot", "key", "doc", "place") \
+        .mapInArrow(_cut_regions(length), "hot int, key long, doc long, mark long, place long, left long, region binary")
+    indexed = regions.repartition("hot", "key").sortWithinPartitions("hot", "key", "doc", "mark", "place") \
         .mapInArrow(_mark_repeats(length, gram), FOUND_SQL)
-    spans = found.where("hot = 0").select("doc", "place", "reach").unionByName(indexed)
-    per = spans.groupBy("doc", mark).agg(F.collect_list(F.struct("place", "reach")).alias("found"))
+    spans = found.where("hot = 0").select("doc", "mark", "place", "reach").unionByName(indexed)
+    per = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("place", "reach")).alias("found"))
     out = rows.join(per.hint("shuffle_hash"), ["doc", "mark"], "left").select("doc", "text", "found") \
         .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                              "kept binary, starts array<long>, ends array<long>")

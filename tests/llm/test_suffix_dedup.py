@@ -75,3 +75,21 @@ def test_index_matches():
             n += 1
         assert got[b] == n
     assert len(index.runs) < len(text)
+
+
+def test_texts_of_one_id_whose_hashes_agree_in_16_bits(spark, frame):
+    """Two such texts are two documents: what they share goes from one only,
+    at its own offsets, and the other keeps all."""
+    rng = random.Random(5)
+    prose = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared, start = prose(300), prose(150)
+    many = spark.createDataFrame([(f"{start[:50 + i % 90]}{i} {shared}",) for i in range(1200)], "text string")
+    rows = many.selectExpr("text", "xxhash64(text) & 65535 AS low").collect()
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r["low"], []).append(r["text"])
+    pair = next(x[:2] for x in by.values() if len(x) > 1)
+    got = S.remove_repeats(frame(pair, [None, None])).collect()
+    order = {r["text"]: r["h"] for r in many.selectExpr("text", "xxhash64(text) AS h").collect()}
+    expected = brute([(order[t], t) for t in pair])
+    assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted(expected.values())

@@ -10,9 +10,12 @@ length are fingerprinted; any other has similarity 0 with all of them.
 Fingerprints meet block by block: of ``BLOCKS`` blocks, a pair within
 ``RADIUS`` bits has one with at most the block's own allowance (the allowances
 add up to ``RADIUS - BLOCKS + 1``), so comparing blocks first loses no pair
-within the radius. At the similarity threshold two fingerprints differ in 22
-bits on average (standard deviation 4.3); the radius lies four deviations
-above. Candidates are verified by the exact weighted Jaccard similarity
+within the radius. Where no shingle repeats, fingerprints at the similarity threshold
+differ in 22 bits on average (standard deviation 4.3); the radius lies four
+deviations above. A shingle that repeats within the window or the item can
+decide most signs, so such pairs are not held against the radius: all whose
+window has enough shingles of the item, repeats counted, to reach the
+threshold are candidates. Candidates are verified by the exact weighted Jaccard similarity
 (sum of minima over sum of maxima) of at least ``SIMILARITY``.
 
 The benchmark is the stated query set: it is counted and goes to the tasks in
@@ -63,6 +66,16 @@ def within(windows: np.ndarray, items: np.ndarray) -> np.ndarray:
     return out
 
 
+def repeats(shingles: np.ndarray) -> np.ndarray:
+    """For each start, where the first shingle stands that repeats one from
+    there on (beyond the end: none)."""
+    order = np.argsort(shingles, kind="stable")
+    same = shingles[order[1:]] == shingles[order[:-1]]
+    out = np.full(len(shingles) + 1, len(shingles) + 1)
+    out[order[:-1][same]] = order[1:][same]
+    return np.minimum.accumulate(out[::-1])[::-1]
+
+
 class Items:
     """Index of a block of items: ``ids`` and ``texts``."""
 
@@ -83,6 +96,7 @@ class Items:
                     self.sets.append(np.unique(own, return_counts=True))
                 at += 1
         self.words = np.array(self.words, int)
+        self.weighted = np.array([c.max() > 1 for _, c in self.sets], bool)   # items with a repeated shingle
         self.prints = np.stack([fingerprints((spread_bits(s) * c[:, None]).sum(axis=0, dtype=np.int64)[None])[0]
                                 for s, c in self.sets]) if self.sets else np.zeros((0, BLOCKS), np.uint16)
         keys = np.concatenate([s for s, _ in self.sets]) if self.sets else np.zeros(0, np.uint64)
@@ -119,8 +133,12 @@ class Items:
         pos = np.repeat(at, size)
         item = self.of[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.first[key], size)]
         best: dict[int, tuple] = {}
+        again = repeats(shingles)
         for n_words in np.unique(self.words[item]):
-            own = pos[self.words[item] == n_words]
+            own, held = pos[self.words[item] == n_words], item[self.words[item] == n_words]
+            by = np.lexsort((own, held))
+            seeded, cut = np.unique(held[by], return_index=True)
+            places = dict(zip(seeded.tolist(), np.split(own[by], cut[1:]), strict=True))
             length = int(n_words) - SHINGLE + 1
             flag = np.zeros(len(shingles) + length + 1, int)   # windows that hold a seed, by start + length - 1
             np.add.at(flag, own, 1)
@@ -138,6 +156,12 @@ class Items:
                     sums = np.concatenate([np.zeros((1, 128), np.int32),
                                            np.cumsum(spread_bits(region), axis=0, dtype=np.int32)])
                     near = within(fingerprints(sums[e - low] - sums[s - low]), self.prints[same])
+                    repeated = again[s] < e
+                    for j, x in enumerate(same.tolist()):
+                        if x in places and (self.weighted[x] or repeated.any()):
+                            hits = np.searchsorted(places[x], e) - np.searchsorted(places[x], s)
+                            enough = hits * (1 + SIMILARITY) >= SIMILARITY * (e - s + length)
+                            near[:, j] |= enough & (repeated | self.weighted[x])
                     for j in np.flatnonzero(near.any(axis=0)):
                         w = np.flatnonzero(near[:, j])
                         sim = self.similarities(int(same[j]), region, s[w] - low, e[w] - low)

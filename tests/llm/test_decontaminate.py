@@ -95,3 +95,17 @@ def test_no_pair_within_the_radius_is_lost():
     apart = np.bitwise_count(windows[:, None] ^ items[None]).sum(axis=2)
     assert (D.within(windows, items) == (apart <= D.RADIUS)).all()
     assert D.ALLOWED.sum() == D.RADIUS - D.BLOCKS + 1
+
+
+def test_repeated_runs_by_brute_force(spark, frame):
+    """A run of one word on one side only, in the item or in the document."""
+    rng = random.Random(4)
+    prose = lambda n: [rng.choice("klmnopq") + str(rng.randrange(10 ** 6)) for _ in range(n)]
+    items, texts = [], []
+    for i in range(12):
+        common, run, rest = prose(120 + i % 3 * 10), ["x"] * 18, prose(18)
+        items.append(" ".join(common + (run if i % 2 else rest)))
+        texts.append(" ".join(prose(10) + common + (rest if i % 2 else run) + prose(10)))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in D.find_items(frame(texts), bench).collect()}
+    assert got == pytest.approx(brute(texts, items)) and len(got) == 12

@@ -4,13 +4,17 @@ The standard library's parser streams a page's events once. Each block (what
 stands between two block borders: block tags, ``br``) is one line with its
 text, the number of tags in it, and the open containers around it.  Lines in
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments, known by tag, role, class or id, are never content.
+and reader comments, known by tag or role, are never content, nor are those
+known by class or id. A class or id tells by its first or last word, words
+from one like ``has`` or ``no`` on left out. The ratios below, taken over such
+lines as well, overrule the name of a container (no ``article``) that holds
+``HOLD`` of the page's high-ratio text, all of it where the name is one of
+remarks or teasers, at ``PROSE`` characters per tag or more.
 
 The other lines' ratios (characters per tag) are smoothed by a Gaussian and
 cut in two clusters; the lines of the upper cluster vote, with their length,
-for the containers around them.  The content region is the ``article`` or
-``main`` element with most votes (others join it from ``SHARE`` of its votes
-on), else the deepest container that still holds ``HOLD`` of all votes.  Every
+for the containers around them.  The content region is all ``article``
+elements with such lines (or ones at ``PROSE``), else all such ``main`` elements, else the deepest container that still holds ``HOLD`` of all votes.  Every
 line of the region is kept, however short.
 
 Defined results: null or empty html, or a page without content lines, gives
@@ -31,8 +35,8 @@ from pyspark.sql import functions as F
 
 SIGMA = 1.0
 RADIUS = 2
-SHARE = 0.5
 HOLD = 0.75
+PROSE = 30
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -57,21 +61,30 @@ NAMES = frozenset(
 TITLED = frozenset(["header", "masthead"])
 REMARKS = frozenset("comment comments commentlist discussion replies reply teaser teasers related ad ads advert promo "
                     "sponsored".split())
+STATES = frozenset("has have with without no not non is show hide".split())
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def _named(attrs: dict) -> set[str]:
-    words = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    return {w.lower() for w in TOKEN.findall(words)} if words != " " else set()
+    """The first and last word of each class and id, up to a word of state."""
+    out = set()
+    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+        words = [w.lower() for w in TOKEN.findall(name)]
+        states = [i for i, w in enumerate(words) if w in STATES]
+        words = words[:states[0]] if states else words
+        out.update(words[:1] + words[-1:])
+    return out
 
 
 class Lines(HTMLParser):
-    """Collects ``(text, tags, containers)`` of the lines that may be content."""
+    """Collects ``(text, tags, containers, named)`` of the lines that may be
+    content; ``named``: those of the containers that are hidden by name."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], tuple[int, ...]]] = []
         self.kinds = ["root"]            # tag of each container, by number
+        self.named: dict[int, bool] = {}  # containers hidden by name, and whether as remarks
         self.open: list[tuple[str, bool, bool, int | None]] = []  # tag, hidden, heading only, container
         self.text: list[str] = []
         self.tags = 0
@@ -81,12 +94,19 @@ class Lines(HTMLParser):
             line = " ".join("".join(self.text).split())
             if line:
                 around = tuple(c for _, _, _, c in self.open if c is not None)
-                self.lines.append((line, self.tags, (0, *around)))
+                self.lines.append((line, self.tags, (0, *around), tuple(c for c in around if c in self.named)))
             self.text = []
         self.tags = 0
 
-    def _hides(self, tag: str, attrs: dict) -> tuple[bool, bool]:
-        """Whether an element hides what is in it, wholly or but for headings."""
+    def _hides(self, tag: str, attrs: dict) -> tuple[bool, bool, set[str]]:
+        """Whether an element hides what is in it, wholly or but for headings;
+        and the names by which alone it hides it wholly."""
+        hidden, titled = self._known(tag, attrs)
+        if not hidden or tag not in CONTAINER or tag == "article" or self._known(tag, {**attrs, "class": "", "id": ""})[0]:
+            return hidden, titled, set()
+        return False, False, _named(attrs) & NAMES
+
+    def _known(self, tag: str, attrs: dict) -> tuple[bool, bool]:
         if tag in NEVER or attrs.get("role", "") in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True, False
         if "display:none" in (attrs.get("style") or "").replace(" ", ""):
@@ -111,7 +131,7 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         attrs = {k: v or "" for k, v in attrs}
-        hidden, titled = self._hides(tag, attrs)
+        hidden, titled, names = self._hides(tag, attrs)
         if self.open:
             _, was_hidden, was_titled, _ = self.open[-1]
             hidden, titled = hidden or was_hidden, titled or was_titled
@@ -119,6 +139,8 @@ class Lines(HTMLParser):
         if tag in CONTAINER:
             number = len(self.kinds)
             self.kinds.append(tag)
+            if names:
+                self.named[number] = bool(names & REMARKS)
         self.open.append((tag, hidden, titled, number))
 
     def handle_startendtag(self, tag, attrs):
@@ -186,29 +208,49 @@ def threshold(values: np.ndarray) -> float:
     return float((low + high) / 2)
 
 
+def clusters(lines: list) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each line's smoothed ratio is in the upper cluster, and whether
+    it's there or at ``PROSE`` or more."""
+    smoothed = smooth(np.array([len(line[0]) / max(1, line[1]) for line in lines]))
+    border = threshold(smoothed)
+    return smoothed >= border, smoothed >= min(border, PROSE)
+
+
+def unnamed(lines: list, named: dict[int, bool]) -> list:
+    """The lines but those hidden by a name that the ratios don't overrule."""
+    if not any(line[3] for line in lines):
+        return lines
+    high = clusters(lines)[1]
+    total, votes = 0, dict.fromkeys(named, 0)
+    for line, yes in zip(lines, high, strict=True):
+        if yes and len(line[0]) >= PROSE * line[1]:
+            total += len(line[0])
+            for c in line[3]:
+                votes[c] += len(line[0])
+    shown = {c for c, v in votes.items() if v and v >= (1 if named[c] else HOLD) * total}
+    return [line for line in lines if shown.issuperset(line[3])]
+
+
 def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
     parser._flush()
-    lines = parser.lines
+    lines = unnamed(parser.lines, parser.named)
     if not lines:
         return ""
-    ratios = smooth(np.array([len(t) / max(1, n) for t, n, _ in lines]))
-    content = ratios >= threshold(ratios)
     votes: dict[int, int] = {}
-    for (text, _, around), yes in zip(lines, content, strict=True):
+    named: set[int] = set()                  # containers with content lines
+    for (text, _, around, _), yes, prose in zip(lines, *clusters(lines), strict=True):
+        if prose:
+            named.update(around)
         if yes:
             for c in around:
                 votes[c] = votes.get(c, 0) + len(text)
-    named = {c: v for c, v in votes.items() if parser.kinds[c] == "article"} \
-        or {c: v for c, v in votes.items() if parser.kinds[c] == "main"}
-    if named:
-        best = max(named.values())
-        region = {c for c, v in named.items() if v >= SHARE * best}
-    else:
+    region = {c for c in named if parser.kinds[c] == "article"} or {c for c in named if parser.kinds[c] == "main"}
+    if not region:
         region = {max(c for c, v in votes.items() if v >= HOLD * votes[0])}
-    return "\n".join(t for t, _, around in lines if not region.isdisjoint(around))
+    return "\n".join(t for t, _, around, _ in lines if not region.isdisjoint(around))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -37,3 +37,25 @@ def test_pages(spark):
     t = f"{LONG}\nShort."
     assert got == sorted([(1, "u", t, len(t)), (1, "u", t, len(t)), (2, None, "", 0), (None, "v", "é", 1)], key=repr)
     assert extract(pages.where("false")).count() == 0
+
+
+STORY = "A sentence of the story that goes on for quite a while, as sentences in stories do. " * 5
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "with-comments", "no-header", "layout-without-sidebar", "notice"])
+def test_a_name_does_not_hide_the_page(name):
+    page = f"<body><div class='{name}'><div class='menu'><a href=x>Home</a></div><p>{STORY}</p><p>{STORY}</p></div></body>"
+    assert main_text(page) == f"{STORY.strip()}\n{STORY.strip()}"
+
+
+def test_names_still_hide_what_is_beside_the_text():
+    page = f"<body><div><p>{STORY}</p><p>{STORY}</p></div><div class='page-sidebar'><p>{STORY[:160]}</p></div>" \
+        f"<div id='comments'><p>{STORY * 9}</p></div><section class='related-posts'><p>{STORY[:100]}</p></section></body>"
+    assert main_text(page) == f"{STORY.strip()}\n{STORY.strip()}"
+    assert main_text("<body><div class='menu'><a>Home</a> <a>About</a></div></body>") == ""
+
+
+def test_short_articles_beside_a_long_one_stay():
+    page = f"<body><article><p>{STORY * 3}</p></article><article><p>{STORY}</p></article>" \
+        f"<article class='comment'><p>{STORY}</p></article></body>"
+    assert main_text(page) == f"{(STORY * 3).strip()}\n{STORY.strip()}"

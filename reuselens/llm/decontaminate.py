@@ -10,7 +10,7 @@ length are fingerprinted; any other has similarity 0 with all of them.
 Fingerprints meet block by block: of ``BLOCKS`` blocks, a pair within
 ``RADIUS`` bits has one with at most the block's own allowance (the allowances
 add up to ``RADIUS - BLOCKS + 1``), so comparing blocks first loses no pair
-within the radius. Where no shingle repeats, fingerprints at the similarity threshold
+within the radius; a window is compared with all items of its length in turn. Where no shingle repeats, fingerprints at the similarity threshold
 differ in 22 bits on average (standard deviation 4.3); the radius lies four
 deviations above. A shingle that repeats within the window or the item can
 decide most signs, so such pairs are not held against the radius: all whose

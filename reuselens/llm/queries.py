@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reuselens.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, mixing, pu_quality, suffix_dedup, suffix_tree, url_filter
+from reuselens.llm import (centroids, decontaminate, divergence, exact_dedup, html_extract, jaccard_join, language_id, mixing, packing,
+                           pu_quality, suffix_dedup, suffix_tree, url_filter)
 from reuselens.llm.common import held_out, table
 
 # The rules of the URL query (host, path, verdict).
@@ -87,6 +88,24 @@ def op10_html(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+#: Vocabulary of the packed sequences; its place is asked of the installed package.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op11_packing(spark, sf_dir):
+    import public_tokenizers
+    packed = packing.pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path(TOKENIZER)))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_centroids(spark, sf_dir):
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -98,10 +117,60 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_html": op10_html,
+    "op11_packing": op11_packing,
+    "op12_centroids": op12_centroids,
+    "op13_divergence": op13_divergence,
 }
 
 
+def _centroid_sql() -> str:
+    """Rounds of assignment and update, written one after the other."""
+    assign = """a{i} AS (SELECT vec_id, x, d.c AS cluster, d.d AS distance FROM (
+  SELECT vec_id, v.x AS x, min(struct_pack(d := list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, c := c.c)) AS d
+  FROM v, c{i} c GROUP BY vec_id, v.x))"""
+    update = """s{i} AS (SELECT cluster, j, sum(x[j])::BIGINT AS s, count(*) AS n FROM a{i}, range(1, 65) r(j) GROUP BY cluster, j),
+m{i} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY j) AS x FROM s{i} GROUP BY cluster),
+c{k} AS (SELECT c.c, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.cluster = c.c)"""
+    rounds = ",\n".join(assign.format(i=i) + ",\n" + update.format(i=i, k=i + 1) for i in range(3))
+    return f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(e::DOUBLE * 64)::BIGINT) AS x FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e::DOUBLE))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, x FROM v QUALIFY c < 16),
+{rounds},
+{assign.format(i=3)}
+SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c3.x, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c3.c = a3.cluster
+"""
+
+
 ORACLES = {
+    "op12_centroids": _centroid_sql(),
+    "op13_divergence": """
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+w AS (SELECT d, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+c AS (SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY w.lang, source, w.term),
+s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(s.n, 0) + 5 * l.v) AS p,
+             1 + (1000000000::HUGEINT * (k.total + 5)) // (l.n + 5 * l.v) AS q
+      FROM g JOIN k ON g.lang = k.lang JOIN l ON l.lang = g.lang
+      LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM o QUALIFY part = 'pair' OR rank <= 50
+""",
     "op4_mixing": """
 WITH q AS (SELECT doc_id, max(CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 END)::DOUBLE AS weight
            FROM labels GROUP BY doc_id),

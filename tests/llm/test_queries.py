@@ -13,10 +13,10 @@ SF = "/root/testdata/sf0.001"
 def test_all_are_registered():
     import __spark_entry__ as E
     names = E.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op4_mixing", "op7_url_filter", "op9_exact_dedup"])
+@pytest.mark.parametrize("name", ["op4_mixing", "op7_url_filter", "op9_exact_dedup", "op12_centroids", "op13_divergence"])
 def test_against_sql(spark, name):
     from reuselens.llm.queries import ORACLES, QUERIES
     r = compare(spark, duck(SF), name, QUERIES[name], ORACLES[name], SF)

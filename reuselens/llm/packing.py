@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from reuselens.llm.common import materialise
 from reuselens.llm.kernels import utf8_pieces
-from reuselens.llm.token_ids import WordEncoder
+from reuselens.llm.token_ids import word_encoder
 
 SIZE = 4096                  # tokens of a sequence
 END = 1                      # id that ends a document
@@ -176,7 +176,7 @@ def _pack_group(size: int, level: int):
 
 def _cut(path: str, size: int, end: int, with_ids: bool):
     def run(batches):
-        encode = WordEncoder(path)
+        encode = word_encoder(path)
         for batch in batches:
             for row, data, off in utf8_pieces(batch.column("text")):
                 text = pa.LargeStringArray.from_buffers(len(off) - 1, pa.py_buffer(off.tobytes()), pa.py_buffer(data.tobytes()))

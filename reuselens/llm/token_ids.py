@@ -5,22 +5,25 @@ apart) never joins text across ASCII white space, nor across the place between
 a letter or digit and the stops behind it: no match and no canonical
 composition spans these. So a text's ids are those of its words, one after the
 other, and A-Z may be lower-cased first. The words of a column are
-dictionary-encoded, and only those that the task hasn't met go through the
-tokenizer, many as one text with a blank between them. A file that isn't
+dictionary-encoded, and only those that are new go through the tokenizer,
+many as one text with a blank between them. A file that isn't
 word-wise (``WORDWISE`` probes it) gets whole texts.
 
 Memory: the column's words and ids (about 12 bytes per byte of text), plus the
-words met so far, at most ``KNOWN`` of ``LONGEST`` characters; beyond that the
-memory starts anew.
+words that the Python worker has met, at most ``KNOWN`` of ``LONGEST``
+characters; beyond that the memory starts anew. A worker reads the file once.
 """
 
 from __future__ import annotations
 
+import functools
+import os
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KNOWN = 500_000              # words remembered by a task
+KNOWN = 500_000              # words remembered by a worker
 LONGEST = 64                 # characters of a remembered word
 AT_ONCE = 1 << 13            # characters of new words that are tokenised as one text
 STOPS = r"([a-z0-9])([.,;:!?]+)([ \t\n\r\v\f]|$)"
@@ -34,6 +37,7 @@ class WordEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # a task has one core
         self.tokenizer = t = Tokenizer.from_file(path)
         t.encode_special_tokens = True
         vocabulary = t.get_vocab()
@@ -124,3 +128,9 @@ class WordEncoder:
             return self._by_words(texts)
         per = self._plain(texts.to_pylist())
         return np.array([i for x in per for i in x], np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in per])]).astype(np.int64)
+
+
+@functools.lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The worker's encoder of a file, with the words it has met."""
+    return WordEncoder(path)

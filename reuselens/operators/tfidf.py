@@ -1,7 +1,8 @@
 """TF-IDF weights in long form.
 
-Weights are kept as rows ``(key, gram, df, w)``; nothing is widened into a
-vocabulary-sized vector, and the gram itself is the key of all joins. Cosine
+Weights are kept as rows ``(key, gram, df, w)`` or, for cosine search, as one
+row of arrays per document; nothing is widened into a vocabulary-sized vector.
+``gid`` is a gram's number, given when the table of kept grams is written. Cosine
 search over these rows (J1, J2, W1, W2) is in ``cosine``.
 """
 
@@ -52,19 +53,33 @@ def document_frequencies(tf: DataFrame, n_docs: int, min_df: int = MIN_DF,
         "idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
 
 
+def _kept_terms(texts: DataFrame, key: str, clean: str, min_df: int, max_df: float, n_docs: int | None) -> DataFrame:
+    """(key, gram, gid, df, x): tf * idf of the kept grams."""
+    n_docs = texts.count() if n_docs is None else n_docs
+    # tf feeds two passes (document frequencies, then weights): materialise
+    # it once in the checkpoint folder instead of re-tokenising every text
+    tf = cut_lineage(term_frequencies(texts, key, clean))
+    dfs = cut_lineage(document_frequencies(tf, n_docs, min_df, max_df).withColumn("gid", F.monotonically_increasing_id()))
+    return tf.join(dfs, "gram").select(key, "gram", "gid", "df", (F.col("tf") * F.col("idf")).alias("x"))
+
+
 def tfidf(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
           min_df: int = MIN_DF, max_df: float = MAX_DF_SIMILARITY,
           n_docs: int | None = None) -> DataFrame:
     """(key, gram, df, w): tf * idf, L2-normalised per document.
     Documents whose grams are all pruned have no rows (zero vector)."""
-    n_docs = texts.count() if n_docs is None else n_docs
-    # tf feeds two passes (document frequencies, then weights): materialise
-    # it once in the checkpoint folder instead of re-tokenising every text
-    tf = cut_lineage(term_frequencies(texts, key, clean))
-    dfs = document_frequencies(tf, n_docs, min_df, max_df)
-    t = tf.join(dfs, "gram").select(
-        key, "gram", "df", (F.col("tf") * F.col("idf")).alias("w"))
+    t = _kept_terms(texts, key, clean, min_df, max_df, n_docs)
     # per-document norm as a window: the rows of a document are bounded by
     # its length, and no second join on the key is needed
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    return t.select(key, "gram", "df", (F.col("w") / norm).alias("w"))
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(key)))
+    return t.select(key, "gram", "df", (F.col("x") / norm).alias("w"))
+
+
+def tfidf_vectors(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
+                  min_df: int = MIN_DF, max_df: float = MAX_DF_SIMILARITY,
+                  n_docs: int | None = None) -> DataFrame:
+    """T9 as one row a document: (key, g, w), gram numbers and unit weights.
+    Gram strings go no further than the join with their frequencies."""
+    t = _kept_terms(texts, key, clean, min_df, max_df, n_docs)
+    rows = t.groupBy(key).agg(F.collect_list(F.struct("gid", "x")).alias("e"), F.sum(F.col("x") * F.col("x")).alias("square"))
+    return rows.select(key, F.col("e.gid").alias("g"), F.transform("e.x", lambda x: x / F.sqrt("square")).alias("w"))

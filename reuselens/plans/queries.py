@@ -69,10 +69,15 @@ def _with_counts(metrics, frame):
 
 def tf_weights(spark, sf_dir, max_df=TF.MAX_DF_SIMILARITY):
     """Long TF-IDF weights of all documents, written once to the checkpoint
-    folder (both sides of the cosine joins read them)."""
+    folder."""
     return cut_lineage(TF.tfidf(C.corpus_texts(spark, sf_dir), max_df=max_df))
 
 
+def tf_vectors(spark, sf_dir):
+    """TF-IDF vectors of all documents, written once."""
+    return cut_lineage(TF.tfidf_vectors(C.corpus_texts(spark, sf_dir)))
+
+
 def _doc_ids(spark, sf_dir):
     return C.read_table(spark, sf_dir, "documents").select("doc_id")
 
@@ -82,7 +87,7 @@ def _original_ids(spark, sf_dir):
 
 
 def tf_best(spark, sf_dir, exclude_self=False):
-    b = CO.best_match(tf_weights(spark, sf_dir), _original_ids(spark, sf_dir), _doc_ids(spark, sf_dir), exclude_self)
+    b = CO.best_match(tf_vectors(spark, sf_dir), _original_ids(spark, sf_dir), _doc_ids(spark, sf_dir), exclude_self)
     return b.select("doc_id", F.col("other_id").alias("best_original"),
                     F.col("sim").alias("best_sim"))
 
@@ -233,7 +238,7 @@ def q_tfidf_best_other(spark, sf_dir):
 
 
 def q_all_pairs_cosine(spark, sf_dir):
-    p = CO.all_pairs(tf_weights(spark, sf_dir))
+    p = CO.all_pairs(tf_vectors(spark, sf_dir))
     return p.select("doc_id", "other_id", _r(F.col("sim")).alias("sim"))
 
 
@@ -242,12 +247,12 @@ MIN_SIM = L.DEFAULT_THRESHOLDS[1]
 
 
 def q_similar_pairs(spark, sf_dir):
-    p = CO.similar_pairs(tf_weights(spark, sf_dir), MIN_SIM)
+    p = CO.similar_pairs(tf_vectors(spark, sf_dir), MIN_SIM)
     return p.select("doc_id", "other_id", _r(F.col("sim")).alias("sim"))
 
 
 def q_top3_neighbours(spark, sf_dir):
-    t = CO.top_neighbours(tf_weights(spark, sf_dir), _doc_ids(spark, sf_dir), k=3)
+    t = CO.top_neighbours(tf_vectors(spark, sf_dir), _doc_ids(spark, sf_dir), k=3)
     return t.select("doc_id", "rank", "other_id", _r(F.col("sim")).alias("sim"))
 
 

@@ -5,8 +5,10 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from reuselens.operators import blocks as BL
 from reuselens.operators import cosine as CO
 from reuselens.operators import tfidf as TF
+from reuselens.session import cut_lineage
 
 DOCS = ["the cat sat on the mat", "the cat sat on the mat", "a dog sat on a log",
         "cats and dogs", "completely different words here", "", "x y z",
@@ -35,6 +37,11 @@ def _weights(spark):
     return t, TF.tfidf(t)
 
 
+def _vectors(spark):
+    t, _ = _weights(spark)
+    return t, cut_lineage(TF.tfidf_vectors(t))
+
+
 def test_tfidf_matches_reference_rule(spark):
     _, w = _weights(spark)
     exp = py_tfidf(DOCS)
@@ -56,12 +63,12 @@ def _cos_matrix(exp):
     return m
 
 
-@pytest.mark.parametrize("docs, products", [(CO.BLOCK_DOCS, CO.PRODUCTS), (3, 2)])
+@pytest.mark.parametrize("docs, products", [(BL.BLOCK_DOCS, BL.PRODUCTS), (3, 2), (1, 1)])
 def test_top_neighbours_brute_force(spark, monkeypatch, docs, products):
     """Also with many blocks and a few products at a time."""
-    monkeypatch.setattr(CO, "BLOCK_DOCS", docs)
-    monkeypatch.setattr(CO, "PRODUCTS", products)
-    t, w = _weights(spark)
+    monkeypatch.setattr(BL, "BLOCK_DOCS", docs)
+    monkeypatch.setattr(BL, "PRODUCTS", products)
+    t, w = _vectors(spark)
     got = {(r.doc_id, r.rank): (r.other_id, round(r.sim, 9)) for r in CO.top_neighbours(w, t.select("doc_id"), k=3).collect()}
     m = np.round(_cos_matrix(py_tfidf(DOCS)), 9)
     assert len(got) == 3 * len(DOCS)
@@ -73,8 +80,10 @@ def test_top_neighbours_brute_force(spark, monkeypatch, docs, products):
 
 
 @pytest.mark.parametrize("exclude_self", [False, True])
-def test_best_match_brute_force(spark, exclude_self):
-    t, w = _weights(spark)
+@pytest.mark.parametrize("docs", [BL.BLOCK_DOCS, 2])
+def test_best_match_brute_force(spark, monkeypatch, docs, exclude_self):
+    monkeypatch.setattr(BL, "BLOCK_DOCS", docs)
+    t, w = _vectors(spark)
     m = np.round(_cos_matrix(py_tfidf(DOCS)), 9)
     ids = t.select("doc_id")
     got = {r.doc_id: (r.other_id, r.sim) for r in CO.best_match(w, ids.where("doc_id in (1, 4, 6)"), ids, exclude_self).collect()}
@@ -84,8 +93,10 @@ def test_best_match_brute_force(spark, exclude_self):
         assert got[i][0] == best and abs(got[i][1] - m[i, best]) < 1e-9
 
 
-def test_all_and_similar_pairs(spark):
-    _, w = _weights(spark)
+@pytest.mark.parametrize("docs", [BL.BLOCK_DOCS, 2])
+def test_all_and_similar_pairs(spark, monkeypatch, docs):
+    monkeypatch.setattr(BL, "BLOCK_DOCS", docs)
+    _, w = _vectors(spark)
     m = _cos_matrix(py_tfidf(DOCS))
     n = range(len(DOCS))
     pairs = {(r.doc_id, r.other_id): r.sim for r in CO.all_pairs(w).collect()}
@@ -97,19 +108,20 @@ def test_all_and_similar_pairs(spark):
 
 
 def test_similar_pairs_of_many_short_documents(spark):
-    """20,000 documents of three words: no task holds a matrix of documents."""
+    """20,000 documents of three words, in ten blocks."""
     rows = spark.range(20000).selectExpr(
         "id AS doc_id", "concat('a', id % 4000, ' b', id % 37, ' c', id % 2000) AS clean_text")
-    near = CO.similar_pairs(TF.tfidf(rows), 0.99)
+    vectors = lambda t: cut_lineage(TF.tfidf_vectors(t))
+    near = CO.similar_pairs(vectors(rows), 0.99)
     # the same three words: ids equal modulo 4000 and 37, and so never
     assert near.where("doc_id % 4000 != other_id % 4000").count() == 0
-    assert CO.similar_pairs(TF.tfidf(rows.limit(3000).union(rows.limit(3000).selectExpr("doc_id + 50000", "clean_text"))), 0.99).count() >= 3000
+    assert CO.similar_pairs(vectors(rows.limit(3000).union(rows.limit(3000).selectExpr("doc_id + 50000", "clean_text"))), 0.99).count() >= 3000
 
 
 def test_neighbours_of_short_documents(spark):
     """20,000 documents of three words: a task holds the sums of one pair of blocks."""
     rows = spark.range(20000).selectExpr("id AS doc_id", "concat('a', id % 4000, ' b', id % 37, ' c', id % 2000) AS clean_text")
-    top = CO.top_neighbours(TF.tfidf(rows), rows.select("doc_id"), 1)
+    top = CO.top_neighbours(cut_lineage(TF.tfidf_vectors(rows)), rows.select("doc_id"), 1)
     assert top.count() == 20000
     assert top.where("doc_id % 4000 != other_id % 4000").count() == 0
 

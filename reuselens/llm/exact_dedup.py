@@ -28,7 +28,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reuselens.llm.common import fresh, materialise
 
@@ -257,27 +256,27 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                     F.lower(F.hex("digest")).alias("text_sha256")))
 
 
+def _mark(text):
+    """The digest of ``digests`` as a column."""
+    return F.unhex(F.sha2(F.translate(F.coalesce(text, F.lit("")), " \t\n\x0b\x0c\r", "").cast("binary"), 256))
+
+
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that stay: one of each group.
 
-    Rows meet the index on id and digest together, so a digest that many rows
-    share is spread over all tasks.
+    Digests are made by Spark's own functions here, so whole rows don't pass
+    through Python; the groups come from the index. Rows meet the index on id
+    and digest together, so a digest that many rows share is spread over all
+    tasks.
     """
-    place, at = docs.columns.index(text), docs.columns.index(key)
+    at = docs.columns.index(key)
     mark, size, keep_id, keep_mark, best, number = fresh(docs, "digest", "chars", "keep_id", "keep_digest", "best", "nth")
-    groups = digest_groups(digests(docs, key, text)).select(
+    body = F.col(text).cast("string")
+    marked = docs.select(F.col(key).cast("long").alias("doc_id"), _mark(body).alias("digest"),
+                         F.length(F.coalesce(body, F.lit(""))).cast("long").alias("n_chars"))
+    groups = digest_groups(marked).select(
         F.col("keep_id").alias(keep_id), F.col("digest").alias(keep_mark), F.col("best_chars").alias(best))
-    types = T.StructType(list(docs.schema.fields)).add(mark, "binary").add(size, "long")
-
-    def run(batches):
-        for batch in batches:
-            column = batch.column(place).fill_null("")
-            made = [hashlib.sha256(t.as_buffer().to_pybytes().translate(None, SPACES)).digest() for t in column]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(made, pa.binary()), pc.cast(pc.utf8_length(column), pa.int64())],
-                names=[*batch.schema.names, mark, size])
-
-    rows = docs.mapInArrow(run, types)
+    rows = docs.withColumn(mark, _mark(body)).withColumn(size, F.length(F.coalesce(body, F.lit(""))).cast("long"))
     kept = rows.join(groups, F.col(docs.columns[at]).eqNullSafe(F.col(keep_id)) & (F.col(mark) == F.col(keep_mark))
                      & (F.col(size) == F.col(best)), "left_semi")
     nth = F.row_number().over(W.partitionBy(docs.columns[at], mark).orderBy(size))

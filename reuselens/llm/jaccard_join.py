@@ -11,9 +11,9 @@ sets, which the positions tell. Texts with equal sets are one class from here
 on. First each class is paired with one class that holds such shingles too
 (each shingle offers one, by a hash; the one offered most is taken), the pairs
 are verified and components formed. Then each is paired with the ``TAKEN``
-classes offered most, of other components, twice; now a shingle offers
-``OFFERS`` of the classes that have a link, by another hash each time. Last, all pairs of classes that are still in
-different components are taken. A group of near copies is thus one component,
+classes offered most, of other components; now a shingle offers ``OFFERS`` of
+the classes that have a link, by another hash. Last, all pairs of classes that
+are still in different components are taken. A group of near copies is thus one component,
 or nearly, before all pairs are taken, and costs a few pairs a member; no link
 between components is missed.
 
@@ -55,7 +55,7 @@ from pyspark.sql import functions as F
 from reuselens.llm import kernels as K
 from reuselens.llm.common import fresh, materialise
 from reuselens.llm.components import components
-from reuselens.llm.packed import BUCKET_KEYS, count_keys
+from reuselens.llm.packed import count_keys
 
 SHINGLE = 5
 PERCENT = 75
@@ -64,6 +64,7 @@ BITS = 53
 FREQUENT = 8
 LOCAL = 2
 SHARE = 4e-5
+KEYS = 1 << 20                 # shingles that a counting task holds before it hands them on
 OFFERS = 32
 TAKEN = 8
 ROWS = 1000                    # texts of a piece: their number fits above a shingle's bits
@@ -142,7 +143,7 @@ def frequent_shingles(texts: DataFrame, n_texts: int, n_bytes: int, k: int = SHI
         for _, data, off in K.utf8_pieces(batch.column(0), rows=ROWS):
             yield ordered_sets(data, off, None, k)[0]
 
-    counted = count_keys(texts.select("text"), sets, max(16, n_bytes // 6 // BUCKET_KEYS), local_least=LOCAL)
+    counted = count_keys(texts.select("text"), sets, max(16, n_bytes // 6 // KEYS), local_least=LOCAL, flush_at=KEYS)
     return counted.where(F.col("n") >= max(FREQUENT, int(SHARE * n_texts))).toArrow()["key"].to_numpy()
 
 
@@ -321,7 +322,7 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int):
     crowd = dealt.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
     shared = materialise(dealt.join(crowd, "token").select("token", "cid", "n", "at"))
     links, part_of = None, None
-    for star in ((0, 1, 1), (1, OFFERS, TAKEN), (2, OFFERS, TAKEN), None):
+    for star in ((0, 1, 1), (1, OFFERS, TAKEN), None):
         open_ = _open(shared, part_of)
         pairs = _star_pairs(open_, *star, percent) if star else _cross_pairs(open_, percent)
         pairs = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())

@@ -44,10 +44,10 @@ def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def count_keys(docs: DataFrame, make, n_buckets: int, least: int = 1, local_least: int = 1) -> DataFrame:
+def count_keys(docs: DataFrame, make, n_buckets: int, least: int = 1, local_least: int = 1, flush_at: int = FLUSH) -> DataFrame:
     """``key, n`` of the keys that ``make(batch)`` yields as arrays of unsigned
     64-bit numbers for the Arrow batches of ``docs``; keys below ``least`` in
-    all are left out, and counts below ``local_least`` among ``FLUSH`` keys
+    all are left out, and counts below ``local_least`` among ``flush_at`` keys
     aren't sent."""
     def send(held):
         keys = np.concatenate(held)
@@ -76,7 +76,7 @@ def count_keys(docs: DataFrame, make, n_buckets: int, least: int = 1, local_leas
             for keys in make(batch):
                 held.append(keys)
                 n += len(keys)
-                if n >= FLUSH:
+                if n >= flush_at:
                     yield flush()
                     held, n = [], 0
         if n:

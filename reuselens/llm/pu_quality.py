@@ -294,13 +294,10 @@ def score(docs: DataFrame, model: dict, keep: dict[str, Column] | None = None) -
 
 
 def accepted(docs: DataFrame, model: dict, at: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is at least ``at``."""
-    place = docs.columns.index("text")
+    """The rows of ``docs``, all columns, whose score is at least ``at``. Only
+    texts go to Python, only scores come back."""
+    def run(texts: pa.Array) -> pa.Array:
+        scores = [probability(*describe(data, off), model) for _, data, off in K.utf8_pieces(texts, rows=ROWS)]
+        return pa.array(np.concatenate(scores) if scores else np.zeros(0))
 
-    def run(batches):
-        for batch in batches:
-            keep = [probability(*describe(data, off), model) >= at
-                    for _, data, off in K.utf8_pieces(batch.column(place), rows=ROWS)]
-            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
-
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(F.arrow_udf(run, "double")(F.col("text").cast("string")) >= at)

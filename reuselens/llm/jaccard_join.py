@@ -300,7 +300,7 @@ def _named(rows: DataFrame):
         seed += 1
 
 
-def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int):
+def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int, offers: int = OFFERS, taken: int = TAKEN):
     """``(rows, classes, parts, links)``: the rows ``doc_id, h, n, cid`` (null
     without shingles), the classes, ``cid, part`` of all classes (the part is
     named by one of its classes), and the links between classes."""
@@ -322,7 +322,7 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int):
     crowd = dealt.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
     shared = materialise(dealt.join(crowd, "token").select("token", "cid", "n", "at"))
     links, part_of = None, None
-    for star in ((0, 1, 1), (1, OFFERS, TAKEN), None):
+    for star in ((0, 1, 1), (1, offers, taken), None):
         open_ = _open(shared, part_of)
         pairs = _star_pairs(open_, *star, percent) if star else _cross_pairs(open_, percent)
         pairs = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
@@ -354,10 +354,12 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     return out, shown
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", offers: int = 2 * OFFERS,
+                taken: int = 2 * TAKEN) -> DataFrame:
     """One row, all columns, of each component of ``docs``: the smallest id,
-    then the smallest hash of id and text."""
-    rows, named, parts, _ = _joined(docs, key, text, SHINGLE, PERCENT)
+    then the smallest hash of id and text. More offers than in the join leave
+    fewer pairs to the last round; the components are the same."""
+    rows, named, parts, _ = _joined(docs, key, text, SHINGLE, PERCENT, offers, taken)
     name, mark, many = fresh(docs, "stay", "mark", "many")
     last = F.lit((1 << 63) - 1)
     first = parts.join(named.select("cid", "least", "h", "times"), "cid").groupBy("part") \

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from reuselens.functions import labels as L
+from reuselens.operators import minhash as MH
 from reuselens.plans import sql as S
 
 MH_BASE = [S.cte_params(), S.CTE_LABELS, S.CTE_TEXTS, S.cte_signature(), S.cte_minhash_best()]
@@ -137,6 +138,13 @@ jb AS (SELECT doc_id, o AS best_original, sim AS best_sim FROM (
   FROM jb JOIN mhb ON jb.doc_id = mhb.doc_id)""") + """
 SELECT a.label AS truth, b.label AS pred, (SELECT count(*) FROM mj WHERE truth = a.label AND pred = b.label) AS n
 FROM lv a, lv b"""
+    q["minhash_pairs"] = W(S.cte_params(), S.CTE_TEXTS, S.cte_signature()) + f"""
+, cls AS (SELECT list(m ORDER BY i) AS s, doc_id FROM sig GROUP BY doc_id HAVING min(m) < {MH.P}),
+rep AS (SELECT s, min(doc_id) AS doc_id, count(*) AS n FROM cls GROUP BY s),
+pos AS (SELECT doc_id, n, unnest(range(0, {MH.NUM_HASHES})) AS i, unnest(s) AS m FROM rep)
+SELECT a.doc_id, b.doc_id AS other_id, count(*)::DOUBLE / {float(MH.NUM_HASHES)}::DOUBLE AS sim, a.n AS n_docs, b.n AS n_others
+FROM pos a JOIN pos b ON a.i = b.i AND a.m = b.m AND a.doc_id < b.doc_id
+GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) > {round(MH.NUM_HASHES * L.DEFAULT_THRESHOLDS[1])}"""
     q["minhash_levels"] = W(*MH_BASE, EV_MH) + \
         "SELECT doc_id, task, category, truth_level, best_original, best_sim, level FROM ev"
     btxt = f"""btxt AS (SELECT item_id, {S.clean('text')} AS clean_text FROM benchmark)"""

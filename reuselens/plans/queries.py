@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reuselens.functions import labels as L
 from reuselens.functions import text as X
+from reuselens.operators import banding as BA
 from reuselens.operators import classify as CL
 from reuselens.operators import clustering as CU
 from reuselens.operators import cosine as CO
@@ -143,6 +144,11 @@ def q_minhash_best_other(spark, sf_dir):
     return mh_best(spark, sf_dir, exclude_self=True)
 
 
+def q_minhash_pairs(spark, sf_dir):
+    """Pairs of documents from light copying on, by bands that lose none."""
+    return BA.similar_signatures(mh_signatures(spark, sf_dir), int(MH.NUM_HASHES * MIN_SIM) + 1)
+
+
 def q_minhash_levels(spark, sf_dir):
     return mh_eval_frame(spark, sf_dir)
 
@@ -542,6 +548,7 @@ QUERIES = {
     "jaccard_best": q_jaccard_best,
     "minhash_vs_jaccard": q_minhash_vs_jaccard,
     "minhash_levels": q_minhash_levels,
+    "minhash_pairs": q_minhash_pairs,
     "minhash_benchmark": q_minhash_benchmark,
     "confusion_matrix": q_confusion_matrix,
     "accuracy": q_accuracy,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from reuselens.functions import labels as L
+from reuselens.operators import cowords as CW
 from reuselens.operators import minhash as MH
 from reuselens.plans import sql as S
 
@@ -138,6 +139,14 @@ jb AS (SELECT doc_id, o AS best_original, sim AS best_sim FROM (
   FROM jb JOIN mhb ON jb.doc_id = mhb.doc_id)""") + """
 SELECT a.label AS truth, b.label AS pred, (SELECT count(*) FROM mj WHERE truth = a.label AND pred = b.label) AS n
 FROM lv a, lv b"""
+    q["cooccurrence"] = W(S.CTE_TEXTS, S.CTE_TOKENS) + f"""
+, occ AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM tok),
+voc AS (SELECT word FROM occ GROUP BY word HAVING count(DISTINCT doc_id) >= {CW.MIN_DF}
+        ORDER BY count(DISTINCT doc_id) DESC, word LIMIT {CW.VOCABULARY}),
+kept AS (SELECT occ.* FROM occ JOIN voc ON occ.word = voc.word),
+off AS (SELECT unnest(range(-{CW.WINDOW}, {CW.WINDOW} + 1)) AS o)
+SELECT x.word AS a, y.word AS b, count(*) AS n
+FROM kept x JOIN off ON o <> 0 JOIN kept y ON y.doc_id = x.doc_id AND y.i = x.i + o GROUP BY x.word, y.word"""
     q["minhash_pairs"] = W(S.cte_params(), S.CTE_TEXTS, S.cte_signature()) + f"""
 , cls AS (SELECT list(m ORDER BY i) AS s, doc_id FROM sig GROUP BY doc_id HAVING min(m) < {MH.P}),
 rep AS (SELECT s, min(doc_id) AS doc_id, count(*) AS n FROM cls GROUP BY s),

@@ -18,6 +18,7 @@ from reuselens.operators import banding as BA
 from reuselens.operators import classify as CL
 from reuselens.operators import clustering as CU
 from reuselens.operators import cosine as CO
+from reuselens.operators import cowords as CW
 from reuselens.operators import evaluation as EV
 from reuselens.operators import jaccard as JA
 from reuselens.operators import vectors as VE
@@ -469,6 +470,30 @@ def q_doc_embedding(spark, sf_dir):
     return VE.vector_long(e, "doc_id")
 
 
+def q_cooccurrence(spark, sf_dir):
+    """Windowed counts of word pairs, the input of the learned vectors."""
+    texts = C.corpus_texts(spark, sf_dir)
+    return CW.cooccurrence(texts, [w for w, _ in CW.vocabulary(texts)])
+
+
+def q_learned_embedding(spark, sf_dir):
+    texts = C.corpus_texts(spark, sf_dir)
+    return CW.embed_batched(texts, CW.fit(texts))
+
+
+def q_embedding_comparison(spark, sf_dir):
+    """The document classifier's scores on hashed and on learned vectors, on
+    the same test documents."""
+    sp = doc_split(spark, sf_dir)
+    learned = cut_lineage(sp.drop("embedding").join(q_learned_embedding(spark, sf_dir), "doc_id"))
+    rows = []
+    for name, rows_of in (("hashed", sp), ("learned", learned)):
+        model = CL.fit_logistic(rows_of.where(~F.col("is_test")), "embedding", "label")
+        pred = cut_lineage(CL.predict(model, rows_of.where(F.col("is_test")), "doc_id", "embedding", "label"))
+        rows.append(EV.result_row(EV.macro_prf(pred, "label", "prediction"), name))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def q_l2_normalise(spark, sf_dir):
     e = C.read_table(spark, sf_dir, "embeddings")
     n = e.select("vec_id", EV.l2_normalise(F.col("embedding")).alias("embedding"))
@@ -596,6 +621,9 @@ QUERIES = {
     "doc_classifier_matrix": q_doc_classifier_matrix,
     "doc_classifier_check": q_doc_classifier_check,
     "doc_embedding": q_doc_embedding,
+    "cooccurrence": q_cooccurrence,
+    "learned_embedding": q_learned_embedding,
+    "embedding_comparison": q_embedding_comparison,
     "l2_normalise": q_l2_normalise,
     "stratified_split": q_stratified_split,
     "class_weights": q_class_weights,

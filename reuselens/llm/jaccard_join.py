@@ -179,6 +179,7 @@ def class_rows(texts: DataFrame, frequent, k: int, percent: int) -> DataFrame:
                     ids, batch.column(2)[at:at + len(n)], pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(n.astype(np.int64)),
                     pa.array(maps, pa.binary()),
                     pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(low[take].view(np.int64)))], schema=schema)
+        K.release_memory()
 
     return texts.mapInArrow(run, SETS)
 
@@ -221,6 +222,7 @@ def segments(texts: DataFrame, ids: DataFrame, n_ids: int, k: int, fragments: in
                     pa.array(ids[full // fragments].astype(np.int64)), pa.array((full % fragments).astype(np.int32)),
                     pa.ListArray.from_arrays(np.append(cut[full], cut[-1]).astype(np.int32),
                                              pa.array((sh & MASK).view(np.int64)))], schema=schema)
+        K.release_memory()
 
     return own.select("cid", "text", "doc_id", "least").mapInArrow(run, "cid long, fragment int, segment array<long>")
 

@@ -13,6 +13,8 @@ pieces hold ``PIECE`` bytes, or one text if that is longer.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -33,6 +35,15 @@ LOWER_TABLE = TABLE[LOWER]
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def release_memory():
+    """Hand back to the system what a task has freed; a worker that is used
+    again would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def powers(n: int):
     """``B**i`` and ``B**-i`` for i < n (kept up to a few pieces long)."""
     if len(_powers[0]) < n:

@@ -81,6 +81,7 @@ def count_keys(docs: DataFrame, make, n_buckets: int, least: int = 1, local_leas
                     held, n = [], 0
         if n:
             yield flush()
+        K.release_memory()
 
     def merge(table: pa.Table) -> pa.Table:
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.uint64)

@@ -247,7 +247,7 @@ def fit(docs: DataFrame, positives: DataFrame, labelled: DataFrame, allowed: Col
     sample = rows.join(F.broadcast(picked), "doc_id")             # 2 * per_side ids at most
     one = sample.groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
 
-    def train(batches):
+    def learned(batches):
         ids, flags, stats, pairs = [], [], [], []
         for batch in batches:
             ids += batch.column(0).to_pylist()
@@ -258,14 +258,19 @@ def fit(docs: DataFrame, positives: DataFrame, labelled: DataFrame, allowed: Col
                 pairs.append(p)
         flags = np.array(flags, bool)
         if not flags.any() or flags.all():
-            return
+            return None
         order = np.argsort(np.array(ids))
-        m = fit_model(np.concatenate(stats)[order], np.concatenate(pairs)[order], flags[order])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([m["prior"]]), pa.array([m["edges"].astype(np.float64).tobytes()], pa.binary()),
-             pa.array([m["weights"].astype(np.float64).tobytes()], pa.binary()),
-             pa.array([m["x"].tobytes()], pa.binary()), pa.array([m["y"].tobytes()], pa.binary())],
-            names=["prior", "edges", "weights", "x", "y"])
+        return fit_model(np.concatenate(stats)[order], np.concatenate(pairs)[order], flags[order])
+
+    def train(batches):
+        m = learned(batches)
+        if m is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([m["prior"]]), pa.array([m["edges"].astype(np.float64).tobytes()], pa.binary()),
+                 pa.array([m["weights"].astype(np.float64).tobytes()], pa.binary()),
+                 pa.array([m["x"].tobytes()], pa.binary()), pa.array([m["y"].tobytes()], pa.binary())],
+                names=["prior", "edges", "weights", "x", "y"])
+        K.release_memory()
 
     got = one.repartition(1).mapInArrow(train, "prior double, edges binary, weights binary, x binary, y binary").collect()
     if not got:
@@ -298,6 +303,7 @@ def accepted(docs: DataFrame, model: dict, at: float) -> DataFrame:
     texts go to Python, only scores come back."""
     def run(texts: pa.Array) -> pa.Array:
         scores = [probability(*describe(data, off), model) for _, data, off in K.utf8_pieces(texts, rows=ROWS)]
+        K.release_memory()
         return pa.array(np.concatenate(scores) if scores else np.zeros(0))
 
     return docs.where(F.arrow_udf(run, "double")(F.col("text").cast("string")) >= at)

@@ -12,17 +12,25 @@ strings holding it can cover. Regions that are equal as a whole repeat as a
 whole: all but the first are removed, at once within a task and then in order
 of anchor and region. Only anchors with different regions are left.
 
-Index. The distinct regions of whole anchors make the text of an index: its
-suffix array (ranks doubled until all suffixes differ), the run-compressed
+Halves. A string that holds an anchor reaches half of what is beyond the gram
+on one side at least. So each region left makes at most two rows, one a side,
+whatever the size of its group: the bytes that strings of that side can cover,
+under the hash of the gram with the half. Rows without another of their key
+hold nothing that repeats; equal rows are marked, all but the first, by their
+bytes.
+
+Index. The distinct rows of whole keys make the text of an index: its suffix
+array (ranks doubled until all suffixes differ), the run-compressed
 Burrows-Wheeler transform and the suffix array sampled at run borders. There,
 and only there, the match of a suffix with its neighbour is measured; from one
 sample to the next in the text the matching statistics stream, one byte
 shorter each step. Neighbours that match in ``LENGTH`` bytes hold the same
 string; of equal strings all but the first are marked.
 
-Hot anchors. An anchor with more than ``HOT`` different regions is not put
-into one index. Each string of its regions is dealt out on its own hash
-instead, and all but the first of each are marked in order.
+Large groups. An index has at most ``GROUP`` distinct rows of a key, so that a
+task's memory is bounded. Of a key with more, the strings are dealt out on
+their own hash, and all but the first of each are marked in order: the same
+result for a group of any size.
 
 The text is dealt by document once; both the cutting of regions and the final
 removal read that same exchange.
@@ -48,7 +56,7 @@ from reuselens.llm.common import materialise
 
 LENGTH = 100
 GRAM = 32
-HOT = 16384
+GROUP = 16384                    # distinct rows of a key in one index
 HELD = 1 << 20                   # anchors that a task sorts at once
 INDEX_BYTES = 700_000            # text of an index, but for one whole anchor more
 LAST = (1 << 63) - 1
@@ -156,7 +164,7 @@ def _anchor_rows(length: int, gram: int):
 def _compare_regions(length: int):
     """Over rows sorted by key, region, document and place: spans for all but
     the first of equal regions, and the first ones of keys with several."""
-    schema = pa.schema([("hot", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()),
+    schema = pa.schema([("open", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()),
                         ("place", pa.int64()), ("reach", pa.int64())])
 
     def out(kind, key, doc, mark, place, reach):
@@ -281,7 +289,6 @@ class RunIndex:
         border = np.ones(len(text), bool)
         border[1:] = (bwt[1:] != bwt[:-1]) | (bwt[1:] == 0)
         self.runs = np.flatnonzero(border)                     # first row of each run
-        self.heads = bwt[self.runs]
         self.begin = self.array[self.runs]                     # suffix at a run's begin
         self.end = self.array[self.runs - 1]                   # and at the end of the run before
 
@@ -330,39 +337,75 @@ FOUND = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("place", pa.int64
 FOUND_SQL = "doc long, mark long, place long, reach long"
 
 
-def shared_halves(raw, begin, size, left, length, gram) -> np.ndarray:
-    """Regions that may share a string with another one: a string that holds
-    the anchor reaches half of what is beyond the gram on one side at least,
-    so the gram with that half must occur twice."""
-    half = -(-(length - gram) // 2)
-    p, inv = K.prefix_hash(raw)
-    out = np.zeros(len(size), bool)
-    for a, ok in ((begin + left, left + gram + half <= size), (begin + left - half, left >= half)):
-        rows = np.flatnonzero(ok)
-        h = (p[a[rows] + gram + half] - p[a[rows]]) * inv[a[rows]]
-        _, number, times = np.unique(h, return_inverse=True, return_counts=True)
-        out[rows[times[number] > 1]] = True
-    return out
-
-
-def _index_regions(length: int, gram: int):
-    """Over rows ``key, doc, mark, place, left, region`` sorted by key: the spans that
-    the regions of whole keys share with earlier ones."""
-    def index(docs, marks, places, lefts, regions):
-        docs, marks, places, lefts = (np.concatenate(x) for x in (docs, marks, places, lefts))
-        size = np.array([len(r) for r in regions])
-        raw = np.frombuffer(b"".join(regions), np.uint8)
-        keep = shared_halves(raw, np.cumsum(size) - size, size, lefts, length, gram)
-        if not keep.any():
-            return
-        raw, size, docs, marks, places = raw[np.repeat(keep, size)], size[keep], docs[keep], marks[keep], places[keep]
+def side_bounds(length: int, gram: int) -> tuple[int, int]:
+    """Bytes that strings of the left side have before the gram at least, and
+    strings of the right side behind it at least. Every string that holds the
+    gram is of one side and of one only."""
+    rest = length - gram
+    return rest - rest // 2, rest // 2 + 1
+
+
+def _cut_regions(length: int, gram: int):
+    """Of the anchors listed with a text: for each side the bytes that its
+    strings can cover. ``place``: where they start; ``head``: bytes of them before
+    those that all strings of the side have in common."""
+    before, behind = side_bounds(length, gram)
+    rest = length - gram
+    schema = pa.schema([("side", pa.int32()), ("doc", pa.int64()), ("mark", pa.int64()), ("place", pa.int64()),
+                        ("head", pa.int32()), ("region", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            found = batch.column(3)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+            at, reach = (x.to_numpy() for x in found.flatten().flatten())
+            left, right = (-reach - 1) // 1024, (-reach - 1) % 1024
+            out = [], [], [], [], []
+            for side in (0, 1):
+                a = at - (left if side == 0 else np.minimum(left, before - 1))
+                b = at + (np.minimum(right, gram + rest - before) if side == 0 else right)
+                ok = np.flatnonzero((left >= before if side == 0 else right >= gram + behind) & (b - a >= length))
+                start = at[ok] - before if side == 0 else at[ok]
+                for o, x in zip(out, (np.full(len(ok), side, np.int32), row[ok], a[ok], b[ok], start - a[ok]), strict=True):
+                    o.append(x)
+            side, row, a, b, head = (np.concatenate(x) for x in out)
+            by = np.argsort(row, kind="stable")
+            side, row, a, b, head = (x[by] for x in (side, row, a, b, head))
+            regions, text, raw = [], -1, b""
+            for i, x, y in zip(row.tolist(), a.tolist(), b.tolist(), strict=True):
+                if i != text:
+                    text, raw = i, memoryview(batch.column(2)[i].as_buffer())
+                regions.append(bytes(raw[x:y]))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(side), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
+                pa.array(a), pa.array(head.astype(np.int32)), pa.array(regions, pa.binary())], schema=schema)
+
+    return run
+
+
+JUDGED = pa.schema([("dealt", pa.int32()), ("key", pa.int64()), *FOUND])
+JUDGED_SQL = "dealt int, key long, " + FOUND_SQL
+
+
+def _index_regions(length: int, group: int):
+    """Over rows ``key, doc, mark, place, region`` sorted by key, document and
+    place: the spans that rows share with earlier ones of their key, and the
+    strings (``dealt = 1``, under their hash) of keys with over ``group`` distinct
+    rows."""
+    def judged(dealt, key, doc, mark, place, reach):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), dealt, np.int32)), pa.array(key, pa.int64()),
+                                           *[pa.array(x, pa.int64()) for x in (doc, mark, place, reach)]], schema=JUDGED)
+
+    def index(rows):
+        docs, marks, places = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:3])
+        size = np.array([len(r[3]) for r in rows])
+        raw = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
         begin = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
         text = np.zeros(size.sum() + len(size), np.uint16)
         inside = np.arange(len(raw)) + np.repeat(np.arange(len(size)), size)
         text[inside] = raw.astype(np.uint16) + 1
         names, number = np.unique(np.stack([docs, marks]), axis=1, return_inverse=True)
-        number = number.reshape(-1)
-        origin = number.astype(np.int64) * (1 << PLACES) + places
+        origin = number.reshape(-1).astype(np.int64) * (1 << PLACES) + places
         place = np.repeat(origin - begin, size + 1) + np.arange(len(text))
         hit = np.unique(place[repeated_strings(text, place, length)])
         if not len(hit):
@@ -370,60 +413,58 @@ def _index_regions(length: int, gram: int):
         at = hit & ((1 << PLACES) - 1)
         row, s, e = spans_of(hit >> PLACES, at, at + length)
         doc = names[:, hit[row] >> PLACES]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[0], doc[1], s, e)], schema=FOUND)
-
-    def run(batches):
-        docs, marks, places, lefts, regions, n, last = [], [], [], [], [], 0, None
-        for batch in batches:
-            key = batch.column(0).to_numpy()
-            cut = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-            doc, mark, place, left = (batch.column(i).to_numpy() for i in (1, 2, 3, 4))
-            region = batch.column(5).to_pylist()
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                if a == b:
-                    continue
-                if n >= INDEX_BYTES and key[a] != last:
-                    yield from index(docs, marks, places, lefts, regions)
-                    docs, marks, places, lefts, regions, n = [], [], [], [], [], 0
-                last = key[a]
-                docs.append(doc[a:b])
-                marks.append(mark[a:b])
-                places.append(place[a:b])
-                lefts.append(left[a:b])
-                regions += region[a:b]
-                n += sum(map(len, region[a:b]))
-        if regions:
-            yield from index(docs, marks, places, lefts, regions)
-
-    return run
-
-
-def _cut_regions(length: int):
-    """Of the anchors listed with a text: their regions (``place``: the start),
-    or with a hot anchor each string of its region, under the string's hash."""
-    schema = pa.schema([("hot", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()),
-                        ("place", pa.int64()), ("left", pa.int64()), ("region", pa.binary())])
+        yield judged(0, np.zeros(len(row), np.int64), doc[0], doc[1], s, e)
+
+    def strings(rows):
+        """All strings of some rows under their hashes."""
+        size = np.array([len(r[3]) for r in rows])
+        p, inv = K.prefix_hash(np.frombuffer(b"".join(r[3] for r in rows), np.uint8))
+        n = size - length + 1
+        of = np.repeat(np.arange(len(rows)), n)
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = (np.cumsum(size) - size)[of] + inside
+        doc, mark, place = (np.array(x, np.int64)[of] for x in list(zip(*rows, strict=True))[:3])
+        place = place + inside
+        return judged(1, K.mix((p[at + length] - p[at]) * inv[at]).view(np.int64), doc, mark, place, place + length)
 
     def run(batches):
+        ready, n = [], 0                       # rows of whole keys for the next index, and their bytes
+        key, first, dealt, again = None, {}, [], []
         for batch in batches:
-            out = [[] for _ in schema]
-            for doc, mark, text, found in zip(*(batch.column(i) for i in range(4)), strict=True):
-                doc, mark, raw = doc.as_py(), mark.as_py(), text.as_buffer().to_pybytes()
-                for x in found.as_py():
-                    at, span = x["place"], -x["reach"] - 1
-                    a, region = at - span // 1024, raw[at - span // 1024:at + span % 1024]
-                    if not x["hot"]:
-                        rows = [(0, x["key"], doc, mark, a, at - a, region)]
-                    else:
-                        p, inv = K.prefix_hash(np.frombuffer(region, np.uint8))
-                        n = max(0, len(region) - length + 1)
-                        h = K.mix((p[length:] - p[:n]) * inv[:n]).view(np.int64) if n else ()
-                        rows = [(1, int(k), doc, mark, a + i, 0, None) for i, k in enumerate(h)]
-                    for row in rows:
-                        for o, v in zip(out, row, strict=True):
-                            o.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(o, f.type) for o, f in zip(out, schema, strict=True)],
-                                             schema=schema)
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for k, *row in zip(*columns, strict=True):
+                if k != key:
+                    if dealt:
+                        yield strings(dealt)
+                    elif 1 < len(first) <= group:
+                        ready += first.values()
+                        n += sum(map(len, first))
+                    if n >= INDEX_BYTES:
+                        yield from index(ready)
+                        ready, n = [], 0
+                    key, first, dealt = k, {}, []
+                like = first.get(row[3])
+                if like is not None:
+                    if like[:3] != row[:3]:                       # no repeated row
+                        again.append((*row[:3], row[2] + len(row[3])))
+                elif len(first) <= group:
+                    first[row[3]] = row
+                    if len(first) > group:
+                        dealt = list(first.values())
+                else:
+                    dealt.append(row)
+                if len(dealt) > group:
+                    yield strings(dealt)
+                    dealt = []
+            if again:
+                yield judged(0, np.zeros(len(again), np.int64), *zip(*again, strict=True))
+                again = []
+        if dealt:
+            yield strings(dealt)
+        elif 1 < len(first) <= group:
+            ready += first.values()
+        if ready:
+            yield from index(ready)
 
     return run
 
@@ -453,33 +494,6 @@ def _all_but_first(length: int):
     return run
 
 
-def _mark_repeats(length: int, gram: int):
-    """Over rows sorted by kind (regions first), key, document and place."""
-    columns = ["key", "doc", "mark", "place", "left", "region"]
-
-    def run(batches):
-        batches, rest = iter(batches), []
-
-        def regions():
-            for batch in batches:
-                n = int(np.searchsorted(batch.column(0).to_numpy(), 1))
-                if n:
-                    yield batch.slice(0, n).select(columns)
-                if n < batch.num_rows:
-                    rest.append(batch.slice(n).select(columns))
-                    return
-
-        def strings():
-            yield from rest
-            for batch in batches:
-                yield batch.select(columns)
-
-        yield from _index_regions(length, gram)(regions())
-        yield from _all_but_first(length)(strings())
-
-    return run
-
-
 REMOVED = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                      ("kept_sha256", pa.string()), ("kept", pa.binary()), ("starts", pa.list_(pa.int64())),
                      ("ends", pa.list_(pa.int64()))])
@@ -503,7 +517,7 @@ def _remove(batches):
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   hot: int = HOT) -> DataFrame:
+                   group: int = GROUP) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, starts, ends``
     of each row of ``docs``: sizes, the remaining bytes, and the removed runs."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -512,17 +526,21 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     dealt = rows.mapInArrow(_anchor_rows(length, gram), ROWS_SQL).repartition("key") \
         .sortWithinPartitions("key", "region", "doc", "mark", "place")
     found = materialise(dealt.mapInArrow(_compare_regions(length),
-                                         "hot int, key long, doc long, mark long, place long, reach long"))
-    open_ = found.where("hot = 1")
-    many = open_.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot).select(F.col("key").alias("k"))
-    open_ = open_.join(many, F.col("key") == F.col("k"), "left") \
-        .select(F.col("k").isNotNull().cast("int").alias("hot"), "key", "doc", "mark", "place", "reach")
-    asked = open_.groupBy("doc", "mark").agg(F.collect_list(F.struct("hot", "key", "place", "reach")).alias("found"))
-    regions = rows.join(asked.hint("shuffle_hash"), ["doc", "mark"]).select("doc", "mark", "text", "found") \
-        .mapInArrow(_cut_regions(length), "hot int, key long, doc long, mark long, place long, left long, region binary")
-    indexed = regions.repartition("hot", "key").sortWithinPartitions("hot", "key", "doc", "mark", "place") \
-        .mapInArrow(_mark_repeats(length, gram), FOUND_SQL)
-    spans = found.where("hot = 0").select("doc", "mark", "place", "reach").unionByName(indexed)
+                                         "open int, key long, doc long, mark long, place long, reach long"))
+    asked = found.where("open = 1").groupBy("doc", "mark").agg(F.collect_list(F.struct("place", "reach")).alias("found"))
+    before, behind = side_bounds(length, gram)
+    width = F.when(F.col("side") == 0, before + gram).otherwise(gram + behind)
+    judged = materialise(
+        rows.join(asked.hint("shuffle_hash"), ["doc", "mark"]).select("doc", "mark", "text", "found")
+        .mapInArrow(_cut_regions(length, gram), "side int, doc long, mark long, place long, head int, region binary")
+        .select(F.xxhash64("side", F.substring("region", F.col("head") + 1, width)).alias("key"),
+                "doc", "mark", "place", "region")
+        .repartition("key").sortWithinPartitions("key", "doc", "mark", "place")
+        .mapInArrow(_index_regions(length, group), JUDGED_SQL))
+    strings = judged.where("dealt = 1").select("key", "doc", "mark", "place").repartition("key") \
+        .sortWithinPartitions("key", "doc", "mark", "place").mapInArrow(_all_but_first(length), FOUND_SQL)
+    own = ["doc", "mark", "place", "reach"]
+    spans = found.where("open = 0").select(own).unionByName(judged.where("dealt = 0").select(own)).unionByName(strings)
     per = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("place", "reach")).alias("found"))
     out = rows.join(per.hint("shuffle_hash"), ["doc", "mark"], "left").select("doc", "text", "found") \
         .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "

@@ -40,11 +40,11 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("hot", [S.HOT, 3])
-def test_against_all_strings(frame, texts, hot):
-    """Whole results, also when anchors with over three regions are dealt out
-    string by string."""
-    got = {r["doc_id"]: r for r in S.remove_repeats(frame(texts), hot=hot).collect()}
+@pytest.mark.parametrize("group", [S.GROUP, 3])
+def test_against_all_strings(frame, texts, group):
+    """Whole results, also when keys with over three distinct rows are dealt
+    out string by string."""
+    got = {r["doc_id"]: r for r in S.remove_repeats(frame(texts), group=group).collect()}
     expected = brute(list(enumerate(texts)))
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == expected
     for i, r in got.items():  # the real outputs
@@ -53,6 +53,26 @@ def test_against_all_strings(frame, texts, hot):
         assert sum(e - s for s, e in zip(r["starts"], r["ends"], strict=True)) == r["n_removed"] <= len(raw)
 
 
+def test_group_beyond_one_index(frame):
+    """20,000 texts around one passage that is too short to repeat by itself:
+    only those whose neighbouring bytes agree as well lose anything."""
+    rng = random.Random(11)
+    passage = "".join(rng.choices("abcdefgh ", k=90))
+    texts = [f"{rng.randrange(10 ** 9):09d}{'x' if i % 50 else 'same words, '}{passage}{rng.randrange(300):03d} {i}"
+             for i in range(20000)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+           for r in S.remove_repeats(frame(texts)).collect()}
+    assert got == brute(list(enumerate(texts)))
+    assert 0 < sum(r[1] > 0 for r in got.values()) < 20000
+
+
+@pytest.mark.parametrize("length, gram", [(100, 32), (101, 32), (9, 4), (5, 5)])
+def test_each_string_is_of_one_side(length, gram):
+    before, behind = S.side_bounds(length, gram)
+    for left in range(length - gram + 1):
+        assert (left >= before) + (length - gram - left >= behind) == 1
+
+
 def test_repeated_rows_null_ids_and_empty_table(frame):
     a = "".join(random.Random(1).choices("abcdefgh ", k=250))
     got = S.remove_repeats(frame([a, a, a, a], [2, 2, 5, None])).collect()

@@ -20,7 +20,9 @@ between components is missed.
 Pruning. A class has a parity bitmap (one bit flip per shingle, at least four
 times as many bits as shingles, folded to compare). The bitmaps of two sets differ in
 at most as many bits as the sets differ in shingles, which a link bounds, so
-a pair whose bitmaps differ in more is none.
+a pair whose bitmaps differ in more is none. In the last round the join itself
+compares a short bitmap of ``WORDS`` longs that travels with the shingles, so
+that most chance pairs never leave it; the bound is the same.
 
 Verification. The order is cut into ``FRAGMENTS`` ranges; each set's part in
 a fragment is a segment. The segments of a pair are met fragment by fragment,
@@ -67,6 +69,7 @@ SHARE = 4e-5
 KEYS = 1 << 20                 # shingles that a counting task holds before it hands them on
 OFFERS = 32
 TAKEN = 8
+WORDS = 8                      # longs of the short bitmap
 ROWS = 1000                    # texts of a piece: their number fits above a shingle's bits
 BROADCAST_IDS = 1_000_000      # rows (24 bytes each) that may be sent to all tasks
 MASK = np.uint64((1 << BITS) - 1)
@@ -128,6 +131,15 @@ def bitmaps(shingles: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [packed[a // 8:b // 8].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
+def short_bitmaps(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of ``WORDS`` longs for each set: a parity bitmap of fixed size."""
+    n, bits = len(bounds) - 1, 64 * WORDS
+    text = np.repeat(np.arange(n), np.diff(bounds))
+    bit = (K.mix(shingles & MASK) % np.uint64(bits)).astype(int)
+    odd = np.bincount(text * bits + bit, minlength=n * bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).reshape(n, WORDS)
+
+
 def differing(a: bytes, b: bytes) -> int:
     """Bits in which two bitmaps differ after the longer is folded."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -147,14 +159,14 @@ def frequent_shingles(texts: DataFrame, n_texts: int, n_bytes: int, k: int = SHI
     return counted.where(F.col("n") >= max(FREQUENT, int(SHARE * n_texts))).toArrow()["key"].to_numpy()
 
 
-SETS = "doc_id long, h long, s1 long, s2 long, n long, bitmap binary, prefix array<long>"
+SETS = "doc_id long, h long, s1 long, s2 long, n long, bitmap binary, prefix array<long>, words array<long>"
 
 
 def class_rows(texts: DataFrame, frequent, k: int, percent: int) -> DataFrame:
     """A row per text: id, hash, the set's 128-bit sum, its size, and for one text of
     each set in a batch (the smallest id) its bitmap and prefix."""
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("n", pa.int64()),
-                        ("bitmap", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+                        ("bitmap", pa.binary()), ("prefix", pa.list_(pa.int64())), ("words", pa.list_(pa.int64()))])
 
     def run(batches):
         known = Frequent(frequent.value)
@@ -175,10 +187,13 @@ def class_rows(texts: DataFrame, frequent, k: int, percent: int) -> DataFrame:
                 lists = np.concatenate([[0], np.cumsum(size)])
                 take = np.arange(lists[-1]) - np.repeat(lists[:-1], size) + np.repeat(bounds[:-1], size)
                 maps = [m if one and c else None for m, one, c in zip(bitmaps(sh, bounds), first, n, strict=True)]
+                words = short_bitmaps(sh, bounds)[first]
                 yield pa.RecordBatch.from_arrays([
                     ids, batch.column(2)[at:at + len(n)], pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(n.astype(np.int64)),
                     pa.array(maps, pa.binary()),
-                    pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(low[take].view(np.int64)))], schema=schema)
+                    pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(low[take].view(np.int64))),
+                    pa.ListArray.from_arrays(np.append(0, np.cumsum(first) * WORDS).astype(np.int32),
+                                             pa.array(words.ravel()))], schema=schema)
         K.release_memory()
 
     return texts.mapInArrow(run, SETS)
@@ -277,12 +292,16 @@ def _star_pairs(rows: DataFrame, seed: int, offers: int, taken: int, percent: in
     return offered.withColumn("rank", rank).where(F.col("rank") <= taken).select("x", "y")
 
 
-def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """``x, y``: all pairs of classes of different components that may link."""
-    side = {c: rows.select("token", F.col("cid").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "part")])
+def _cross_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``x, y``: all pairs of classes of different components that may link,
+    by their positions and short bitmaps."""
+    rows = rows.join(classes.select("cid", "words"), "cid")
+    side = {c: rows.select("token", F.col("cid").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "part", "words")])
             for c in "xy"}
+    differ = sum((F.bit_count(F.col("words_x")[i].bitwiseXOR(F.col("words_y")[i])) for i in range(WORDS)), F.lit(0))
     may = (F.col("x") < F.col("y")) & (F.col("part_x") != F.col("part_y")) \
-        & _near(F.col("n_x"), F.col("at_x"), F.col("n_y"), F.col("at_y"), percent)
+        & _near(F.col("n_x"), F.col("at_x"), F.col("n_y"), F.col("at_y"), percent) \
+        & (differ * (100 + percent) <= (F.col("n_x") + F.col("n_y")) * (100 - percent))
     return side["x"].join(side["y"], "token").where(may).select("x", "y").distinct()
 
 
@@ -315,7 +334,7 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int, offers:
     full = rows.where(F.col("n") > 0)
     named, name = _named(full)
     full = full.withColumn("cid", name)
-    classes = materialise(full.where(F.col("bitmap").isNotNull()).select("doc_id", "cid", "n", "bitmap")
+    classes = materialise(full.where(F.col("bitmap").isNotNull()).select("doc_id", "cid", "n", "bitmap", "words")
                           .join(named.select("cid", "least", "h", "times"), "cid").where("doc_id = least")
                           .drop("doc_id").dropDuplicates(["cid"]))
     # classes by shingle of their prefix; a row for each class, whatever its copies
@@ -326,7 +345,7 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int, offers:
     links, part_of = None, None
     for star in ((0, 1, 1), (1, offers, taken), None):
         open_ = _open(shared, part_of)
-        pairs = _star_pairs(open_, *star, percent) if star else _cross_pairs(open_, percent)
+        pairs = _star_pairs(open_, *star, percent) if star else _cross_pairs(open_, classes, percent)
         pairs = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         more = verified(pairs, classes, texts, k, percent).select("a", "b", "overlap")
         links = materialise(more if links is None else links.unionByName(more))

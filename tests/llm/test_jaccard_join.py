@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from reuselens.llm import components as C
@@ -103,3 +104,17 @@ def test_unsettled_components_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(C, "MAX_ROUNDS", 2)
     with pytest.raises(RuntimeError):
         components(links)
+
+
+def test_short_bitmaps_bound_the_difference():
+    """Two sets differ in at least as many shingles as their short bitmaps in
+    bits, and sets without anything in common are told apart."""
+    rng = np.random.default_rng(4)
+    for shared, own in ((0, 1), (40, 3), (300, 20), (0, 200)):
+        sets = [rng.integers(1, 1 << 53, shared).astype(np.uint64)] * 2
+        sets = [np.concatenate([s, rng.integers(1, 1 << 53, own).astype(np.uint64)]) for s in sets]
+        words = J.short_bitmaps(np.concatenate(sets), np.array([0, shared + own, 2 * (shared + own)]))
+        assert words.shape == (2, J.WORDS)
+        differ = int(np.bitwise_count((words[0] ^ words[1]).view(np.uint64)).sum())
+        assert 0 < differ <= 2 * own
+    assert J.short_bitmaps(np.zeros(0, np.uint64), np.array([0, 0])).tolist() == [[0] * J.WORDS]

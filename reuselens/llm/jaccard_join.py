@@ -22,7 +22,9 @@ times as many bits as shingles, folded to compare). The bitmaps of two sets diff
 at most as many bits as the sets differ in shingles, which a link bounds, so
 a pair whose bitmaps differ in more is none. In the last round the join itself
 compares a short bitmap of ``WORDS`` longs that travels with the shingles, so
-that most chance pairs never leave it; the bound is the same.
+that most chance pairs never leave it; the bound is the same. The ``BEFORE``
+shingles before one of a prefix travel too: a pair that shares one of them is
+left to it, so that a pair of many shared shingles leaves the join a few times.
 
 Verification. The order is cut into ``FRAGMENTS`` ranges; each set's part in
 a fragment is a segment. The segments of a pair are met fragment by fragment,
@@ -70,6 +72,7 @@ KEYS = 1 << 20                 # shingles that a counting task holds before it h
 OFFERS = 32
 TAKEN = 8
 WORDS = 8                      # longs of the short bitmap
+BEFORE = 4                     # shingles of a class that travel with the next one of its prefix
 ROWS = 1000                    # texts of a piece: their number fits above a shingle's bits
 BROADCAST_IDS = 1_000_000      # rows (24 bytes each) that may be sent to all tasks
 MASK = np.uint64((1 << BITS) - 1)
@@ -292,17 +295,22 @@ def _star_pairs(rows: DataFrame, seed: int, offers: int, taken: int, percent: in
     return offered.withColumn("rank", rank).where(F.col("rank") <= taken).select("x", "y")
 
 
-def _cross_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``x, y``: all pairs of classes of different components that may link,
-    by their positions and short bitmaps."""
-    rows = rows.join(classes.select("cid", "words"), "cid")
-    side = {c: rows.select("token", F.col("cid").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "part", "words")])
-            for c in "xy"}
+def _cross_rows(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``x, y``, some more than once: all pairs of classes of different components that may link,
+    by their positions and short bitmaps. A shingle leaves out the pairs that
+    share one of the ``BEFORE`` shingles before it in both sets: that one makes
+    the pair, at smaller positions, or leaves it to one before it in turn."""
+    own = W.partitionBy("cid").orderBy("at")
+    before = F.array_compact(F.array(*[F.lag("token", i).over(own) for i in range(1, BEFORE + 1)]))
+    rows = rows.join(classes.select("cid", "words"), "cid").withColumn("before", before)
+    side = {c: rows.select("token", F.col("cid").alias(c),
+                           *[F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "part", "words", "before")]) for c in "xy"}
     differ = sum((F.bit_count(F.col("words_x")[i].bitwiseXOR(F.col("words_y")[i])) for i in range(WORDS)), F.lit(0))
     may = (F.col("x") < F.col("y")) & (F.col("part_x") != F.col("part_y")) \
         & _near(F.col("n_x"), F.col("at_x"), F.col("n_y"), F.col("at_y"), percent) \
-        & (differ * (100 + percent) <= (F.col("n_x") + F.col("n_y")) * (100 - percent))
-    return side["x"].join(side["y"], "token").where(may).select("x", "y").distinct()
+        & (differ * (100 + percent) <= (F.col("n_x") + F.col("n_y")) * (100 - percent)) \
+        & ~F.arrays_overlap("before_x", "before_y")
+    return side["x"].join(side["y"], "token").where(may).select("x", "y")
 
 
 def _named(rows: DataFrame):
@@ -345,7 +353,7 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int, offers:
     links, part_of = None, None
     for star in ((0, 1, 1), (1, offers, taken), None):
         open_ = _open(shared, part_of)
-        pairs = _star_pairs(open_, *star, percent) if star else _cross_pairs(open_, classes, percent)
+        pairs = _star_pairs(open_, *star, percent) if star else _cross_rows(open_, classes, percent)
         pairs = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         more = verified(pairs, classes, texts, k, percent).select("a", "b", "overlap")
         links = materialise(more if links is None else links.unionByName(more))

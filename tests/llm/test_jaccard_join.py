@@ -118,3 +118,26 @@ def test_short_bitmaps_bound_the_difference():
         differ = int(np.bitwise_count((words[0] ^ words[1]).view(np.uint64)).sum())
         assert 0 < differ <= 2 * own
     assert J.short_bitmaps(np.zeros(0, np.uint64), np.array([0, 0])).tolist() == [[0] * J.WORDS]
+
+
+def test_last_join_makes_each_pair_and_few_of_them_twice(spark):
+    """Against all pairs that share a shingle at places that may link; the
+    rows of the join itself stay near the number of pairs."""
+    rng = random.Random(6)
+    common, n = [sorted(rng.sample(range(10 ** 6), 60)) for _ in range(6)], 200
+    held = [sorted({t for t in rng.choice(common) if rng.random() < 0.8} | set(rng.sample(range(10 ** 6), 6)))
+            for _ in range(60)]
+    rows = spark.createDataFrame([(t, c, n, at, c % 50, True) for c, h in enumerate(held) for at, t in enumerate(h)],
+                                 "token long, cid long, n long, at long, part long, linked boolean")
+    classes = spark.createDataFrame([(c, [0] * J.WORDS) for c in range(len(held))], "cid long, words array<long>")
+    pairs, shared = set(), 0
+    for x, a in enumerate(held):
+        for y in range(x + 1, len(held)):
+            both = [t for t in a if t in held[y] and 7 * (n - max(a.index(t), held[y].index(t))) >= 6 * n]
+            if both and x % 50 != y % 50:
+                pairs.add((x, y))
+                shared += len(both)
+    joined = J._cross_rows(rows, classes, 75)
+    got = [tuple(r) for r in joined.collect()]
+    assert set(got) == pairs and shared > 8 * len(pairs)
+    assert len(got) < 2 * len(pairs)

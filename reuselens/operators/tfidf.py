@@ -19,13 +19,29 @@ MIN_DF = 2
 MAX_DF_CLUSTERING = 0.8
 MAX_DF_SIMILARITY = 0.85
 
+SLICE = 250_000              # list entries that a Python worker works on at once
+
+
+def slices(batches, column: int = 1, most: int = SLICE):
+    """The rows of all batches, ``most`` list entries at a time (or one row)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = 0
+        while lo < len(ends):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
 
 def _count_lists(batches):
     """Rows (key, list of strings) -> (key, string, times in this list)."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    for batch in batches:
+    for batch in slices(batches):
         key, lists = batch.column(0), batch.column(1)
         flat = pa.table({"p": pc.list_parent_indices(lists), "g": pc.list_flatten(lists)})
         n = flat.group_by(["p", "g"]).aggregate([([], "count_all")])
@@ -37,7 +53,7 @@ def term_frequencies(texts: DataFrame, key: str = "doc_id", clean: str = "clean_
     """(key, gram, tf) with unigrams and bigrams of >=2-char tokens.
 
     All grams of a document are in one row, so they are counted where the row
-    is (one group-by per Arrow batch); nothing is shuffled."""
+    is (one group-by per slice of an Arrow batch); nothing is shuffled."""
     g = texts.select(key, X.word_ngrams(clean).alias("grams"))
     kind = g.schema[key].dataType.simpleString()
     return g.mapInArrow(_count_lists, f"`{key}` {kind}, gram string, tf long")

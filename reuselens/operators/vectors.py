@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reuselens.functions import text as X
+from reuselens.operators.tfidf import slices
 
 # Embedding width of the hashed bag of words.
 EMBED_DIM = 64
@@ -24,7 +25,7 @@ def embed_documents(texts: DataFrame, key: str = "doc_id", clean: str = "clean_t
     Token t adds sign(t) to bucket(t), both taken from its 32-bit md5 hash
     h: bucket = h mod dim, sign = +1 if bit 6 of h is set, else -1. A document's
     tokens are in one row: they are hashed in the JVM and summed up by one
-    vectorised count per Arrow batch, without a shuffle. A document without
+    vectorised count per slice of an Arrow batch, without a shuffle. A document without
     tokens has the zero vector.
     """
     def run(batches):
@@ -32,7 +33,7 @@ def embed_documents(texts: DataFrame, key: str = "doc_id", clean: str = "clean_t
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column(1)
             h = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64)
             of = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)

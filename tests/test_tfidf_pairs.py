@@ -135,3 +135,15 @@ def test_gram_counts_stay_in_place(spark):
         assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan   # the test's own repartition
         plans.add(re.sub(r"[0-9]+", "", plan))
     assert len(plans) == 1
+
+
+def test_lists_are_counted_a_slice_at_a_time():
+    """A batch of long lists is cut; counts don't change, and nulls have none."""
+    import pyarrow as pa
+    from reuselens.operators import tfidf as TF
+    lists = [["a", "b", "a"], [], None, ["c"] * 5, ["a"], ["d", "d"]]
+    batch = pa.record_batch({"doc_id": pa.array(range(6), pa.int64()), "grams": pa.array(lists, pa.list_(pa.string()))})
+    parts = list(TF.slices([batch, batch.slice(3)], most=4))
+    assert [p.column(0).to_pylist() for p in parts] == [[0, 1, 2], [3], [4, 5], [3], [4, 5]]
+    rows = sorted(tuple(r.values()) for p in TF._count_lists(iter(parts[:3])) for r in p.to_pylist())
+    assert rows == [(0, "a", 2), (0, "b", 1), (3, "c", 5), (4, "a", 1), (5, "d", 2)]

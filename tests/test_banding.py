@@ -68,3 +68,15 @@ def test_hot_buckets_meet_in_parts(spark):
 def test_empty(spark):
     df = spark.createDataFrame([(1, [MH.SENTINEL] * 100)], "doc_id long, signature array<long>")
     assert BA.similar_signatures(df, 61).count() == 0
+
+
+def test_bits_leave_out_what_cannot_be_similar(spark):
+    """The crowd shares half of its positions: its 3,160 pairs share a band, but
+    few pass the bits; no pair with enough equal positions is lost."""
+    rows, df = _signatures(spark)
+    classes = BA.signature_classes(df)
+    sig = {r.cid: r.signature for r in classes.collect()}
+    kept = {tuple(r) for r in BA.candidates(classes, 17, 20, compare=True).collect()}
+    whole = {tuple(r) for r in BA.candidates(classes, 17, 20).collect()}
+    enough = {(a, b) for a, b in whole if sum(x == y for x, y in zip(sig[a], sig[b], strict=True)) >= 17}
+    assert enough <= kept < whole and len(kept) < 0.2 * len(whole) and len(whole) > 3000

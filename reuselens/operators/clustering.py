@@ -1,33 +1,51 @@
 """Reduced TF-IDF features, KMeans and PCA (M1-M3).
 
-The truncated SVD is a randomised subspace iteration over blocks. The long
-weights ``(doc_id, gram, w)`` are dealt once to cells of a grid (document
-blocks x gram blocks); a tall matrix is a table with one row per block. A
-product takes each cell with the block of the other matrix that it needs, in
-one task, and adds the cells' parts up per block. Blocks have about ``BLOCK``
-documents or grams whatever the size of either side, and a cell is cut by the
-number of its weights too, so the memory of a task is bounded; only matrices of
-(k + oversample) x (k + oversample) numbers reach the driver. All numbers are
-64-bit floats.
+The truncated SVD is a randomised subspace iteration over packed cells: the
+weights of a block of documents for a block of grams, one row each. The matrix
+by gram is never written: for each block of grams and each column of the matrix
+by document, X transposed times the column and X times that are formed in one
+task, and the parts are added up by block of documents. So an iteration shuffles
+the matrix by document (``PARTS`` copies each way) and nothing by gram; the cells
+are dealt once. A task holds a few columns of the matrix by document
+(``HELD_BYTES``), its packed cells (``PART_WEIGHTS``) and one block of grams; only
+matrices of (k + oversample) x (k + oversample) numbers reach the driver. All
+numbers are 64-bit floats.
+
+Cells (``tfidf.CELL``): ``db, gb`` and a packed blob of entries by gram (``step`` to
+the gram's number, ``row`` in the block of documents, ``x``). ``gb`` -1: the block's
+document ids, and ``norm``, which its values are divided by; ``db`` -1: the 64-bit
+hashes of a block's grams, in the order of their numbers.
 """
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reuselens.session import cut_lineage
+from reuselens.operators import packed as P
+from reuselens.operators import tfidf as TF
+from reuselens.session import cut_lineage, drop_table, free_shuffles
 
 SVD_COMPONENTS = 50
 SEED = 42
 N_INIT = 10
 BLOCK = 20_000              # documents or grams of a block
-CELL_WEIGHTS = 1_000_000    # weights of a cell, on average
+CELL_WEIGHTS = 1_000_000    # weights of a block of documents, on average
+PARTS = 2                   # groups of gram blocks, at least
+PART_WEIGHTS = 150_000_000  # weights of a group, on average
+COLUMNS = 3                 # groups of columns, at least (for few weights: fewer)
+COLUMN_WEIGHTS = 2_000_000  # weights from which there is one more
+HELD_BYTES = 256 << 20      # of two groups of columns that a task holds
+
+STATE = "db int, n long, who binary, m binary"
 
-CELL = "db int, gb int, docs binary, grams binary, row binary, col binary, w binary"
-MATRIX = "block int, ids binary, m binary"
+# the workers get this module's functions with the job; they need numpy and pyarrow only
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _start(ids: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -40,138 +58,198 @@ def _start(ids: np.ndarray, width: int, seed: int) -> np.ndarray:
     return np.sqrt(-2 * np.log1p(-u[:, :width])) * np.cos(2 * np.pi * u[:, width:])
 
 
-def _ints(blob) -> np.ndarray:
-    return np.frombuffer(blob, np.int64)
-
-
-def _floats(blob, width: int) -> np.ndarray:
-    return np.frombuffer(blob, np.float64).reshape(-1, width)
+def _matrix(blob, n: int, width: int) -> np.ndarray:
+    return np.frombuffer(blob.as_buffer(), np.float64).reshape(n, width)
 
 
-def weight_cells(w: DataFrame) -> tuple[DataFrame, int, int]:
-    """The grid of cells, written once: ``(cells, documents, grams)``. A gram is
+def weight_cells(w: DataFrame) -> DataFrame:
+    """The cells of long weights ``(doc_id, gram, w)``, written once. A gram is
     known by a 64-bit hash with which its block is drawn."""
-    w = w.select("doc_id", F.xxhash64("gram").alias("gid"), "w")
+    w = w.select("doc_id", F.xxhash64("gram").alias("gid"), F.col("w").cast("double").alias("w"))
     n_docs, n_grams, n_w = w.agg(F.countDistinct("doc_id"), F.countDistinct("gid"), F.count("*")).first()
-    nd, ng = max(1, -(-n_docs // BLOCK)), max(1, -(-n_grams // BLOCK))
-    ng = max(ng, -(-n_w // (CELL_WEIGHTS * nd)))
-    cell = w.withColumn("db", F.pmod(F.xxhash64("doc_id"), F.lit(nd)).cast("int")) \
-        .withColumn("gb", F.pmod(F.xxhash64(F.lit("block"), "gid"), F.lit(ng)).cast("int"))
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        docs, row = np.unique(pdf["doc_id"].to_numpy(np.int64), return_inverse=True)
-        grams, col = np.unique(pdf["gid"].to_numpy(np.int64), return_inverse=True)
-        by = np.lexsort((col, row))
-        return pd.DataFrame({"db": pdf["db"].iloc[:1], "gb": pdf["gb"].iloc[:1], "docs": [docs.tobytes()],
-                             "grams": [grams.tobytes()], "row": [row[by].astype(np.int64).tobytes()],
-                             "col": [col[by].astype(np.int64).tobytes()],
-                             "w": [pdf["w"].to_numpy(np.float64)[by].tobytes()]})
-
-    return cut_lineage(cell.groupBy("db", "gb").applyInPandas(build, CELL)), n_docs, n_grams
-
-
-def _add_blocks(width: int):
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Parts of one block (equal ids add up)."""
-        ids = np.concatenate([_ints(x) for x in pdf["ids"]])
-        rows = np.concatenate([_floats(x, width) for x in pdf["m"]])
-        ids, at = np.unique(ids, return_inverse=True)
-        out = np.zeros((len(ids), width))
-        np.add.at(out, at, rows)
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "ids": [ids.tobytes()], "m": [out.tobytes()]})
-
-    return add
-
-
-def _times(cells: DataFrame, other: DataFrame, width: int, rows: str) -> DataFrame:
-    """``rows='docs'``: X times a matrix by gram; ``rows='grams'``: X transposed
-    times a matrix by document."""
-    out, given, here, there = ("docs", "grams", "db", "gb") if rows == "docs" else ("grams", "docs", "gb", "db")
-    index, take = ("row", "col") if rows == "docs" else ("col", "row")
-
-    def parts(batches):
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                own, need = _ints(getattr(r, out)), _ints(getattr(r, given))
-                m = _floats(r.m, width)[np.searchsorted(_ints(r.ids), need)]
-                to, at, w = _ints(getattr(r, index)), _ints(getattr(r, take)), np.frombuffer(r.w, np.float64)
-                by = np.argsort(to, kind="stable")
-                begin = np.flatnonzero(np.diff(to[by], prepend=-1))
-                sums = np.zeros((len(own), width))
-                for i in range(0, width, 8):          # a few columns at a time: weights x 8 numbers
-                    sums[:, i:i + 8] = np.add.reduceat(w[by, None] * m[at[by], i:i + 8], begin, axis=0)
-                yield pd.DataFrame({"block": [getattr(r, here)], "ids": [own.tobytes()], "m": [sums.tobytes()]})
-
-    joined = cells.join(other.withColumnRenamed("block", there), there)
-    return joined.mapInPandas(parts, MATRIX).groupBy("block").applyInPandas(_add_blocks(width), MATRIX)
-
-
-def _gram_matrix(m: DataFrame, width: int) -> np.ndarray:
-    """Transposed times itself: one small matrix a block, added up in Spark."""
-    def square(batches):
-        for pdf in batches:
-            for x in pdf["m"]:
-                a = _floats(x, width)
-                yield pd.DataFrame({"i": np.arange(width), "v": list(a.T @ a)})
-
-    rows = m.mapInPandas(square, "i long, v array<double>").select("i", F.posexplode("v").alias("j", "v")) \
+    nd, ng = max(1, -(-n_docs // BLOCK), -(-n_w // CELL_WEIGHTS)), max(1, -(-n_grams // BLOCK))
+    grams = w.select("gid").distinct().withColumn("gb", F.pmod(F.xxhash64(F.lit("block"), "gid"), F.lit(ng)).cast("int"))
+    grams = cut_lineage(grams.withColumn("number", F.row_number().over(Window.partitionBy("gb").orderBy("gid")) - 1))
+    rows = w.join(grams, "gid").select(F.pmod(F.xxhash64("doc_id"), F.lit(nd)).cast("int").alias("db"), "doc_id", "gb", "number", "w")
+
+    def build(key, t):
+        coded = t["doc_id"].combine_chunks().dictionary_encode(null_encoding="encode")
+        return TF.pack_cells(key[0].as_py(), coded.dictionary, np.ones(len(coded.dictionary)), coded.indices.to_numpy().astype(np.int64),
+                             t["gb"].to_numpy().astype(np.int64), t["number"].to_numpy().astype(np.int64), t["w"].to_numpy())
+
+    def hashes(key, t):
+        t = t.sort_by("number")
+        return pa.table({"db": pa.array([-1], pa.int32()), "gb": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([t.num_rows], pa.int64()),
+                         "blob": pa.array([P.pack(hash=t["gid"].combine_chunks())], pa.binary())})
+
+    return cut_lineage(rows.groupBy("db").applyInArrow(build, TF.CELL).unionByName(grams.groupBy("gb").applyInArrow(hashes, TF.CELL)))
+
+
+def _square(m: DataFrame, make) -> np.ndarray:
+    """The sum of a small matrix of each row: one a task, added up in Spark."""
+    def run(batches):
+        total = None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a = make({c: batch.column(c)[row] for c in batch.schema.names})
+                total = a if total is None else total + a
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(list(total), pa.list_(pa.float64()))], names=["i", "v"])
+
+    rows = m.mapInArrow(run, "i long, v array<double>").select("i", F.posexplode("v").alias("j", "v")) \
         .groupBy("i", "j").agg(F.sum("v").alias("v")).collect()    # width x width numbers
-    out = np.zeros((width, width))
+    out = np.zeros((max(r["i"] for r in rows) + 1,) * 2)
     for r in rows:
         out[r["i"], r["j"]] = r["v"]
     return out
 
 
+def _whitening(square: np.ndarray) -> np.ndarray:
+    """What turns columns with this Gram matrix into orthonormal ones."""
+    lam, e = np.linalg.eigh((square + square.T) / 2)
+    keep = lam > lam.max() * 1e-13
+    return e[:, keep] / np.sqrt(lam[keep])
+
+
 def _turn(m: DataFrame, by: np.ndarray) -> DataFrame:
     """Each row times a small matrix."""
     width = by.shape[0]
 
     def run(batches):
-        for pdf in batches:
-            yield pdf.assign(m=[np.ascontiguousarray(_floats(x, width) @ by).tobytes() for x in pdf["m"]])
-
-    return m.mapInPandas(run, MATRIX)
-
-
-def _orthonormal(m: DataFrame, width: int) -> tuple[DataFrame, int]:
-    """The same span with orthonormal columns, and how many there are."""
-    lam, e = np.linalg.eigh(_gram_matrix(m, width))
-    keep = lam > lam.max() * 1e-13
-    return _turn(m, e[:, keep] / np.sqrt(lam[keep])), int(keep.sum())
-
-
-def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
-                          oversample: int = 10, n_iter: int = 5, seed: int = SEED) -> DataFrame:
-    """M1: ``(key, reduced)``, the rows of X V_k of the truncated SVD.
+        for batch in batches:
+            out = [np.ascontiguousarray(_matrix(x, n.as_py(), width) @ by).tobytes() for n, x in zip(batch.column(1), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=["db", "n", "who", "m"])
+
+    return m.select("db", "n", "who", "m").mapInArrow(run, STATE)
+
+
+def _norm(who) -> np.ndarray:
+    return P.numbers(P.unpack(who), "norm")[:, None]
+
+
+class Product:
+    """X times X transposed times a matrix by document, and X times the start."""
+
+    def __init__(self, cells: DataFrame, n_docs: int, n_weights: int, n_blocks: int, width: int):
+        self.parts = min(n_blocks, max(PARTS, -(-n_weights // PART_WEIGHTS)))
+        self.groups = min(width, max(1, min(COLUMNS, n_weights // COLUMN_WEIGHTS), -(-16 * n_docs * width // HELD_BYTES)))
+        self.tasks = 8 * self.parts * self.groups if self.parts * self.groups > 1 else 1     # few keys a partition
+        self.cells = cells.where(F.col("gb") >= 0).withColumn("part", F.pmod("gb", F.lit(self.parts)).cast("int")) \
+            .withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(self.groups - 1)))).repartition(self.tasks, "part", "c").persist()
+
+    def __call__(self, state: DataFrame, width: int, seed: int | None = None) -> DataFrame:
+        """``db, n, who, m, a``: the product (with a seed: X times the start) and
+        the matrix, transposed, times the product."""
+        groups, first = self.groups, seed is not None
+        cut = [width * c // groups for c in range(groups + 1)]
+
+        def columns(batches):
+            for batch in batches:
+                for db, n, who, m in zip(*batch.columns, strict=True):
+                    x = None if first else _matrix(m, n.as_py(), width) / _norm(who)
+                    blobs = [b"" if first else np.ascontiguousarray(x[:, lo:hi].T).tobytes() for lo, hi in zip(cut, cut[1:])]
+                    yield pa.RecordBatch.from_arrays([pa.array([y.as_py()] * groups, t) for y, t in ((db, pa.int32()), (n, pa.int64()))]
+                                                     + [pa.array(range(groups), pa.int32()), pa.array(blobs, pa.binary())], names=["db", "n", "c", "m"])
+
+        def multiply(key, cells, state):
+            lo, hi = cut[key[1].as_py()], cut[key[1].as_py() + 1]
+            state, cells = state.sort_by("db"), cells.sort_by([("gb", "ascending"), ("db", "ascending")])
+            size = state["n"].to_numpy().astype(np.int64)
+            base = np.cumsum(size) - size
+            place = dict(zip(state["db"].to_pylist(), base.tolist(), strict=True))
+            q = None if first else np.concatenate([np.frombuffer(x.as_buffer(), np.float64).reshape(hi - lo, n)
+                                                   for x, n in zip(state["m"], size, strict=True)], axis=1)
+            out = np.zeros((hi - lo, int(size.sum())))
+            gb = cells["gb"].to_numpy()
+            for at in np.unique(gb):
+                own = cells.slice(int(np.searchsorted(gb, at)), int((gb == at).sum()))
+                gram, doc, x, start = [], [], [], None
+                for db, blob in zip(own["db"].to_pylist(), own["blob"], strict=True):
+                    entry = P.unpack(blob)
+                    if db < 0:
+                        start = _start(P.numbers(entry, "hash"), width, seed)[:, lo:hi] if first else None
+                        continue
+                    gram.append(np.cumsum(P.numbers(entry, "step"), dtype=np.int64))
+                    doc.append(P.numbers(entry, "row").astype(np.int64) + place[db])
+                    x.append(P.numbers(entry, "x"))
+                if not gram:
+                    continue
+                gram, doc, x = np.concatenate(gram), np.concatenate(doc), np.concatenate(x)
+                for j in range(hi - lo):
+                    z = start[:, j] if first else np.bincount(gram, x * q[j][doc])
+                    out[j] += np.bincount(doc, x * z[gram], minlength=out.shape[1])
+            return pa.table({"db": state["db"], "c": pa.array([key[1].as_py()] * len(size), pa.int32()),
+                             "m": pa.array([np.ascontiguousarray(out[:, b:b + n]).tobytes() for b, n in zip(base, size, strict=True)], pa.binary())})
+
+        def add(key, parts, state):
+            n, who = state["n"][0].as_py(), state["who"][0]
+            out = np.zeros((n, width))
+            for c, m in zip(parts["c"].to_pylist(), parts["m"], strict=True):
+                out[:, cut[c]:cut[c + 1]] += np.frombuffer(m.as_buffer(), np.float64).reshape(cut[c + 1] - cut[c], n).T
+            out /= _norm(who)
+            a = b"" if first else (_matrix(state["m"][0], n, width).T @ out).tobytes()
+            return pa.table({"db": state["db"], "n": state["n"], "who": state["who"], "m": pa.array([out.tobytes()], pa.binary()),
+                             "a": pa.array([a], pa.binary())})
+
+        sides = state.select("db", "n", "who", "m").mapInArrow(columns, "db int, n long, c int, m binary") \
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1)))).repartition(self.tasks, "part", "c")
+        made = self.cells.groupBy("part", "c").cogroup(sides.groupBy("part", "c")).applyInArrow(
+            lambda key, cells, state: P.handing_back(multiply)(key, cells, state), "db int, c int, m binary")
+        return made.groupBy("db").cogroup(state.select("db", "n", "who", "m").groupBy("db")).applyInArrow(add, STATE + ", a binary")
+
+
+def svd_of_cells(cells: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
+                 oversample: int = 10, n_iter: int = 5, seed: int = SEED) -> DataFrame:
+    """M1 over packed cells (a written table): ``(key, reduced)``, the rows of
+    X V_k of the truncated SVD.
 
     ``reduced`` has as many numbers as the matrix has rank, k at most."""
-    w = w.withColumnRenamed(key, "doc_id")
-    cells, n_docs, n_grams = weight_cells(w)
+    spark, schema = cells.sparkSession, f"`{key}` long, reduced array<double>"
+    docs, grams = F.col("gb") < 0, F.col("db") < 0
+    n_docs, n_grams, n_w, n_blocks = cells.agg(*[F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)) for x in (docs, grams, ~docs & ~grams)],
+                                               F.coalesce(F.max("gb") + 1, F.lit(0))).first()
+    if not n_w:
+        return spark.createDataFrame([], schema)
     width = max(1, min(k + oversample, n_docs, n_grams))
-
-    def begin(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = np.unique(np.concatenate([_ints(x) for x in pdf["grams"]]))
-        return pd.DataFrame({"block": pdf["gb"].iloc[:1], "ids": [ids.tobytes()], "m": [_start(ids, width, seed).tobytes()]})
-
-    z = cells.select("gb", "grams").groupBy("gb").applyInPandas(begin, MATRIX)
+    times = Product(cells, n_docs, n_w, n_blocks, width)
+    state = cells.where(docs).select("db", "n", F.col("blob").alias("who"), F.lit(b"").alias("m"))
+    made = cut_lineage(times(state, width, seed))
+    by = _whitening(_square(made, lambda r, w=width: _matrix(r["m"], r["n"].as_py(), w).T @ _matrix(r["m"], r["n"].as_py(), w)))
     for step in range(n_iter + 1):
-        y = cut_lineage(_times(cells, z, width, "docs"))
-        y, rank = _orthonormal(y, width)
-        z = cut_lineage(_times(cells, y, rank, "grams"))     # transposed X times Q
-        width = rank
+        old, state, rank = made, _turn(made, by), by.shape[1]    # orthonormal columns
+        made = cut_lineage(times(state, rank))
+        square = _square(made.select("a"), lambda r, w=rank: _matrix(r["a"], w, w))      # of X transposed times them
         if step < n_iter:
-            z, width = _orthonormal(z, width)
-    lam, e = np.linalg.eigh(_gram_matrix(z, width))          # of (Q'X)(Q'X)'
+            drop_table(old)
+            free_shuffles(spark)
+            first = _whitening(square)
+
+            def own(r, w=rank, first=first):
+                y = _matrix(r["m"], r["n"].as_py(), w) @ first
+                return y.T @ y
+
+            by = first @ _whitening(_square(made, own))
+    lam, e = np.linalg.eigh((square + square.T) / 2)         # of (Q'X)(Q'X)'
     top = np.argsort(lam)[::-1][:k]
     top = top[lam[top] > lam.max() * 1e-12]
     u = e[:, top] * np.sqrt(lam[top])                        # X V = Q U S
 
     def out(batches):
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                yield pd.DataFrame({key: _ints(r.ids), "reduced": list(_floats(r.m, width) @ u)})
+        for batch in batches:
+            for n, who, m in zip(*batch.columns[1:], strict=True):
+                rows = _matrix(m, n.as_py(), rank) @ u
+                lists = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * len(top), pa.array(rows.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([P.unpack(who).column("id"), lists], names=[key, "reduced"])
+
+    found = cut_lineage(state.mapInArrow(out, schema))
+    times.cells.unpersist()
+    return found
 
-    return cut_lineage(y.mapInPandas(out, f"{key} long, reduced array<double>"))
+
+def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
+                          oversample: int = 10, n_iter: int = 5, seed: int = SEED) -> DataFrame:
+    """M1 over long weights: ``(key, reduced)``, as ``svd_of_cells``."""
+    return svd_of_cells(weight_cells(w.withColumnRenamed(key, "doc_id")), key, k, oversample, n_iter, seed)
 
 
 def kmeans_best_of(df: DataFrame, features: str, k: int, n_init: int = N_INIT,

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from reuselens.functions import text as X
 from reuselens.operators.clustering import randomized_svd_reduce
+from reuselens.operators.tfidf import slices
 from reuselens.session import cut_lineage
 
 VOCABULARY = 20_000
@@ -38,16 +39,27 @@ WINDOW = 4
 SHIFT = 2.0
 DIM = 50
 MODEL_BYTES = 64 << 20       # of a model that is sent to tasks
-HELD = 2_000_000             # pairs a task holds before it hands them on
+HELD = 4_000_000             # pairs a task holds before it hands them on
 
 # the workers get this module's functions with the job; they need numpy and pyarrow only
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _words_in(batches):
+    """Rows (list of words) -> (word, lists that hold it), for a slice at a time."""
+    for batch in slices(batches, 0):
+        lists = batch.column(0)
+        coded = pc.list_flatten(lists).dictionary_encode()
+        n = len(coded.dictionary)
+        of = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        held = np.unique(of * n + coded.indices.to_numpy())
+        yield pa.record_batch({"word": coded.dictionary, "df": pa.array(np.bincount(held % max(1, n), minlength=n))})
+
+
 def vocabulary(texts: DataFrame, size: int = VOCABULARY, min_df: int = MIN_DF, clean: str = "clean_text") -> list[tuple[str, int]]:
     """``(word, df)`` of the ``size`` words in most documents, ties by word."""
-    words = texts.select(F.explode(F.array_distinct(X.tokens(clean))).alias("word"))
-    df = words.groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
+    words = texts.select(X.tokens(clean).alias("w")).mapInArrow(_words_in, "word string, df long")
+    df = words.groupBy("word").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df)
     return [(r["word"], r["df"]) for r in df.orderBy(F.desc("df"), "word").limit(size).collect()]
 
 
@@ -60,32 +72,43 @@ def _codes(lists, words: pa.Array):
 def cooccurrence(texts: DataFrame, words: list[str], window: int = WINDOW, clean: str = "clean_text") -> DataFrame:
     """``a, b, n``: times that the known words a and b stand at most ``window``
     places apart in a document, in either order (a pair of one word counts
-    from both ends)."""
+    from both ends). Unordered pairs are counted, as numbers; the words and the
+    other order follow from the sums."""
+    v = len(words)
+
     def run(batches):
-        known, v = pa.array(words, pa.string()), len(words)
+        known = pa.array(words, pa.string())
         held, n = [], 0
 
         def out():
             key, times = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            take = lambda x: known.take(pa.array(x))
-            return pa.record_batch({"a": take(key // v), "b": take(key % v), "n": pa.array(times.astype(np.int64))})
+            return pa.record_batch({"pair": pa.array(key), "n": pa.array(times.astype(np.int64))})
 
-        for batch in batches:
+        for batch in slices(batches, 0):
             code, of = _codes(batch.column(0), known)
             for d in range(1, window + 1):
                 a, b = code[:-d], code[d:]
                 own = (a >= 0) & (b >= 0) & (of[:-d] == of[d:])
-                held += [a[own] * v + b[own], b[own] * v + a[own]]
-                n += 2 * int(own.sum())
-                if n > HELD:
-                    yield out()
-                    n = 0
+                a, b = a[own], b[own]
+                held.append(np.minimum(a, b) * v + np.maximum(a, b))
+                n += len(a)
+            if n > HELD:
+                yield out()
+                n = 0
         if n:
             yield out()
 
-    return texts.select(X.tokens(clean).alias("w")).mapInArrow(run, "a string, b string, n long") \
-        .groupBy("a", "b").agg(F.sum("n").alias("n"))
+    def both(batches):
+        known = pa.array(words, pa.string())
+        for batch in batches:
+            a, b = np.divmod(batch.column(0).to_numpy(), max(1, v))
+            n, two = batch.column(1).to_numpy(), a != b
+            take = lambda x: known.take(pa.array(x))
+            yield pa.record_batch({"a": take(np.r_[a, b[two]]), "b": take(np.r_[b, a[two]]), "n": pa.array(np.r_[np.where(two, n, 2 * n), n[two]])})
+
+    pairs = texts.select(X.tokens(clean).alias("w")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return pairs.mapInArrow(both, "a string, b string, n long")
 
 
 def ppmi(counts: DataFrame, shift: float = SHIFT) -> DataFrame:

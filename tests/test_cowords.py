@@ -36,6 +36,15 @@ def test_counts_and_weights(spark, texts):
     assert set(got) == {k for k, v in pmi.items() if v > 0} and all(abs(got[k] - pmi[k]) < 1e-9 for k in got)
 
 
+def test_pairs_are_shuffled_once_as_numbers(spark, texts):
+    """One row for a pair in either order, without its words."""
+    plan = CW.cooccurrence(texts, ["the", "a1"])._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [x for x in plan.splitlines() if "Aggregate" in x]
+    assert len(grouped) == 1 and "[pair#" in grouped[0]
+    got = {(r.a, r.b): r.n for r in CW.cooccurrence(spark.createDataFrame([("x x y x",)], "clean_text string"), ["y", "x"]).collect()}
+    assert got == {("x", "x"): 6, ("x", "y"): 3, ("y", "x"): 3}
+
+
 def test_vectors(spark, texts, tmpdir_path):
     model = CW.fit(texts, dim=4, shift=1.0)
     # the factors are those of the whole matrix

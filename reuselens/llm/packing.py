@@ -44,6 +44,7 @@ SIZE = 4096                  # tokens of a sequence
 END = 1                      # id that ends a document
 GROUP = 16_384               # pieces packed together
 REOPEN = 0.875               # bins below this fill are opened again
+PIECE = 1 << 22              # bytes of text tokenised at once, or one text
 STUCK = 16                   # bins in a row that no exchange empties, before a search ends
 
 
@@ -178,7 +179,7 @@ def _cut(path: str, size: int, end: int, with_ids: bool):
     def run(batches):
         encode = word_encoder(path)
         for batch in batches:
-            for row, data, off in utf8_pieces(batch.column("text")):
+            for row, data, off in utf8_pieces(batch.column("text"), PIECE):
                 text = pa.LargeStringArray.from_buffers(len(off) - 1, pa.py_buffer(off.tobytes()), pa.py_buffer(data.tobytes()))
                 ids, bounds = encode(text)
                 out = {k: [] for k in ("doc", "piece", "start", "length", "crc", "ids")}

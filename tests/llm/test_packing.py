@@ -48,6 +48,26 @@ def test_ids_of_any_text(tokenizer, encoder, texts):
     assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("asStTlɏľǆª½*#$%-_~=<'`^(@ \t3é́ß̸ŀ日"), max_size=30), max_size=4))
+def test_ids_with_any_punctuation(tokenizer, encoder, texts):
+    ids, bounds = encoder(pa.array(texts, pa.string()))
+    got = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_punctuation_makes_no_new_words(tokenizer):
+    """A word is tokenised once, whatever stands behind it; words of a-z go past the rules."""
+    from reuselens.llm.token_ids import WordEncoder
+    e = WordEncoder(PATH)
+    text = "One one*** one.### one, one-- caf\xe9 caf\xe9, caf\xe9.%%% one"
+    ids, _ = e(pa.array([text]))
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert {w for w in e.places if w[0].isalpha()} == {"one", "caf\xe9"}
+    ids, size = e._of_ascii(["plagiarised", "a", "zzxqj"])
+    assert ids.tolist() == tokenizer.encode("plagiarised a zzxqj", add_special_tokens=False).ids and size.sum() == len(ids)
+
+
 def test_other_vocabularies_get_whole_texts():
     from tokenizers import Tokenizer
 

@@ -11,13 +11,15 @@ by absolute discounting; the mass taken goes to the parent's distribution, so
 each state's probabilities add up to 1.  A text is scored symbol by symbol
 from the longest state that ends before the symbol.
 
-Counting: one pass over the texts per length.  A string can be frequent only
-if both its first and its last part are, so a pass counts just the strings
-whose parts have passed, as pairs of ranks.  ``support`` is
-``max(LEAST, N / ENTRIES)`` occurrences: at most ``ENTRIES`` strings of each
-length can reach it, which bounds what is sent to the tasks (16 bytes each).
-The vocabulary has no bound and is never sent: occurrences of words below the
-support are joined with it by shuffle.
+Counting: a string counts from ``LEAST`` occurrences on, whatever the size of
+the corpus.  Where no more than ``ENTRIES`` strings of a length can occur so
+often (texts of 2 x ``LEAST`` x ``ENTRIES`` bytes), there is one pass over the texts per
+length: a string can be frequent only if both its first and its last part are,
+so a pass counts just the strings whose parts have passed, as pairs of ranks,
+and the tree is sent to the tasks (16 bytes a string).  The vocabulary has no
+bound and is never sent: occurrences of rarer words are joined with it by
+shuffle.  Larger corpora go by ``suffix_shuffle``, which builds the same tree
+and looks its strings up by shuffle.
 
 Defined results: null and empty texts are the end alone; without training
 texts ``N = V = 0`` and every symbol has probability 1; a null id is training;
@@ -35,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reuselens.llm import kernels as K
+from reuselens.llm import suffix_shuffle
 from reuselens.llm.common import materialise
 from reuselens.llm.packed import BUCKET_KEYS, count_keys
 
@@ -145,9 +148,10 @@ def _buckets(n_keys: int) -> int:
     return max(16, -(-n_keys // BUCKET_KEYS))
 
 
-def learn(docs: DataFrame, max_depth: int = MAX_DEPTH, entries: int = ENTRIES, least: int = LEAST):
-    """``(tree, counts of the ranked words, vocabulary, N, V)`` of ``docs`` (``text``).
-    The vocabulary is a table ``key, n`` of all words."""
+def learn(docs: DataFrame, max_depth: int = MAX_DEPTH, least: int = LEAST):
+    """``(tree, counts of the ranked words, vocabulary, N, V)`` of ``docs`` (``text``),
+    which must be few enough for a tree in one task. The vocabulary is a table
+    ``key, n`` of all words."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).collect()[0]
     guess = size[0] // 6 + size[1]             # tokens, for the number of buckets alone
@@ -158,11 +162,10 @@ def learn(docs: DataFrame, max_depth: int = MAX_DEPTH, entries: int = ENTRIES, l
 
     vocabulary = materialise(count_keys(texts, words, _buckets(guess // 4)))
     n, v = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).collect()[0]
-    support = max(least, -(-n // entries))
 
     def table(counted: DataFrame):
-        """At most ``entries`` rows, for their counts add up to N at most."""
-        got = counted.where(F.col("n") >= support).toArrow()
+        """At most ``N / least`` rows, for their counts add up to N at most."""
+        got = counted.where(F.col("n") >= least).toArrow()
         key, count = got["key"].to_numpy().view(np.uint64), got["n"].to_numpy()
         order = np.argsort(key)
         return key[order], count[order]
@@ -181,7 +184,7 @@ def learn(docs: DataFrame, max_depth: int = MAX_DEPTH, entries: int = ENTRIES, l
                 keys, ok = pair_keys(ranks[0], ranks[-1], starts)
                 yield keys[ok]
 
-        key, count = table(count_keys(texts, strings, _buckets(guess // 2 ** len(tables)), support))
+        key, count = table(count_keys(texts, strings, _buckets(guess // 2 ** len(tables)), least))
         tables.append(key)
         counts.append(count)
     return Tree(tables, counts, n, v), counts[0], vocabulary, n, v
@@ -192,8 +195,12 @@ def score_texts(docs: DataFrame, train: Column, max_depth: int = MAX_DEPTH, entr
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     n_in_state`` of each row of ``docs`` (``doc_id, text``); ``train``: the rows
     to learn from. Scores are log10 probabilities; ``n_in_state`` counts the
-    symbols scored from a context."""
-    tree, counts, vocabulary, n, v = learn(docs.where(train), max_depth, entries, least)
+    symbols scored from a context. From where more than ``entries`` strings of a
+    length can occur ``least`` times, they are looked up by shuffle."""
+    size, texts = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0)), F.count("*")).first()
+    if size // 2 + 2 * texts > least * entries:    # words and ends, at most
+        return suffix_shuffle.score_texts(docs, train, symbols, size // 6 + texts, max_depth, least, DISCOUNT)
+    tree, counts, vocabulary, n, v = learn(docs.where(train), max_depth, least)
     sent = docs.sparkSession.sparkContext.broadcast((tree, np.log10(counts + 1.0)))
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
                         ("n_tokens", pa.int64()), ("n_ranked", pa.int64()), ("ranked", pa.float64()),

@@ -71,3 +71,21 @@ def test_degenerate(frame):
     assert S.score_texts(frame([]), F.lit(True)).count() == 0
     none = S.score_texts(docs, F.lit(False)).collect()
     assert all(r["score"] == r["base_score"] == 0 and r["train_tokens"] == 0 for r in none)
+
+
+def test_no_string_is_dropped_in_a_large_corpus(frame, texts, monkeypatch):
+    """Where the strings are too many for one task, those that occur twice are
+    still states: the same scores, chunk by chunk and bucket by bucket."""
+    monkeypatch.setattr(S.suffix_shuffle, "CHUNK", 500)
+    monkeypatch.setattr(S.suffix_shuffle, "BUCKET", 1000)
+    docs = frame([*texts, "planted words that nobody else writes", "planted words that nobody else writes", None],
+                 [*range(len(texts)), 1001, 1002, None])
+    small, large = ({(r["doc_id"], r["n_tokens"]): r for r in S.score_texts(docs, ~held_out(7, 2), entries=e).collect()}
+                    for e in (S.ENTRIES, 60))
+    assert len(small) == len(texts) + 3 and small.keys() == large.keys()
+    for k, a in small.items():
+        b = large[k]
+        exact = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "n_in_state"]
+        assert [a[c] for c in exact] == [b[c] for c in exact]
+        assert (a["base_score"], a["score"]) == pytest.approx((b["base_score"], b["score"]))
+    assert large[1001, 7]["n_in_state"] >= 6

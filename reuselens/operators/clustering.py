@@ -20,10 +20,11 @@ hashes of a block's grams, in the order of their numbers.
 from __future__ import annotations
 
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from reuselens.session import cut_lineage, drop_table, free_shuffles
 SVD_COMPONENTS = 50
 SEED = 42
 N_INIT = 10
+FITS = 5                    # KMeans fits at once
 BLOCK = 20_000              # documents or grams of a block
 CELL_WEIGHTS = 1_000_000    # weights of a block of documents, on average
 PARTS = 2                   # groups of gram blocks, at least
@@ -254,20 +256,21 @@ def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPON
 
 def kmeans_best_of(df: DataFrame, features: str, k: int, n_init: int = N_INIT,
                    seed: int = SEED, max_iter: int = 300, tol: float = 1e-4):
-    """M2: KMeans fitted with n_init seeds; the lowest training cost wins
-    (Spark has no n_init)."""
+    """M2: KMeans fitted with n_init seeds; the lowest training cost wins, then
+    the first seed (Spark has no n_init). The fits run side by side: each is many
+    short jobs that leave most cores idle."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     x = df.withColumn("_f", array_to_vector(F.col(features))).cache()
-    best = None
-    for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="_f",
-                   predictionCol="cluster").fit(x)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    model = best[1]
+    x.count()                                                # all fits read the cached rows
+
+    def fit(i):
+        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="_f", predictionCol="cluster").fit(x)
+        return m.summary.trainingCost, m
+
+    with ThreadPoolExecutor(min(n_init, FITS)) as pool:
+        model = min(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(n_init)), key=lambda cost_model: cost_model[0])[1]
     out = cut_lineage(model.transform(x).drop("_f"))
     x.unpersist()
     return model, out.withColumn("cluster", F.col("cluster").cast("int"))

@@ -47,6 +47,29 @@ def test_kmeans_and_pca(spark):
     assert abs(m[0]) < 1e-9 and abs(m[1]) < 1e-9
 
 
+def test_kmeans_fits_run_side_by_side(spark, monkeypatch):
+    """The starts overlap in time, and the best is the one that fits in a row find."""
+    import threading
+
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.RandomState(3)
+    df = spark.createDataFrame([(i, [float(v) for v in rng.normal(0, 1, 3)]) for i in range(200)], "id long, f array<double>")
+    x = df.withColumn("_f", array_to_vector("f")).cache()
+    x.count()
+    alone = [KMeans(k=4, seed=42 + i, maxIter=300, tol=1e-4, featuresCol="_f").fit(x).summary.trainingCost for i in range(3)]
+    together, fit = threading.Barrier(3, timeout=60), KMeans.fit
+
+    def met(self, data):
+        together.wait()                                      # breaks where one fit waits for another
+        return fit(self, data)
+
+    monkeypatch.setattr(KMeans, "fit", met)
+    model, _ = CU.kmeans_best_of(df, "f", 4, n_init=3)
+    assert model.summary.trainingCost == pytest.approx(min(alone), rel=1e-6)
+
+
 def test_logistic_regression_separable(spark):
     rng = np.random.RandomState(2)
     rows = []

